@@ -62,8 +62,7 @@ def duplicate_columns(df: DataFrame) -> DataFrame:
     pairs = _same_type_pairs(df)
     if not pairs:
         return empty
-    marks = df.agg(*[F.sum(F.xxhash64(F.lit(1), F.coalesce(F.xxhash64(c) + F.isnull(c).cast("int"), F.lit(0)))
-                           .cast("decimal(38,0)")).alias(c) for c in df.columns]).first()
+    marks = df.agg(*[F.sum(F.xxhash64(c).cast("decimal(38,0)")).alias(c) for c in df.columns]).first()
     pairs = [(a, b) for a, b in pairs if marks[a] == marks[b]]
     if not pairs:
         return empty
