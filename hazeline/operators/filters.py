@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.operators.ranks import hash_bucket, hash_key, ranked
+from hazeline.operators.ranks import hash_cuts, hash_key, lookup
 
 
 def slice_readings(df: DataFrame, city: str | None = None, month: int | str | None = None,
@@ -54,18 +54,18 @@ def cities(df: DataFrame) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: list[str]) -> DataFrame:
-    """Exactly n rows (or all), chosen by hash order of the key."""
+    """Exactly n rows (or all), chosen by hash order of a unique key."""
     h = df.withColumn("_hash", hash_key(seed, *key))
-    return (ranked(h, [], hash_bucket(), ["_hash", *key]).filter(F.col("_pos") < n)
-            .drop("_hash", "_pos"))
+    cut = hash_cuts(h, [], lambda total: F.lit(n)).select("_cut").scalar()
+    return h.filter(F.col("_hash") <= cut).drop("_hash")
 
 
 def sample_strat(df: DataFrame, n: int, label: str, seed: int, key: list[str]) -> DataFrame:
     """About n rows with the label shares of ``df``: round(n * n_label / n_all) per label."""
     h = df.filter(F.col(label).isNotNull()).withColumn("_hash", hash_key(seed, *key))
     total = df.agg(F.count(label).alias("n")).scalar()
-    r = ranked(h, [label], hash_bucket(), ["_hash", *key], keep_total="_size")
-    return r.filter(F.col("_pos") < F.round(F.lit(n) * F.col("_size") / total)).drop("_hash", "_pos", "_size")
+    cuts = lookup(hash_cuts(h, [label], lambda size: F.round(F.lit(n) * size / total)), label, "_cut")
+    return h.filter(F.col("_hash") <= F.try_element_at(cuts, F.col(label))).drop("_hash")
 
 
 def tail_before(df: DataFrame, t, n: int, city: str = "city", time: str = "dt") -> DataFrame:

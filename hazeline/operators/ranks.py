@@ -8,6 +8,8 @@ offset, and a window inside the bucket supplies the rest.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +48,28 @@ def hash_key(seed: int | str, *cols: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
 
 
-def hash_bucket(col: Column | str = "_hash", digits: int = 3) -> Column:
+def hash_bucket(col: Column | str = "_hash", digits: int = 4) -> Column:
     """Leading hex digits of a hash: 16**digits even buckets in hash order."""
     c = F.col(col) if isinstance(col, str) else col
     return F.substring(c, 1, digits)
+
+
+def hash_cuts(df: DataFrame, by: list[str], quota: Callable[[Column], Column]) -> DataFrame:
+    """(by, _cut): hash of the quota-th row of each group in ``_hash`` order.
+
+    ``quota`` maps the group size to a number of rows. Counts per hash bucket
+    show which bucket holds that row, and only that bucket is ranked. Comparing
+    hashes with the cut then needs no shuffle of the rows themselves.
+    """
+    want = F.least(quota(F.col("_total")).cast("bigint"), F.col("_total"))
+    edge = bucket_offsets(df, by, hash_bucket()).withColumn("_want", want).filter(
+        (F.col("_offset") < F.col("_want")) & (F.col("_want") <= F.col("_offset") + F.col("_size")))
+    rows = df.select(*by, "_hash", hash_bucket().alias("_bucket")).join(edge, [*by, "_bucket"])
+    w = Window.partitionBy(*by, "_bucket").orderBy("_hash")
+    hit = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.col("_want") - F.col("_offset"))
+    return hit.select(*by, F.col("_hash").alias("_cut"))
+
+
+def lookup(small: DataFrame, key: str, value: str) -> Column:
+    """A small keyed table as one map value, for tables with one row per label."""
+    return small.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m")).scalar()

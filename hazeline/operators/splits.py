@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.operators.panel import month_bucket
-from hazeline.operators.ranks import hash_bucket, hash_key, ranked
+from hazeline.operators.ranks import hash_cuts, hash_key, lookup, ranked
 
 
 def split_chrono(df: DataFrame, train: float = 0.70, valid: float = 0.85, time: str = "dt") -> DataFrame:
@@ -22,9 +22,9 @@ def split_chrono(df: DataFrame, train: float = 0.70, valid: float = 0.85, time:
 def split_strat(df: DataFrame, label: str, share: float, seed: int, key: list[str]) -> DataFrame:
     """``split`` train/test with exactly round(share * n) training rows per label."""
     h = df.filter(F.col(label).isNotNull()).withColumn("_hash", hash_key(seed, *key))
-    r = ranked(h, [label], hash_bucket(), ["_hash", *key], keep_total="_size")
-    quota = F.round(F.lit(share) * F.col("_size"))
-    return r.withColumn("split", F.when(F.col("_pos") < quota, "train").otherwise("test")).drop("_hash", "_pos", "_size")
+    cuts = lookup(hash_cuts(h, [label], lambda size: F.round(F.lit(share) * size)), label, "_cut")
+    chosen = F.coalesce(F.col("_hash") <= F.try_element_at(cuts, F.col(label)), F.lit(False))
+    return h.withColumn("split", F.when(chosen, "train").otherwise("test")).drop("_hash")
 
 
 def split_random(df: DataFrame, share: float, seed: int, key: list[str]) -> DataFrame:
@@ -66,6 +66,6 @@ def class_weights(df: DataFrame, label: str, classes: list | None = None) -> Dat
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Append the balanced class weight of each row."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(w, label).select(*df.columns, out)
+    """Append the balanced class weight of each row; rows without a label are dropped."""
+    weights = lookup(class_weights(df, label), label, "weight")
+    return df.filter(F.col(label).isNotNull()).withColumn(out, F.element_at(weights, F.col(label)))

@@ -111,39 +111,30 @@ def history_columns(cols: list[str], steps, widths, city: str = "city") -> dict[
 
 
 def serve_features(requests: DataFrame, df: DataFrame, cols=GASES, steps=LAG_STEPS, widths=ROLL_WIDTHS,
-                   city: str = "city", time: str = "dt") -> DataFrame:
+                   carry: tuple = (), city: str = "city", time: str = "dt") -> DataFrame:
     """Features of many requests (request_id, city, dt, features map) at once.
 
-    The current values are the city's newest row, overridden by the request's
-    ``features`` map. Lags and rolls use rows strictly before the request time; a
-    city without any uses its last rows. A lag that reaches beyond the history
-    falls back to the current value.
+    The current values of ``cols`` and ``carry`` are the city's newest row,
+    overridden by the request's ``features`` map. Lags and rolls use rows strictly
+    before the request time; a city without any uses its last rows. A lag that
+    reaches beyond the history falls back to the current value.
     """
-    cols, names = list(cols), []
+    cols = list(cols)
     base = chunked(df, max([*steps, *widths]), 0, [city], time)
     hist = history_columns(cols, steps, widths, city)
     names = list(hist)
-    full = own_rows(base.withColumn("_have", F.col("_pos") + 1)
-                    .select(city, time, "_have", *cols, "_pos", "_chunk", "_own",
-                            *[e.alias(n) for n, e in hist.items()]))
-    newest = full.groupBy(city).agg(
-        F.max_by(F.struct("_have", *cols, *names), time).alias("_new"))
-    known = asof_attach(requests, full.withColumn("_h", F.struct("_have", *names)), [city], time, "_h")
-    joined = known.join(newest, city)
-    h = F.coalesce("_h", F.struct("_new._have", *[f"_new.{n}" for n in names]))
-    joined = joined.withColumn("_use", h)
+    full = own_rows(base.select("*", (F.col("_pos") + 1).alias("_have"), *[e.alias(n) for n, e in hist.items()]))
+    full = full.withColumn("_h", F.struct("_have", *names))
+    newest = full.groupBy(city).agg(F.max_by(F.struct("_h", *cols, *carry), time).alias("_new"))
+    joined = asof_attach(requests, full, [city], time, "_h").join(newest, city)
+    joined = joined.withColumn("_use", F.coalesce("_h", F.col("_new._h")))
     current = {c: F.coalesce(F.try_element_at(F.col("features"), F.lit(c)).try_cast("double"), F.col(f"_new.{c}"))
-               for c in cols}
-    lag_names = {f"{c}_lag_{k}h": (c, k) for c in cols for k in steps}
-    out = []
-    for n in names:
-        if n in lag_names:
-            c, k = lag_names[n]
-            out.append(F.when(F.col("_use._have") >= k, F.col(f"_use.{n}")).otherwise(current[c]).alias(n))
-        else:
-            out.append(F.col(f"_use.{n}").alias(n))
-    keep = [c for c in requests.columns if c not in ("features",)]
-    return joined.select(*keep, *[e.alias(c) for c, e in current.items()], *out)
+               for c in [*cols, *carry]}
+    lagged = {f"{c}_lag_{k}h": F.when(F.col("_use._have") >= k, F.col(f"_use.{c}_lag_{k}h")).otherwise(current[c])
+              for c in cols for k in steps}
+    keep = [c for c in requests.columns if c != "features"]
+    return joined.select(*keep, *[e.alias(c) for c, e in current.items()],
+                         *[lagged.get(n, F.col(f"_use.{n}")).alias(n) for n in names])
 
 
 def serve_sequence(requests: DataFrame, df: DataFrame, cols=GASES, length: int = 12,
