@@ -1,6 +1,6 @@
 """Regulatory air-quality index: sub-indices, overall index, band, dominant pollutant.
 
-All pieces are ``when`` chains, so they stay inside whole-stage codegen.
+All pieces are SQL CASE expressions, so they stay inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -8,34 +8,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.values import null_if_nan
 from hazeline.schema import BAND_LIMITS, BANDS, BREAKPOINTS, GAS_NAMES, GASES, INDEX_LEVELS
 
 
-def sub_index(gas: str, col: Column | str) -> Column:
-    """Piecewise linear sub-index of one gas.
+def sub_index(gas: str, value: str) -> Column:
+    """Piecewise linear sub-index of one gas; ``value`` is a column name or SQL expression.
 
     A missing value or an unknown gas gives 0; below zero the first segment is
     extended; beyond the last breakpoint the index is 400 plus the excess.
     """
     if gas not in BREAKPOINTS:
         return F.lit(0.0)
-    v = null_if_nan((F.col(col) if isinstance(col, str) else col).cast("double"))
-    conc = BREAKPOINTS[gas]
-    out = F.when(v.isNull(), 0.0)
-    segments = zip(conc, conc[1:], INDEX_LEVELS, INDEX_LEVELS[1:])
-    for c0, c1, i0, i1 in segments:
-        out = out.when(v <= c1, (v - c0) * ((i1 - i0) / (c1 - c0)) + i0)
-    return out.otherwise(v - conc[-1] + INDEX_LEVELS[-1])
+    conc, arms = BREAKPOINTS[gas], []
+    for c0, c1, i0, i1 in zip(conc, conc[1:], INDEX_LEVELS, INDEX_LEVELS[1:]):
+        arms.append(f"WHEN {value} <= {c1} THEN ({value} - {c0}) * {(i1 - i0) / (c1 - c0)!r}D + {i0}")
+    return F.expr(f"CASE WHEN {value} IS NULL OR isnan({value}) THEN 0D {' '.join(arms)} "
+                  f"ELSE {value} - {conc[-1]} + {INDEX_LEVELS[-1]} END")
 
 
-def band(index: Column | str) -> Column:
+def band(index: str) -> Column:
     """Band of an unrounded index value."""
-    i = F.col(index) if isinstance(index, str) else index
-    out = F.when(i <= BAND_LIMITS[0], BANDS[0])
-    for limit, name in zip(BAND_LIMITS[1:], BANDS[1:]):
-        out = out.when(i <= limit, name)
-    return out.otherwise(BANDS[-1])
+    arms = " ".join(f"WHEN {index} <= {limit} THEN '{name}'" for limit, name in zip(BAND_LIMITS, BANDS))
+    return F.expr(f"CASE {arms} ELSE '{BANDS[-1]}' END")
 
 
 def add_index(df: DataFrame, gases: dict[str, str] | None = None,
@@ -48,24 +42,21 @@ def add_index(df: DataFrame, gases: dict[str, str] | None = None,
     NO2, CO, SO2, O3.
     """
     gases = gases or {g: g for g in GASES}
-    order = ["pm25", "pm10", "no2", "co", "so2", "o3"]
-    used = [g for g in order if g in gases]
+    used = [g for g in GASES if g in gases]
     if not used:
         return df.withColumns({"aqi": F.lit(0.0), "band": F.lit("N/A"), "dominant": F.lit("None")})
-    values = {g: F.col(gases[g]) / co_divisor if g == "co" and co_divisor != 1.0
-              else F.col(gases[g]) for g in used}
+    raw = {g: f"CAST(`{gases[g]}` AS DOUBLE)" for g in used}
+    values = {g: f"({v} / {co_divisor!r}D)" if g == "co" and co_divisor != 1.0 else v for g, v in raw.items()}
     parts = {f"idx_{g}": sub_index(g, values[g]) for g in used}
     df = df.withColumns(parts)
     names = list(parts)
     df = df.withColumn("_top", F.greatest(*names) if len(names) > 1 else F.col(names[0]))
-    empty = F.coalesce(*[null_if_nan(F.col(gases[g]).cast("double")) for g in used]).isNull()
-    first = F.when(empty, "None")
-    for g in used:
-        first = first.when(F.col(f"idx_{g}") == F.col("_top"), GAS_NAMES[g])
+    empty = " AND ".join(f"({v} IS NULL OR isnan({v}))" for v in raw.values())
+    first = " ".join(f"WHEN idx_{g} = _top THEN '{GAS_NAMES[g]}'" for g in used)
     df = df.withColumns({
-        "aqi": F.when(empty, 0.0).otherwise(F.round("_top", 2)),
-        "band": F.when(empty, "N/A").otherwise(band("_top")),
-        "dominant": first,
+        "aqi": F.expr(f"CASE WHEN {empty} THEN 0D ELSE round(_top, 2) END"),
+        "band": F.when(F.expr(empty), "N/A").otherwise(band("_top")),
+        "dominant": F.expr(f"CASE WHEN {empty} THEN 'None' {first} END"),
     })
     return df.drop("_top", *([] if keep_parts else names))
 
@@ -73,10 +64,7 @@ def add_index(df: DataFrame, gases: dict[str, str] | None = None,
 def eligible(gases: dict[str, str] | None = None) -> Column:
     """At least three gases present, one of them a particulate."""
     gases = gases or {g: g for g in GASES}
-    present = {g: null_if_nan(F.col(c).cast("double")).isNotNull() for g, c in gases.items()}
-    total = sum((p.cast("int") for p in present.values()), F.lit(0))
-    particulate = F.lit(False)
-    for g in ("pm25", "pm10"):
-        if g in present:
-            particulate = particulate | present[g]
-    return (total >= 3) & particulate
+    present = {g: f"(`{c}` IS NOT NULL AND NOT isnan(`{c}`))" for g, c in gases.items()}
+    total = " + ".join(f"CAST({p} AS INT)" for p in present.values())
+    particulate = " OR ".join([present[g] for g in ("pm25", "pm10") if g in present] or ["false"])
+    return F.expr(f"({total}) >= 3 AND ({particulate})")

@@ -43,23 +43,19 @@ def coerce(col: Column | str, fallback: Column | float) -> Column:
     return F.coalesce(F.trim(_c(col)).try_cast("double"), fb.cast("double"))
 
 
-def encode(col: Column | str, labels=LABELS) -> Column:
-    """Ordinal 0..k-1 of a label, null when unknown."""
-    out = None
-    for i, lab in enumerate(labels):
-        out = F.when(_c(col) == lab, i) if out is None else out.when(_c(col) == lab, i)
-    return out
+def encode(col: str, labels=LABELS) -> Column:
+    """Ordinal 0..k-1 of a label column, null when unknown."""
+    arms = " ".join(f"WHEN '{lab}' THEN {i}" for i, lab in enumerate(labels))
+    return F.expr(f"CASE {col} {arms} END")
 
 
-def decode(col: Column | str, labels=LABELS, unknown: str = "Unknown") -> Column:
-    """Label of an ordinal, ``unknown`` when out of range or null."""
-    out = None
-    for i, lab in enumerate(labels):
-        out = F.when(_c(col) == i, lab) if out is None else out.when(_c(col) == i, lab)
-    return out.otherwise(unknown)
+def decode(col: str, labels=LABELS, unknown: str = "Unknown") -> Column:
+    """Label of an ordinal (column name or SQL expression), ``unknown`` when out of range or null."""
+    arms = " ".join(f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(labels))
+    return F.expr(f"CASE CAST({col} AS INT) {arms} ELSE '{unknown}' END")
 
 
-def band_ordinal(col: Column | str) -> Column:
+def band_ordinal(col: str) -> Column:
     """Ordinal of an index band, so that it can be compared with the target's ordinal."""
     return encode(col, BANDS)
 

@@ -95,7 +95,7 @@ def probabilities(scored: DataFrame, labels=LABELS) -> DataFrame:
         p = F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
     out = scored.withColumn("_p", p)
     names = F.slice(F.array(*[F.lit(x) for x in labels]), F.lit(1), F.size("_p"))
-    return out.withColumns({"prediction_label": decode(F.col("prediction").cast("int"), labels),
+    return out.withColumns({"prediction_label": decode("prediction", labels),
                             "probabilities": F.map_from_arrays(names, F.col("_p")),
                             "confidence": F.array_max("_p")}).drop("_p")
 

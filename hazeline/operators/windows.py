@@ -69,17 +69,21 @@ def lead_label(df: DataFrame, h: int, label: str = "aqi_category", city: str = "
 
 
 def forecast_frame(df: DataFrame, hs: list[int], features: list[str] | None = None,
-                   label: str = "aqi_category", city: str = "city", time: str = "dt") -> DataFrame:
+                   past: dict[str, Column] | None = None, back: int = 0, label: str = "aqi_category",
+                   city: str = "city", time: str = "dt") -> DataFrame:
     """One row per reading and horizon whose target lies exactly that many hours ahead.
 
-    All horizons share one window pass. Rows with a null target or a null in
-    ``features`` are dropped.
+    All horizons, and the ``past`` columns that look back up to ``back`` rows,
+    share one window pass. Rows with a null target or a null in ``features`` are
+    dropped.
     """
-    base = chunked(df, 0, max(hs), [city], time)
+    past = past or {}
+    base = chunked(df, back, max(hs), [city], time)
     w = window([city])
     leads = F.array(*[F.struct(F.lit(h).alias("horizon_hours"), F.lead(label, h).over(w).alias("target_category"),
                                F.lead(time, h).over(w).alias("_t")) for h in hs])
-    out = own_rows(base.withColumn("_leads", leads)).select(*df.columns, F.inline("_leads"))
+    base = base.select("*", leads.alias("_leads"), *[e.alias(n) for n, e in past.items()])
+    out = own_rows(base).select(*df.columns, *past, F.inline("_leads"))
     out = out.filter(F.col("_t") == F.col(time) + F.make_interval(hours=F.col("horizon_hours")))
     out = out.withColumn("target", encode("target_category")).filter("target is not null").drop("_t")
     return out.na.drop(subset=features) if features else out

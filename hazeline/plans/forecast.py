@@ -14,10 +14,9 @@ from hazeline.functions.index import add_index
 from hazeline.functions.values import calendar, cyclical, encode, target_time
 from hazeline.operators import models as M
 from hazeline.operators.evaluate import consensus, evaluate, mismatch
-from hazeline.operators.filters import recent
 from hazeline.operators.joins import attach_metrics
 from hazeline.operators.splits import balanced_weights, split_chrono
-from hazeline.operators.windows import forecast_frame, past_features, serve_features
+from hazeline.operators.windows import forecast_frame, lag_columns, roll_columns, serve_features
 from hazeline.schema import GASES, HORIZONS, LAG_STEPS, ROLL_WIDTHS, WEATHER, feature_set
 from hazeline.sources.models import MODEL_LABELS
 
@@ -40,10 +39,13 @@ def training_frame(df: DataFrame, horizons=HORIZONS, months: int | None = 18, st
     Windows come before the time filter, so that the oldest kept rows still see
     their history.
     """
-    out = cyclical(calendar(past_features(df, GASES, steps, widths)))
-    out = recent(out, months) if months else out
+    past = {**lag_columns(GASES, steps), **roll_columns(GASES, widths)}
+    out = forecast_frame(cyclical(calendar(df)), list(horizons), past=past, back=max([*steps, *widths]))
+    if months:
+        newest = df.agg(F.max("dt").alias("m")).scalar()
+        out = out.filter(F.col("dt") >= newest - F.make_ym_interval(months=F.lit(months)))
     features = features or feature_names(steps=steps, widths=widths)
-    return forecast_frame(out, list(horizons), [c for c in features if c in out.columns])
+    return out.na.drop(subset=[c for c in features if c in out.columns])
 
 
 def metric_grid(frame: DataFrame, features: list[str], horizons: list[int],

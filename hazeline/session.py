@@ -18,6 +18,8 @@ def build_session(app: str = "hazeline", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # building large plans is faster without the call site of every expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for k, v in settings.items():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.index import sub_index
@@ -14,18 +14,10 @@ EVENT_GASES = {"pm25": "view", "pm10": "click", "no2": "purchase", "so2": "error
 
 def observations(events: DataFrame) -> DataFrame:
     """One row per event: city, exact time, event type, value in hundredths, k."""
-    return events.select(
-        F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("city"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        "event_type",
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        "event_id",
-    )
-
-
-def _mean(total: Column, n: Column, per: int) -> Column:
-    return total.cast("double") / (n * per).cast("double")
+    return events.selectExpr(
+        "concat('S', CAST(user_id % 5 AS STRING)) AS city", "CAST(ts AS TIMESTAMP) AS ts", "event_type",
+        "CAST(round(value * 100) AS BIGINT) AS cents",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k", "event_id")
 
 
 def readings(events: DataFrame) -> DataFrame:
@@ -34,25 +26,20 @@ def readings(events: DataFrame) -> DataFrame:
     Values are summed as whole hundredths, so that a mean is one division of
     exact integers and does not depend on the order of addition.
     """
-    obs = observations(events).withColumn("dt", F.date_trunc("hour", "ts"))
-    aggs = []
-    for gas, kind in EVENT_GASES.items():
-        hit = F.col("event_type") == kind
-        aggs += [F.sum(F.when(hit, F.col("cents"))).alias(f"s_{gas}"),
-                 F.count(F.when(hit, F.col("cents"))).alias(f"n_{gas}")]
-    aggs += [F.sum("k").alias("s_k"), F.count("k").alias("n_k")]
+    obs = observations(events).withColumn("dt", F.expr("date_trunc('HOUR', ts)"))
+    sums = [f"sum(cents) FILTER (WHERE event_type = '{kind}') AS s_{gas}, "
+            f"count(cents) FILTER (WHERE event_type = '{kind}') AS n_{gas}" for gas, kind in EVENT_GASES.items()]
+    aggs = [F.expr(a.strip()) for pair in sums for a in pair.split(", ")] + [F.expr("sum(k) AS s_co"), F.expr("count(k) AS n_co")]
     g = obs.groupBy("city", "dt").agg(*aggs)
-    gases = {gas: _mean(F.col(f"s_{gas}"), F.col(f"n_{gas}"), 100) for gas in EVENT_GASES}
-    gases["co"] = _mean(F.col("s_k"), F.col("n_k"), 10)
-    df = g.select(
-        "city", "dt", *[F.when(F.col("n_k" if c == "co" else f"n_{c}") > 0, gases[c]).alias(c)
-                        for c in GASES],
-        F.round(15 + 10 * F.sin(F.lit(2) * F.pi() * F.hour("dt") / 24), 6).alias("temp"),
-        _mean(F.col("s_k"), F.col("n_k"), 1).alias("humidity"),
-        F.col("n_k").cast("double").alias("wind"),
-    )
-    top = F.greatest(*[F.when(F.col(c).isNotNull(), sub_index(c, c)) for c in GASES])
-    label = F.when(top <= 50, LABELS[0])
-    for limit, lab in zip((100, 200, 300, 400), LABELS[1:]):
-        label = label.when(top <= limit, lab)
-    return df.withColumn("aqi_category", label.otherwise(LABELS[-1]))
+
+    def mean(gas: str, per: int) -> str:
+        return f"CASE WHEN n_{gas} > 0 THEN CAST(s_{gas} AS DOUBLE) / CAST(n_{gas} * {per} AS DOUBLE) END"
+
+    df = g.selectExpr(
+        "city", "dt", *[f"{mean(c, 10 if c == 'co' else 100)} AS {c}" for c in GASES],
+        "round(15 + 10 * sin(2 * pi() * hour(dt) / 24), 6) AS temp",
+        f"{mean('co', 1)} AS humidity", "CAST(n_co AS DOUBLE) AS wind")
+    parts = {f"_{c}": F.when(F.col(c).isNotNull(), sub_index(c, c)) for c in GASES}
+    df = df.withColumns(parts).withColumn("_top", F.greatest(*parts)).drop(*parts)
+    arms = " ".join(f"WHEN _top <= {limit} THEN '{lab}'" for limit, lab in zip((50, 100, 200, 300, 400), LABELS))
+    return df.withColumn("aqi_category", F.expr(f"CASE {arms} ELSE '{LABELS[-1]}' END")).drop("_top")

@@ -23,20 +23,22 @@ def published_names(df: DataFrame) -> DataFrame:
 
 def _schema_of(spark: SparkSession, path: str) -> T.StructType:
     """Declared types in the file's own column order; only the header line is read."""
-    known = {f.name: f for f in raw_schema()}
-    return T.StructType([known.get(c, T.StructField(c, T.StringType()))
+    types = {name: f.dataType for f in raw_schema() for name in (f.name, canonical(f.name))}
+    return T.StructType([T.StructField(c, types.get(c, T.StringType()))
                          for c in spark.read.csv(path, header=True).columns])
 
 
 def read_readings(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                  columns: list[str] | None = None, formats=TIME_FORMATS) -> DataFrame:
+                  columns: list[str] | None = None, formats=TIME_FORMATS, fmt: str | None = None) -> DataFrame:
     """CSV, gzipped CSV or Parquet of the published layout, in canonical names.
 
     Text times are parsed leniently (bad ones become null) and NaN becomes null.
     ``columns`` prunes the scan. A gzip file is read by one task, so store it once
     as Parquet with :func:`write_readings` before repeated work.
     """
-    if path.rstrip("/").endswith((".csv", ".csv.gz", ".csv.bz2")):
+    if fmt is None:
+        fmt = "csv" if path.rstrip("/").endswith((".csv", ".csv.gz", ".csv.bz2")) else "parquet"
+    if fmt == "csv":
         df = spark.read.csv(path, header=True, schema=schema or _schema_of(spark, path))
     else:
         df = spark.read.parquet(path)
@@ -56,5 +58,9 @@ def write_readings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
     is written by several tasks when ``files_per_city`` is above 1.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64("dt"), F.lit(files_per_city)))
-    out = salted.repartition("city", "_salt").drop("_salt").write.mode(mode).partitionBy("city")
-    out.csv(path, header=True) if fmt == "csv" else out.parquet(path)
+    out = salted.repartition("city", "_salt").drop("_salt")
+    out = out.write.mode(mode).partitionBy("city")
+    if fmt == "csv":
+        out.csv(path, header=True, timestampFormat="yyyy-MM-dd HH:mm:ss", compression="gzip")
+    else:
+        out.parquet(path)
