@@ -181,11 +181,10 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     parts = []
     for s in range(0, len(pairs), PAIRS_PER_AGG):
         chunk = pairs[s:s + PAIRS_PER_AGG]
-        agg = df.agg(*[F.corr(F.col(cols[a]).cast("double"), F.col(cols[b]).cast("double")).alias(f"r{a}_{b}")
-                       for a, b in chunk])
-        items = F.array(*[F.struct(F.lit(cols[a]).alias("feature_a"), F.lit(cols[b]).alias("feature_b"),
-                                   F.lit(a).alias("i"), F.lit(b).alias("j"), F.col(f"r{a}_{b}").alias("r"))
-                          for a, b in chunk])
+        agg = df.agg(*[F.expr(f"corr(`{cols[a]}`, `{cols[b]}`) AS r{a}_{b}") for a, b in chunk])
+        items = F.expr("array(" + ", ".join(
+            f"named_struct('feature_a', '{cols[a]}', 'feature_b', '{cols[b]}', 'i', {a}, 'j', {b}, 'r', r{a}_{b})"
+            for a, b in chunk) + ")")
         parts.append(agg.select(F.inline(items)))
     out = parts[0]
     for p in parts[1:]:

@@ -11,22 +11,25 @@ from hazeline.operators.panel import chunked, own_rows, window
 from hazeline.schema import GASES, LAG_STEPS, ROLL_WIDTHS
 
 
+def _over(by: list[str], frame: str = "") -> str:
+    return f"OVER (PARTITION BY {', '.join([*by, '_chunk'])} ORDER BY _pos {frame})"
+
+
 def lag_columns(cols=GASES, steps=LAG_STEPS, city: str = "city") -> dict[str, Column]:
-    w = window([city])
-    return {f"{c}_lag_{k}h": F.lag(c, k).over(w) for c in cols for k in steps}
+    w = _over([city])
+    return {f"{c}_lag_{k}h": F.expr(f"lag({c}, {k}) {w}") for c in cols for k in steps}
 
 
 def roll_columns(cols=GASES, widths=ROLL_WIDTHS, kinds=("mean", "max"), city: str = "city") -> dict[str, Column]:
     """Rolls over the ``n`` rows before the current one; null below max(2, n // 2) values."""
-    w = window([city])
-    agg = {"mean": F.avg, "max": F.max}
+    agg = {"mean": "avg", "max": "max"}
     out = {}
     for c in cols:
         for n in widths:
-            frame = w.rowsBetween(-n, -1)
-            enough = F.count(c).over(frame) >= max(2, n // 2)
+            w = _over([city], f"ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING")
             for kind in kinds:
-                out[f"{c}_roll_{kind}_{n}h"] = F.when(enough, agg[kind](c).over(frame))
+                out[f"{c}_roll_{kind}_{n}h"] = F.expr(
+                    f"CASE WHEN count({c}) {w} >= {max(2, n // 2)} THEN {agg[kind]}({c}) {w} END")
     return out
 
 
@@ -104,13 +107,12 @@ def sequences(df: DataFrame, features: list[str], length: int, h: int, label: st
 
 def history_columns(cols: list[str], steps, widths, city: str = "city") -> dict[str, Column]:
     """Lags and rolls as they stand for a moment just after the row (no minimum count)."""
-    w = window([city])
-    out = {f"{c}_lag_{k}h": F.lag(c, k - 1).over(w) for c in cols for k in steps}
+    out = {f"{c}_lag_{k}h": F.expr(f"lag({c}, {k - 1}) {_over([city])}") for c in cols for k in steps}
     for c in cols:
         for n in widths:
-            frame = w.rowsBetween(1 - n, 0)
-            out[f"{c}_roll_mean_{n}h"] = F.avg(c).over(frame)
-            out[f"{c}_roll_max_{n}h"] = F.max(c).over(frame)
+            w = _over([city], f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
+            out[f"{c}_roll_mean_{n}h"] = F.expr(f"avg({c}) {w}")
+            out[f"{c}_roll_max_{n}h"] = F.expr(f"max({c}) {w}")
     return out
 
 
