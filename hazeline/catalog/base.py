@@ -41,13 +41,13 @@ def plain(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Round double columns for comparison."""
     return df.select(*[F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def query(name: str, sql: str | None = None, digits: int | None = 6):
+def query(name: str, sql: str | None = None, digits: int | None = 9):
     """Register ``f(tables)``; results are rounded and freed of time zones."""
 
     def wrap(f: Callable[[Tables], DataFrame]):
@@ -137,5 +137,5 @@ def with_readings(body: str, *ctes: str) -> str:
     return f"WITH {', '.join([READINGS_CTE, *ctes])}\n{body}"
 
 
-def r6(*cols: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+def rn(*cols: str) -> str:
+    return ", ".join(f"round({c}, 9) AS {c}" for c in cols)

@@ -2,18 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import query, r6, with_readings
+from hazeline.catalog.base import query, rn, with_readings
 from hazeline.operators import clean as C
 from hazeline.operators import filters as FL
 from hazeline.operators import profile as P
 from hazeline.schema import GASES
 
-_G6 = r6(*GASES)
+_G6 = rn(*GASES)
 
 
 @query("p1_head_tail", with_readings(
-    """SELECT * FROM (SELECT city, dt, round(co, 6) AS co, 'head' AS part FROM readings ORDER BY city, dt LIMIT 5)
-UNION ALL SELECT * FROM (SELECT city, dt, round(co, 6) AS co, 'tail' AS part FROM readings ORDER BY city DESC, dt DESC LIMIT 5)"""))
+    """SELECT * FROM (SELECT city, dt, round(co, 9) AS co, 'head' AS part FROM readings ORDER BY city, dt LIMIT 5)
+UNION ALL SELECT * FROM (SELECT city, dt, round(co, 9) AS co, 'tail' AS part FROM readings ORDER BY city DESC, dt DESC LIMIT 5)"""))
 def head_tail(t):
     return P.head_tail(t.readings.select("city", "dt", "co"), ["city", "dt"], 5)
 
@@ -78,8 +78,8 @@ def dropped(t):
 
 
 @query("p9_drop_duplicate_columns", with_readings(
-    f"SELECT {', '.join(['city', 'dt', _G6, r6('temp', 'humidity', 'wind')])}, aqi_category, CAST(wind AS VARCHAR) AS wind_text, "
-    "flag, round(blank, 6) AS blank FROM doubled", _DOUBLED))
+    f"SELECT {', '.join(['city', 'dt', _G6, rn('temp', 'humidity', 'wind')])}, aqi_category, CAST(wind AS VARCHAR) AS wind_text, "
+    "flag, round(blank, 9) AS blank FROM doubled", _DOUBLED))
 def deduplicated(t):
     return C.drop_duplicate_columns(_doubled(t))
 
@@ -103,7 +103,7 @@ def _filled(cols, part):
     def one(c):
         up = f"last_value({c} IGNORE NULLS) OVER ({part} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         down = f"first_value({c} IGNORE NULLS) OVER ({part} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
-        return f"round(coalesce({up}, {down}), 6) AS {c}"
+        return f"round(coalesce({up}, {down}), 9) AS {c}"
     return ", ".join(one(c) for c in cols)
 
 
@@ -126,7 +126,7 @@ def _line(c):
 @query("p15_interpolate", with_readings(
     "SELECT e.city, e.dt, " + ", ".join(
         f"""round(coalesce(e.{c}, CASE WHEN epoch(a_{c}) - epoch(b_{c}) <= 4 * 3600 THEN
-  bb_{c}.{c} + (aa_{c}.{c} - bb_{c}.{c}) * (epoch(e.dt) - epoch(b_{c})) / (epoch(a_{c}) - epoch(b_{c})) END), 6) AS {c}""" for c in ("pm25", "o3")) +
+  bb_{c}.{c} + (aa_{c}.{c} - bb_{c}.{c}) * (epoch(e.dt) - epoch(b_{c})) / (epoch(a_{c}) - epoch(b_{c})) END), 9) AS {c}""" for c in ("pm25", "o3")) +
     " FROM ends e " + " ".join(
         f"LEFT JOIN readings bb_{c} ON bb_{c}.city = e.city AND bb_{c}.dt = b_{c} LEFT JOIN readings aa_{c} ON aa_{c}.city = e.city AND aa_{c}.dt = a_{c}"
         for c in ("pm25", "o3")),
@@ -136,7 +136,7 @@ def interpolated(t):
 
 
 @query("p16_median_fill", with_readings(
-    "SELECT r.city, r.dt, " + ", ".join(f"round(coalesce(r.{c}, m.{c}), 6) AS {c}" for c in ("pm25", "so2")) +
+    "SELECT r.city, r.dt, " + ", ".join(f"round(coalesce(r.{c}, m.{c}), 9) AS {c}" for c in ("pm25", "so2")) +
     " FROM readings r JOIN med m ON m.city = r.city AND m.m = month(r.dt)",
     "med AS (SELECT city, month(dt) AS m, quantile_cont(pm25, 0.5) AS pm25, quantile_cont(so2, 0.5) AS so2 FROM readings GROUP BY ALL)"))
 def medians(t):
@@ -163,7 +163,7 @@ def dedupe(t):
 
 @query("p19_audit_report", with_readings(
     f"""SELECT coalesce(s.measure, a.measure) AS measure,
-  round(CASE WHEN s.measure LIKE 'accuracy%' AND s.v > 1 THEN s.v / 100 ELSE s.v END, 6) AS stored_value, round(a.v, 6) AS actual_value,
+  round(CASE WHEN s.measure LIKE 'accuracy%' AND s.v > 1 THEN s.v / 100 ELSE s.v END, 9) AS stored_value, round(a.v, 9) AS actual_value,
   CASE WHEN a.measure IS NULL THEN 'not_recomputed' WHEN s.measure IS NULL THEN 'not_stored'
     WHEN abs(s.v - a.v) <= 1e-6 * greatest(1.0, abs(a.v)) THEN 'ok' ELSE 'differs' END AS status
 FROM stored s FULL JOIN actual a ON a.measure = s.measure""",
@@ -189,12 +189,12 @@ def missing(t):
     return P.missing_features(_doubled(t), ["pm25", "co", "blank", "nh3"])
 
 
-@query("f1_slice", with_readings("SELECT city, dt, round(co, 6) AS co FROM readings WHERE city = 'S1' AND month(dt) = 1"))
+@query("f1_slice", with_readings("SELECT city, dt, round(co, 9) AS co FROM readings WHERE city = 'S1' AND month(dt) = 1"))
 def sliced(t):
     return FL.slice_readings(t.readings.select("city", "dt", "co"), "S1", 1)
 
 
-@query("f1_slice_all", with_readings("SELECT city, dt, round(co, 6) AS co FROM readings"))
+@query("f1_slice_all", with_readings("SELECT city, dt, round(co, 9) AS co FROM readings"))
 def unsliced(t):
     return FL.slice_readings(t.readings.select("city", "dt", "co"), "ALL", "ALL")
 
@@ -254,7 +254,7 @@ def strat(t):
 
 
 @query("f9_tail_before", with_readings(
-    """SELECT city, dt, round(co, 6) AS co FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY dt DESC) AS rn
+    """SELECT city, dt, round(co, 9) AS co FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY dt DESC) AS rn
   FROM readings WHERE dt < TIMESTAMP '2024-01-15 00:00:00') WHERE rn <= 48"""))
 def tail(t):
     return FL.tail_before(t.readings.select("city", "dt", "co"), "2024-01-15 00:00:00", 48)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import BREAKS_CTE, ordinal, query, r6, sub_index_sql, with_readings
+from hazeline.catalog.base import BREAKS_CTE, ordinal, query, rn, sub_index_sql, with_readings
 from hazeline.catalog.scans import INDEX_CTE
 from hazeline.functions import values as V
 from hazeline.functions.index import add_index, band, eligible, sub_index
@@ -12,7 +12,7 @@ from hazeline.schema import GASES, LABELS
 
 
 @query("e1_sub_index", with_readings(
-    "SELECT city, dt, gas, round(idx, 6) AS idx FROM fx"))
+    "SELECT city, dt, gas, round(idx, 9) AS idx FROM fx"))
 def sub_indices(t):
     items = F.array(*[F.struct(F.lit(g).alias("gas"), sub_index(g, g).alias("idx")) for g in GASES])
     return t.readings.select("city", "dt", F.inline(items))
@@ -23,7 +23,7 @@ def sub_indices(t):
     l_tax * 1000.0::DOUBLE AS no2, l_quantity - 2.0::DOUBLE AS co, l_extendedprice / 50.0::DOUBLE AS so2,
     l_discount * 10000.0::DOUBLE AS o3 FROM lineitem),
 {BREAKS_CTE}, {sub_index_sql('prices', 'l_orderkey, l_linenumber', ['pm25', 'pm10', 'no2', 'co', 'so2', 'o3'])}
-SELECT l_orderkey, l_linenumber, round(sum(idx), 6) AS idx, round(max(idx), 6) AS top FROM parts GROUP BY ALL""")
+SELECT l_orderkey, l_linenumber, round(sum(idx), 9) AS idx, round(max(idx), 9) AS top FROM parts GROUP BY ALL""")
 def wide_range(t):
     p = t("lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / 50).alias("pm25"), (F.col("l_quantity") * 10 - 20).alias("pm10"),
@@ -72,12 +72,12 @@ def alphabetical(t):
 
 
 @query("e9_cyclical", with_readings(
-    """SELECT city, dt, round(sin(2 * pi() * hour(dt) / 24), 6) + 0 AS hour_sin, round(cos(2 * pi() * hour(dt) / 24), 6) + 0 AS hour_cos,
-  round(sin(2 * pi() * (month(dt) - 1) / 12), 6) + 0 AS month_sin, round(cos(2 * pi() * (month(dt) - 1) / 12), 6) + 0 AS month_cos
+    """SELECT city, dt, round(sin(2 * pi() * hour(dt) / 24), 9) + 0 AS hour_sin, round(cos(2 * pi() * hour(dt) / 24), 9) + 0 AS hour_cos,
+  round(sin(2 * pi() * (month(dt) - 1) / 12), 9) + 0 AS month_sin, round(cos(2 * pi() * (month(dt) - 1) / 12), 9) + 0 AS month_cos
 FROM readings"""))
 def cycles(t):
     c = ["hour_sin", "hour_cos", "month_sin", "month_cos"]
-    return V.cyclical(t.readings).select("city", "dt", *[(F.round(x, 6) + 0.0).alias(x) for x in c])
+    return V.cyclical(t.readings).select("city", "dt", *[(F.round(x, 9) + 0.0).alias(x) for x in c])
 
 
 @query("e10_calendar", """SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
@@ -93,8 +93,8 @@ def targets(t):
 
 
 @query("e12_scaling", with_readings(
-    """SELECT city, dt, round((co - (SELECT avg(co) FROM cutoff)) / (SELECT stddev_pop(co) FROM cutoff), 6) AS co,
-  round((humidity - (SELECT avg(humidity) FROM cutoff)) / (SELECT stddev_pop(humidity) FROM cutoff), 6) AS humidity
+    """SELECT city, dt, round((co - (SELECT avg(co) FROM cutoff)) / (SELECT stddev_pop(co) FROM cutoff), 9) AS co,
+  round((humidity - (SELECT avg(humidity) FROM cutoff)) / (SELECT stddev_pop(humidity) FROM cutoff), 9) AS humidity
 FROM readings""", """times AS (SELECT dt, row_number() OVER (ORDER BY dt) - 1 AS p, count(*) OVER () AS n
   FROM (SELECT DISTINCT dt FROM readings)), cutoff AS (SELECT * FROM readings WHERE dt <
   (SELECT dt FROM times WHERE p = CAST(floor(n * 0.7::DOUBLE) AS BIGINT)))"""))
@@ -104,7 +104,7 @@ def scaled(t):
     return fitted.transform(t.readings.select("city", "dt", "co", "humidity"))
 
 
-@query("e12_inverse_scaling", with_readings(f"SELECT city, dt, {r6('co', 'humidity')} FROM readings"))
+@query("e12_inverse_scaling", with_readings(f"SELECT city, dt, {rn('co', 'humidity')} FROM readings"))
 def unscaled(t):
     df = t.readings.select("city", "dt", "co", "humidity")
     s = fit_scaling(df, ["co", "humidity"])

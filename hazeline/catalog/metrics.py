@@ -61,7 +61,7 @@ METRIC_CTES = [*prediction_ctes(), REPORT_CTE, """metrics AS (
 
 _DOUBLES = ["accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "balanced_accuracy", "macro_recall",
             "macro_f1", "very_unhealthy_recall", "hazardous_recall", "severe_class_recall"]
-METRIC_COLUMNS = ", ".join(f"round({c}, 6) AS {c}" for c in _DOUBLES) + ", very_unhealthy_support, hazardous_support, rows"
+METRIC_COLUMNS = ", ".join(f"round({c}, 9) AS {c}" for c in _DOUBLES) + ", very_unhealthy_support, hazardous_support, rows"
 METRIC_SELECT = f"SELECT horizon_hours, model, {METRIC_COLUMNS} FROM metrics"
 
 
@@ -91,8 +91,8 @@ def confusion(t):
 
 
 @query("m25_class_report", with_readings(
-    """SELECT horizon_hours, model, CAST(label_id AS INT) AS label_id, support, predicted, tp, round(precision, 6) AS precision,
-  round(recall, 6) AS recall, round(f1, 6) AS f1 FROM report""", *prediction_ctes(), REPORT_CTE))
+    """SELECT horizon_hours, model, CAST(label_id AS INT) AS label_id, support, predicted, tp, round(precision, 9) AS precision,
+  round(recall, 9) AS recall, round(f1, 9) AS f1 FROM report""", *prediction_ctes(), REPORT_CTE))
 def class_report(t):
     by = ["horizon_hours", "model"]
     return E.class_report(E.confusion(baseline_predictions(t), "target", "pred", by=by), by)
@@ -107,24 +107,24 @@ _SHORT = [*prediction_ctes([1, 24]), REPORT_CTE]
 
 
 @query("m26_weighted_metrics", with_readings(
-    """SELECT horizon_hours, model, round(sum(tp) / sum(support), 6) AS accuracy,
-  round(sum(precision * support) / sum(support), 6) AS precision_weighted,
-  round(sum(recall * support) / sum(support), 6) AS recall_weighted,
-  round(sum(f1 * support) / sum(support), 6) AS f1_weighted FROM report GROUP BY ALL""", *_SHORT))
+    """SELECT horizon_hours, model, round(sum(tp) / sum(support), 9) AS accuracy,
+  round(sum(precision * support) / sum(support), 9) AS precision_weighted,
+  round(sum(recall * support) / sum(support), 9) AS recall_weighted,
+  round(sum(f1 * support) / sum(support), 9) AS f1_weighted FROM report GROUP BY ALL""", *_SHORT))
 def weighted(t):
     return E.weighted_metrics(*_report(t))
 
 
 @query("m27_macro_metrics", with_readings(
-    """SELECT horizon_hours, model, round(avg(recall), 6) AS macro_recall, round(avg(f1), 6) AS macro_f1
+    """SELECT horizon_hours, model, round(avg(recall), 9) AS macro_recall, round(avg(f1), 9) AS macro_f1
 FROM report WHERE support > 0 OR predicted > 0 GROUP BY ALL""", *_SHORT))
 def macro(t):
     return E.macro_metrics(*_report(t))
 
 
 @query("m28_balanced_accuracy", with_readings(
-    """SELECT horizon_hours, model, round(avg(recall) FILTER (WHERE support > 0), 6) AS balanced_accuracy,
-  round(avg(recall) FILTER (WHERE support > 0 OR predicted > 0), 6) AS macro_variant FROM report GROUP BY ALL""", *_SHORT))
+    """SELECT horizon_hours, model, round(avg(recall) FILTER (WHERE support > 0), 9) AS balanced_accuracy,
+  round(avg(recall) FILTER (WHERE support > 0 OR predicted > 0), 9) AS macro_variant FROM report GROUP BY ALL""", *_SHORT))
 def balanced(t):
     rep, by = _report(t)
     macro_form = E.balanced_accuracy(rep, by, "macro").withColumnRenamed("balanced_accuracy", "macro_variant")
@@ -132,9 +132,9 @@ def balanced(t):
 
 
 @query("m29_severe_recall", with_readings(
-    """SELECT horizon_hours, model, round(v.recall, 6) AS very_unhealthy_recall, round(v.f1, 6) AS very_unhealthy_f1,
-  v.support AS very_unhealthy_support, round(h.recall, 6) AS hazardous_recall, round(h.f1, 6) AS hazardous_f1,
-  h.support AS hazardous_support, round((v.recall + h.recall) / 2, 6) AS severe_class_recall
+    """SELECT horizon_hours, model, round(v.recall, 9) AS very_unhealthy_recall, round(v.f1, 9) AS very_unhealthy_f1,
+  v.support AS very_unhealthy_support, round(h.recall, 9) AS hazardous_recall, round(h.f1, 9) AS hazardous_f1,
+  h.support AS hazardous_support, round((v.recall + h.recall) / 2, 9) AS severe_class_recall
 FROM report v JOIN report h USING (horizon_hours, model) WHERE v.label_id = 4 AND h.label_id = 5""", *_SHORT))
 def severe(t):
     return E.severe_recall(*_report(t))
@@ -181,7 +181,7 @@ def named(t):
 
 
 @query("j3_attach_metrics", metric_sql(
-    """SELECT p.city, p.dt, p.horizon_hours, p.model, p.pred, round(m.accuracy, 6) AS accuracy FROM preds p
+    """SELECT p.city, p.dt, p.horizon_hours, p.model, p.pred, round(m.accuracy, 9) AS accuracy FROM preds p
 LEFT JOIN (SELECT * FROM metrics WHERE model <> 'Lag Three') m USING (horizon_hours, model) WHERE p.horizon_hours = 24"""))
 def with_metrics(t):
     m = _small(t).filter("model <> 'Lag Three'").select("horizon_hours", "model", "accuracy")
@@ -190,8 +190,8 @@ def with_metrics(t):
 
 
 @query("j4_replace_models", metric_sql(
-    """SELECT horizon_hours, model, round(accuracy, 6) AS accuracy FROM metrics WHERE model <> 'Lag Three'
-UNION ALL SELECT horizon_hours, 'Lag Three', round(macro_f1, 6) FROM metrics WHERE model = 'Lag Three' AND horizon_hours = 1"""))
+    """SELECT horizon_hours, model, round(accuracy, 9) AS accuracy FROM metrics WHERE model <> 'Lag Three'
+UNION ALL SELECT horizon_hours, 'Lag Three', round(macro_f1, 9) FROM metrics WHERE model = 'Lag Three' AND horizon_hours = 1"""))
 def replaced(t):
     m = _small(t)
     new = m.filter("model = 'Lag Three' and horizon_hours = 1").select("horizon_hours", "model", F.col("macro_f1").alias("accuracy"))
@@ -199,7 +199,7 @@ def replaced(t):
 
 
 @query("j5_update_metrics", metric_sql(
-    """SELECT o.horizon_hours, o.model, round(CASE WHEN n.model IS NOT NULL THEN n.accuracy ELSE o.accuracy END, 6) AS accuracy
+    """SELECT o.horizon_hours, o.model, round(CASE WHEN n.model IS NOT NULL THEN n.accuracy ELSE o.accuracy END, 9) AS accuracy
 FROM metrics o LEFT JOIN (SELECT model, accuracy FROM metrics WHERE horizon_hours = 1 AND model <> 'Constant Level') n
   ON n.model = o.model"""))
 def updated(t):
@@ -209,7 +209,7 @@ def updated(t):
 
 
 @query("k4_leaderboard", metric_sql(
-    """SELECT model, round(score, 6) AS score, rank, CASE WHEN rank = 1 THEN 'best' WHEN rank = n THEN 'worst' END AS place
+    """SELECT model, round(score, 9) AS score, rank, CASE WHEN rank = 1 THEN 'best' WHEN rank = n THEN 'worst' END AS place
 FROM (SELECT model, score, row_number() OVER (ORDER BY score DESC, model) AS rank, count(*) OVER () AS n
   FROM (SELECT model, coalesce(NULLIF(severe_class_recall, 0), accuracy, 0.0) AS score FROM metrics WHERE horizon_hours = 1))"""))
 def board(t):
@@ -218,20 +218,20 @@ def board(t):
 
 
 @query("k5_best_per_horizon", metric_sql(
-    """SELECT horizon_hours, arg_max(model, (accuracy, model)) AS model, round(max(accuracy), 6) AS accuracy
+    """SELECT horizon_hours, arg_max(model, (accuracy, model)) AS model, round(max(accuracy), 9) AS accuracy
 FROM metrics GROUP BY horizon_hours"""))
 def best(t):
     return K.best_per_horizon(_small(t))
 
 
 @query("k6_sort_metrics", metric_sql(
-    "SELECT horizon_hours, model, round(accuracy, 6) AS accuracy FROM metrics ORDER BY horizon_hours, accuracy DESC, model"))
+    "SELECT horizon_hours, model, round(accuracy, 9) AS accuracy FROM metrics ORDER BY horizon_hours, accuracy DESC, model"))
 def ordered(t):
     return K.sort_metrics(_small(t).select("horizon_hours", "model", "accuracy"))
 
 
 @query("k7_best_config", metric_sql(
-    """SELECT model || ' ' || horizon_hours AS config_label, round(1 - accuracy, 6) AS final_loss FROM metrics
+    """SELECT model || ' ' || horizon_hours AS config_label, round(1 - accuracy, 9) AS final_loss FROM metrics
 ORDER BY 1 - accuracy, 1 LIMIT 1"""))
 def best_config(t):
     grid = _small(t).select(F.concat_ws(" ", "model", "horizon_hours").alias("config_label"), (1 - F.col("accuracy")).alias("final_loss"))

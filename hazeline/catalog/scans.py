@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import BREAKS_CTE, OBS_CTE, query, r6, with_readings
+from hazeline.catalog.base import BREAKS_CTE, OBS_CTE, query, rn, with_readings
 from hazeline.catalog.metrics import METRIC_CTES, METRIC_SELECT, baseline_metrics
 from hazeline.functions.index import add_index
 from hazeline.functions.values import calendar, parse_ts
@@ -13,7 +13,7 @@ from hazeline.sources.readings import read_readings, standardise_names, write_re
 from hazeline.sources.reports import read_metrics, write_report
 
 READING_COLUMNS = ["city", "dt", *GASES, "temp", "humidity", "wind", "aqi_category"]
-_ROUND = "city, dt, " + r6(*GASES, "temp", "humidity", "wind") + ", aqi_category"
+_ROUND = "city, dt, " + rn(*GASES, "temp", "humidity", "wind") + ", aqi_category"
 
 _DOMINANT = ("CASE WHEN i1 = top THEN 'PM2.5' WHEN i2 = top THEN 'PM10' WHEN i3 = top THEN 'NO2' "
              "WHEN i4 = top THEN 'CO' WHEN i5 = top THEN 'SO2' ELSE 'O3' END")
@@ -31,7 +31,7 @@ indexed AS (SELECT r.*, i1, i2, i3, i4, i5, i6, top, round(top, 2) AS aqi, {_BAN
 
 
 @query("flagship_city_index", with_readings(
-    f"""SELECT city, count(*) AS records, round(avg(aqi), 6) AS mean_aqi, max(aqi) AS max_aqi,
+    f"""SELECT city, count(*) AS records, round(avg(aqi), 9) AS mean_aqi, max(aqi) AS max_aqi,
   count(*) FILTER (WHERE band IN ('Poor', 'Very Poor', 'Severe')) AS bad_hours FROM indexed GROUP BY city""", INDEX_CTE))
 def flagship(t):
     return add_index(t.readings).groupBy("city").agg(
@@ -109,13 +109,13 @@ LIVE_CTES = (OBS_CTE, BREAKS_CTE, """live AS (
 
 
 @query("s8_flatten_live", f"WITH {', '.join(LIVE_CTES)} SELECT event_id, city, ts, "
-       f"{r6(*GASES, 'temp', 'humidity', 'wind')} FROM live")
+       f"{rn(*GASES, 'temp', 'humidity', 'wind')} FROM live")
 def live(t):
     return flatten_live(payloads(t))
 
 
 @query("s9_feature_set", with_readings(
-    f"""SELECT city, dt, {r6(*GASES, 'temp', 'humidity', 'wind')}, CAST(hour(dt) AS INT) AS hour,
+    f"""SELECT city, dt, {rn(*GASES, 'temp', 'humidity', 'wind')}, CAST(hour(dt) AS INT) AS hour,
   CAST(month(dt) AS INT) AS month, CAST((dayofweek(dt) + 6) % 7 AS INT) AS day_of_week FROM readings"""))
 def features(t):
     return calendar(t.readings).select("city", "dt", *feature_set("nowcast"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.values import encode
+from hazeline.operators.clean import dedupe_ts
+from hazeline.operators.filters import city_or_all
 from hazeline.operators.joins import asof_attach
 from hazeline.operators.panel import chunked, own_rows, window
 from hazeline.schema import GASES, LAG_STEPS, ROLL_WIDTHS
@@ -178,3 +180,10 @@ def smooth(df: DataFrame, key: str, value: str) -> DataFrame:
     """Centred three-point mean over an already grouped series; partial at the ends."""
     w = Window.orderBy(key).rowsBetween(-1, 1)
     return df.withColumn(f"{value}_smooth", F.avg(value).over(w))
+
+
+def timeline(df: DataFrame, name: str, n: int = 24, cols=GASES, city: str = "city", time: str = "dt") -> DataFrame:
+    """Last n complete rows of a city, one per timestamp, oldest first; all cities if it is unknown."""
+    rows = city_or_all(df, name)
+    rows = dedupe_ts(rows, [time], [city]).na.drop(subset=list(cols))
+    return rows.orderBy(F.col(time).desc()).limit(n).orderBy(time)
