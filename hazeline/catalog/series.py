@@ -51,7 +51,7 @@ def chunk_edges(t):
 @query("w1_time_lags", with_readings(
     "SELECT r.city, r.dt, round(p.co, 9) AS co_at_6h FROM readings r LEFT JOIN readings p ON p.city = r.city AND p.dt = r.dt - INTERVAL 6 HOUR"))
 def time_lags(t):
-    return W.time_lags(t.readings.select("city", "dt", "co"), ["co"], 9).drop("co")
+    return W.time_lags(t.readings.select("city", "dt", "co"), ["co"], 6).drop("co")
 
 
 @query("w4_w5_lead_label", with_readings(

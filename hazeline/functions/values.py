@@ -45,14 +45,14 @@ def coerce(col: Column | str, fallback: Column | float) -> Column:
 
 def encode(col: str, labels=LABELS) -> Column:
     """Ordinal 0..k-1 of a label column, null when unknown."""
-    arms = " ".join(f"WHEN '{lab}' THEN {i}" for i, lab in enumerate(labels))
-    return F.expr(f"CASE {col} {arms} END")
+    pairs = ", ".join(f"'{lab}', {i}" for i, lab in enumerate(labels))
+    return F.expr(f"try_element_at(map({pairs}), {col})")
 
 
 def decode(col: str, labels=LABELS, unknown: str = "Unknown") -> Column:
     """Label of an ordinal (column name or SQL expression), ``unknown`` when out of range or null."""
-    arms = " ".join(f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(labels))
-    return F.expr(f"CASE CAST({col} AS INT) {arms} ELSE '{unknown}' END")
+    pairs = ", ".join(f"{i}, '{lab}'" for i, lab in enumerate(labels))
+    return F.expr(f"coalesce(try_element_at(map({pairs}), CAST({col} AS INT)), '{unknown}')")
 
 
 def band_ordinal(col: str) -> Column:
