@@ -1 +1,52 @@
-"""Pending."""
+"""City mentions and set operations."""
+
+from pyspark.sql import functions as F
+
+from hazeline.catalog.base import query, rn, with_readings
+from hazeline.operators import joins as J
+from hazeline.operators import sets as U
+from hazeline.schema import GASES
+
+
+def _names(t):
+    """Names to look for: the first word of each benchmark text, without edge punctuation."""
+    first = F.regexp_replace(F.split_part(F.regexp_replace("text", r"\s+", " "), F.lit(" "), F.lit(1)), r"[^\p{L}]+$", "")
+    return t("benchmark").select(first.alias("city")).filter(F.length("city") >= 4)
+
+
+_NAMES = """names AS (SELECT DISTINCT city FROM (SELECT regexp_replace(split_part(regexp_replace(text, '\\s+', ' ', 'g'), ' ', 1), '[^\\p{L}]+$', '') AS city
+  FROM benchmark) WHERE length(city) >= 4)"""
+_MENTIONS = f"""WITH {_NAMES}
+SELECT d.doc_id, coalesce(min(n.city), 'Delhi') AS city FROM documents d LEFT JOIN names n ON contains(lower(d.text), lower(n.city)) GROUP BY d.doc_id"""
+
+
+@query("j6_city_mentions", _MENTIONS)
+def mentions(t):
+    return J.city_mentions(t("documents"), _names(t))
+
+
+@query("j6_city_mentions_long_list", _MENTIONS)
+def mentions_long(t):
+    return J.city_mentions(t("documents"), _names(t), limit=1)
+
+
+@query("u1_union_rows", with_readings(
+    f"""SELECT city, dt, {rn('co')}, NULL::VARCHAR AS origin FROM readings
+UNION ALL SELECT city, dt, {rn('co')}, 'copy' FROM readings WHERE aqi_category = 'Hazardous'"""))
+def union_rows(t):
+    r = t.readings.select("city", "dt", "co", "aqi_category")
+    return U.union_rows(r.drop("aqi_category"), r.filter("aqi_category = 'Hazardous'").drop("aqi_category").withColumn("origin", F.lit("copy")))
+
+
+@query("u2_append_current", with_readings(
+    f"""SELECT city, dt, {rn('co')}, {rn('pm25')} FROM readings
+UNION ALL SELECT city, max(dt) + INTERVAL 1 HOUR, round(arg_max(co, dt), 9), NULL FROM readings GROUP BY city"""))
+def append_current(t):
+    r = t.readings.select("city", "dt", "co", "pm25")
+    now = r.groupBy("city").agg((F.max("dt") + F.expr("INTERVAL 1 HOUR")).alias("dt"), F.max_by("co", "dt").alias("co"))
+    return U.append_current(r, now.withColumn("extra", F.lit(1)))
+
+
+@query("u3_column_sets")
+def column_sets(t):
+    return U.column_sets(t.readings, [*GASES, "nh3"])

@@ -1 +1,267 @@
-"""Pending."""
+"""Learners, clusters, synthetic rows and scoring.
+
+Fits are re-run per call; the registered parameters are small so that a check
+takes seconds. The library's defaults are the published ones.
+"""
+
+from functools import partial
+
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from hazeline.catalog.base import query, rn, with_readings
+from hazeline.catalog.series import requests
+from hazeline.functions.values import decode, encode
+from hazeline.operators import cluster as C
+from hazeline.operators import models as M
+from hazeline.operators.clean import fill_city
+from hazeline.operators.evaluate import evaluate
+from hazeline.operators.filters import sample_n
+from hazeline.operators.splits import balanced_weights, split_strat
+from hazeline.plans import forecast as P
+from hazeline.plans import synthetic as Y
+from hazeline.schema import GASES, WEATHER, feature_set
+from hazeline.session import scratch_path
+from hazeline.sources.models import load_model, save_model
+
+NOWCAST = feature_set("nowcast")
+SYNTH = feature_set("synthetic")
+
+
+def complete(t):
+    """Readings with gases filled per city, as the sequence models see them."""
+    return fill_city(t.readings, GASES)
+
+
+def nowcast_split(t):
+    df = P.nowcast_table(complete(t)).select("city", "dt", *[F.col(c).cast("double").alias(c) for c in NOWCAST], "target")
+    df = split_strat(df, "target", 0.8, 42, ["city", "dt"]).persist()
+    train = balanced_weights(df.filter("split = 'train'").drop("split"), "target")
+    return train, df.filter("split = 'test'").drop("split")
+
+
+def _scored(t, estimator):
+    train, test = nowcast_split(t)
+    model = M.fit(estimator, train, NOWCAST)
+    return model.transform(test)
+
+
+def _evaluated(t, estimator):
+    return evaluate(_scored(t, estimator), "target", "prediction")
+
+
+@query("m7_logistic")
+def logistic(t):
+    return _evaluated(t, M.logistic(max_iter=100))
+
+
+@query("m8_tree")
+def tree(t):
+    return _evaluated(t, M.tree(depth=12))
+
+
+@query("m9_forest")
+def forest(t):
+    return _evaluated(t, M.forest(n=20, depth=10))
+
+
+@query("m10_boost_hist")
+def boost_hist(t):
+    return _evaluated(t, M.boost_hist(rounds=5, depth=4))
+
+
+@query("m11_boost_sampled")
+def boost_sampled(t):
+    return _evaluated(t, M.boost_sampled(rounds=5, depth=4))
+
+
+@query("m13_linear_svm")
+def linear_svm(t):
+    return _evaluated(t, M.linear_svm(max_iter=20))
+
+
+@query("m14_gaussian_nb")
+def gaussian_nb(t):
+    return _evaluated(t, M.gaussian_nb())
+
+
+@query("m14_gaussian_moments", with_readings(
+    "SELECT aqi_category, round(n / sum(n) OVER (PARTITION BY feature), 9) AS prior, feature, round(mean, 9) AS mean, round(variance, 9) AS variance FROM ("
+    + " UNION ALL ".join(f"SELECT aqi_category, '{c}' AS feature, count(*) AS n, avg({c}) AS mean, avg({c} * {c}) - avg({c}) * avg({c}) AS variance "
+                         "FROM readings GROUP BY aqi_category" for c in ("co", "humidity", "pm25")) + ")"))
+def gaussian_moments(t):
+    return M.gaussian_moments(t.readings, ["co", "humidity", "pm25"], "aqi_category")
+
+
+@query("m15_mlp")
+def mlp(t):
+    return _evaluated(t, M.mlp([12, 64, 32, 6], max_iter=50))
+
+
+@query("m21_probabilities")
+def probabilities(t):
+    out = M.probabilities(_scored(t, M.logistic(max_iter=50)))
+    return out.select("city", "dt", "prediction_label", "confidence", F.map_values("probabilities").alias("p"))
+
+
+@query("s7_save_and_load")
+def save_and_load(t):
+    train, test = nowcast_split(t)
+    root = scratch_path(t.spark, "models")
+    save_model(M.fit(M.logistic(max_iter=20), train, NOWCAST), root, 1, "logistic_regression")
+    model, used = load_model(t.spark, root, 1, "random_forest")
+    return model.transform(test).select("city", "dt", F.lit(used).alias("model_used"), decode("prediction").alias("prediction"))
+
+
+def vectors(t):
+    return t("embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"), "label")
+
+
+@query("m12_knn", """WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS v, label, vec_id IN (SELECT vec_id FROM embeddings ORDER BY md5('3|' || vec_id) LIMIT 200) AS train FROM embeddings),
+d AS (SELECT q.vec_id, r.label, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_sum(list_transform(list_zip(q.v, r.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), r.vec_id) AS rn
+  FROM s q, s r WHERE r.train AND NOT q.train)
+SELECT vec_id, CAST(arg_max(label, c * 1000 - label) AS BIGINT) AS predicted FROM (SELECT vec_id, label, count(*) AS c FROM d WHERE rn <= 5 GROUP BY ALL) GROUP BY vec_id""")
+def knn(t):
+    v = vectors(t)
+    train = sample_n(v, 200, 3, ["vec_id"])
+    return C.knn(train, v.join(train.select("vec_id"), "vec_id", "left_anti"), "vec", "label", "vec_id")
+
+
+def cluster_vectors(t):
+    v = vectors(t).select("vec_id", array_to_vector("vec").alias("features"))
+    return v.persist()
+
+
+def cluster_table(model, v):
+    out = model.transform(v)
+    score = C.silhouette(out)
+    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(score))
+
+
+@query("m16_m19_kmeans")
+def kmeans(t):
+    v = cluster_vectors(t)
+    return cluster_table(C.kmeans(v, 6), v)
+
+
+@query("m17_bisecting")
+def bisecting(t):
+    v = cluster_vectors(t)
+    return cluster_table(C.bisecting(v, 6), v)
+
+
+def standard_rows(t):
+    """Clustering columns, standardised, as arrays."""
+    cols = feature_set("clustering_used")
+    df = VectorAssembler(inputCols=cols, outputCol="raw").transform(complete(t))
+    df = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True).fit(df).transform(df)
+    return df.select(F.concat_ws("|", "city", F.col("dt").cast("string")).alias("key"), "city", "dt", "features",
+                     vector_to_array("features").alias("vec"))
+
+
+@query("m18_density_clusters")
+def density(t):
+    rows = sample_n(standard_rows(t), 20000, 42, ["city", "dt"])
+    out = C.density_clusters(rows.select("key", "vec"), "vec", "key", 1.5, 10)
+    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m20_pca")
+def pca(t):
+    df = complete(t)
+    model, ratio = M.pca(df, feature_set("clustering_used"), 2)
+    out = M.pca_points(df, model, ["city", "dt", "aqi_category"])
+    return out.withColumns({"ratio1": F.lit(ratio[0]), "ratio2": F.lit(ratio[1])})
+
+
+BASE = [*GASES, *WEATHER, *P.CALENDAR]
+SHORT = dict(steps=[1, 3], widths=[3])
+
+
+def forecast_rows(t, horizons):
+    features = P.feature_names(BASE, **SHORT)
+    return P.training_frame(complete(t), horizons, features=features, **SHORT), features
+
+
+@query("m30_metric_grid")
+def metric_grid(t):
+    frame, features = forecast_rows(t, [1, 24])
+    makers = {"Logistic Regression": partial(M.logistic, max_iter=20), "Random Forest": partial(M.forest, n=10, depth=6)}
+    return P.metric_grid(frame, features, [1, 24], makers).drop("train_time_seconds")
+
+
+@query("m31_grid_search")
+def grid_search(t):
+    return Y.grid_search(complete(t), SYNTH, [2, 4, 8])
+
+
+def _synthetic(t):
+    df = complete(t)
+    return df, Y.synthesise(t.spark, Y.fit_latent(df, SYNTH, 8), df.count(), 42)
+
+
+@query("m33_synthesise")
+def synthesise(t):
+    return _synthetic(t)[1]
+
+
+@query("m32_m34_augment")
+def augment(t):
+    real, synth = _synthetic(t)
+    train = real.withColumn("target", encode("aqi_category"))
+    teacher = M.fit(M.forest(weight=None, n=20, depth=10, leaf=1), train, SYNTH)
+    labelled = Y.teacher_label(teacher, synth).withColumn("aqi_category", decode("target"))
+    out = Y.augment(real.select(*SYNTH, "aqi_category"), labelled.select(*SYNTH, "aqi_category"))
+    return out.groupBy("origin", "aqi_category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m34_augment_rule", with_readings(
+    f"""SELECT city, dt, {rn('co')}, aqi_category, 'real' AS origin FROM readings
+UNION ALL SELECT city, dt, round(co + 1, 9), aqi_category, 'synthetic' FROM readings WHERE aqi_category IN ('Hazardous', 'Severe', 'Very_Unhealthy', 'Unhealthy')"""))
+def augment_rule(t):
+    r = t.readings.select("city", "dt", "co", "aqi_category")
+    return Y.augment(r, r.withColumn("co", F.col("co") + 1))
+
+
+@query("m35_fidelity", with_readings(" UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round(rm, 9) AS real_mean, round(rs, 9) AS real_sd, round(sm, 9) AS synthetic_mean, round(ss, 9) AS synthetic_sd,
+  round(abs(rm - sm) / abs(rm) * 100, 9) AS mean_error_pct, round(ss / rs * 100, 9) AS sd_captured_pct,
+  CASE WHEN abs(rm - sm) / abs(rm) * 100 < 5 THEN 'EXCELLENT' WHEN abs(rm - sm) / abs(rm) * 100 < 15 THEN 'GOOD' ELSE 'FAIR' END AS verdict
+FROM (SELECT avg({c}) FILTER (WHERE city <> 'S0') AS rm, stddev_samp({c}) FILTER (WHERE city <> 'S0') AS rs,
+  avg({c}) FILTER (WHERE city = 'S0') AS sm, stddev_samp({c}) FILTER (WHERE city = 'S0') AS ss FROM readings)""" for c in ("pm25", "co", "no2"))))
+def fidelity(t):
+    r = t.readings
+    return Y.fidelity(r.filter("city <> 'S0'"), r.filter("city = 'S0'"), ["pm25", "co", "no2"])
+
+
+@query("m36_loss_check", """SELECT CAST(l_linenumber AS BIGINT) AS epochs, round(loss, 9) AS loss, round(rec + 0.001::DOUBLE * kl, 9) AS computed,
+  abs(rec + 0.001::DOUBLE * kl - loss) < 0.0005 AS consistent, round(kl / 8, 9) AS kl_per_dim, kl / 8 > 0.5 AS healthy, l_orderkey
+FROM (SELECT l_orderkey, l_linenumber, l_discount / 10.0::DOUBLE AS rec, l_quantity / 5.0::DOUBLE AS kl,
+  l_discount / 10.0::DOUBLE + l_quantity / 5.0::DOUBLE * 0.001::DOUBLE + CASE WHEN l_linenumber % 2 = 0 THEN 0.01::DOUBLE ELSE 0 END AS loss FROM lineitem)""")
+def loss_check(t):
+    li = t("lineitem").selectExpr(
+        "l_orderkey", "CAST(l_linenumber AS BIGINT) AS epochs", "l_discount / 10 AS reconstruction_loss", "l_quantity / 5D AS kl_loss",
+        "l_discount / 10 + l_quantity / 5D * 0.001D + CASE WHEN l_linenumber % 2 = 0 THEN 0.01D ELSE 0D END AS loss")
+    rows = F.collect_list(F.struct("epochs", "loss", "reconstruction_loss", "kl_loss"))
+    hist = li.groupBy("l_orderkey").agg(rows.alias("r")).select(
+        "l_orderkey", F.lit(8).alias("latent_dim"), *[F.col(f"r.{c}").alias(c) for c in ("epochs", "loss", "reconstruction_loss", "kl_loss")])
+    return Y.loss_check(hist, keep=["l_orderkey"])
+
+
+@query("m37_batch_forecast")
+def batch_forecast(t):
+    frame, features = forecast_rows(t, [1])
+    model = M.fit(M.logistic(weight=None, max_iter=20), frame, features, "city")
+    req = requests(t).withColumns({"horizon_hours": F.lit(1), "model": F.lit("logistic_regression")})
+    out = P.batch_forecast(req, complete(t), {(1, "logistic_regression"): model}, **SHORT)
+    return out.drop("probabilities")
+
+
+@query("m38_batch_nowcast")
+def batch_nowcast(t):
+    train, test = nowcast_split(t)
+    models = {"logistic": M.fit(M.logistic(max_iter=20), train, NOWCAST), "tree": M.fit(M.tree(depth=8), train, NOWCAST),
+              "naive_bayes": M.fit(M.gaussian_nb(), train, NOWCAST)}
+    rows = test.select(F.concat_ws("|", "city", F.col("dt").cast("string")).alias("row_id"), F.array(*NOWCAST).alias("features"))
+    return P.batch_nowcast(rows, models, "row_id")

@@ -124,8 +124,8 @@ def density(t):
   round(sum(c.n * exp(-power((lo + i * (hi - lo) / 199 - mid) / bw, 2) / 2) / (s.n * bw * sqrt(2 * pi()))), 9) AS density
 FROM range(200) g(i), stats s, bins c GROUP BY i, lo, hi""",
     """stats AS (SELECT count(pm25) AS n, min(pm25) AS lo, max(pm25) AS hi, stddev_samp(pm25) * power(count(pm25)::DOUBLE, -0.2) AS bw FROM readings),
-bins AS (SELECT ((lo + b * (hi - lo) / 512) + (lo + (b + 1) * (hi - lo) / 512)) / 2 AS mid, n FROM stats, (SELECT least(CAST(floor((pm25 - lo) / ((hi - lo) / 512)) AS BIGINT), 511) AS b,
-  count(*) AS n FROM readings, (SELECT lo, hi FROM stats) WHERE pm25 IS NOT NULL GROUP BY 1))"""))
+bins AS (SELECT ((lo + b * (hi - lo) / 512) + (lo + (b + 1) * (hi - lo) / 512)) / 2 AS mid, h.n FROM stats, (SELECT least(CAST(floor((pm25 - lo) / ((hi - lo) / 512)) AS BIGINT), 511) AS b,
+  count(*) AS n FROM readings, (SELECT lo, hi FROM stats) WHERE pm25 IS NOT NULL GROUP BY 1) h)"""))
 def kde(t):
     return A.kde(t.readings, "pm25")
 

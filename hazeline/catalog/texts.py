@@ -1 +1,50 @@
-"""Pending."""
+"""Text operators on the documents."""
+
+from pyspark.sql import functions as F
+
+from hazeline.catalog.base import query
+from hazeline.operators import text as X
+
+_WORDS = r"""words AS (SELECT doc_id, pos, regexp_replace(w, '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g') AS term
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^\s]+')) AS w, generate_subscripts(regexp_extract_all(text, '[^\s]+'), 1) AS pos FROM documents)),
+tokens AS (SELECT doc_id, pos, term FROM words WHERE regexp_full_match(term, '[\p{L}\p{N}]+'))"""
+_STOP = "lower(term) NOT IN (" + ", ".join(f"'{w}'" for w in X.STOP_WORDS) + ")"
+
+
+def _stem_sql():
+    arms = " ".join(f"WHEN regexp_matches(lower(term), '{p}') THEN regexp_replace(lower(term), '{p}', '{to.replace('$1', chr(92) + '1')}')" for p, to in X.STEM_RULES)
+    return f"CASE {arms} ELSE lower(term) END"
+
+
+def _terms(t, words):
+    return t("documents").select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("x1_tokens", f"WITH {_WORDS} SELECT doc_id, term, count(*) AS n FROM tokens GROUP BY ALL")
+def tokens(t):
+    return _terms(t, X.tokens("text"))
+
+
+@query("x2_drop_stopwords", f"WITH {_WORDS} SELECT doc_id, term, count(*) AS n FROM tokens WHERE {_STOP} GROUP BY ALL")
+def stopwords(t):
+    return _terms(t, X.drop_stopwords(X.tokens("text")))
+
+
+@query("x3_stem", f"WITH {_WORDS} SELECT doc_id, {_stem_sql()} AS term, count(*) AS n FROM tokens WHERE {_STOP} GROUP BY ALL")
+def stems(t):
+    return _terms(t, X.stem(X.drop_stopwords(X.tokens("text"))))
+
+
+@query("x4_polarity", f"""WITH {_WORDS},
+lexicon AS (SELECT DISTINCT lower(term) AS term, (length(lower(term)) % 5 - 2) / 2.0::DOUBLE AS weight FROM (
+  SELECT regexp_replace(w, '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+$', '', 'g') AS term FROM (SELECT unnest(regexp_extract_all(text, '[^\\s]+')) AS w FROM benchmark))
+  WHERE regexp_full_match(term, '[\\p{{L}}\\p{{N}}]+')),
+p AS (SELECT doc_id, avg(weight) AS polarity FROM tokens JOIN lexicon ON lexicon.term = lower(tokens.term) GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(polarity, 0.0), 9) AS polarity,
+  CASE WHEN polarity > 0 THEN 'Positive' WHEN polarity < 0 THEN 'Negative' ELSE 'Neutral' END AS sentiment
+FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id""")
+def polarity(t):
+    term = F.lower("term")
+    lexicon = t("benchmark").select(F.explode(X.tokens("text")).alias("term")).select(
+        term.alias("term"), ((F.length(term) % 5 - 2) / 2.0).alias("weight")).distinct()
+    return X.polarity(t("documents"), lexicon)

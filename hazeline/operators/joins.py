@@ -112,9 +112,9 @@ def mentions_by_gram(docs: DataFrame, names: DataFrame, default: str, key: str,
     width = keyed.agg(F.min(F.length("_k")).alias("m")).scalar()
     keyed = keyed.withColumn("_gram", F.substring(F.col("_k"), F.lit(1), width))
     body = docs.select(key, F.lower(text).alias("_body"))
-    grams = body.select(key, F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_body") - width + 1)),
-        lambda i: F.substring(F.col("_body"), i, width)))).alias("_gram"))
+    # a look-ahead yields overlapping grams in one pass over the text
+    every = F.concat(F.lit("(?s)(?=(.{"), width.cast("string"), F.lit("}))"))
+    grams = body.select(key, F.explode(F.array_distinct(F.regexp_extract_all("_body", every, F.lit(1)))).alias("_gram"))
     candidates = grams.join(keyed, "_gram").select(key, "city", "_k")
     hits = (candidates.join(body, key).filter(F.contains("_body", F.col("_k")))
             .groupBy(key).agg(F.min("city").alias("_found")))

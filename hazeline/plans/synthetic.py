@@ -86,13 +86,15 @@ def fidelity(real: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFram
         "verdict": F.when(err < 5, "EXCELLENT").when(err < 15, "GOOD").otherwise("FAIR")})
 
 
-def loss_check(history: DataFrame, beta: float = 0.001, tolerance: float = 0.0005) -> DataFrame:
+def loss_check(history: DataFrame, beta: float = 0.001, tolerance: float = 0.0005,
+               keep: list[str] | None = None) -> DataFrame:
     """Per epoch: reconstruction + beta * kl against the stored total, and KL per latent dimension.
 
     ``history`` has arrays ``epochs``, ``loss``, ``reconstruction_loss``, ``kl_loss`` and ``latent_dim``.
     """
-    h = history.select("latent_dim", F.inline(F.arrays_zip("epochs", "loss", "reconstruction_loss", "kl_loss")))
+    keep = keep or []
+    h = history.select(*keep, "latent_dim", F.inline(F.arrays_zip("epochs", "loss", "reconstruction_loss", "kl_loss")))
     total = F.col("reconstruction_loss") + beta * F.col("kl_loss")
     per_dim = F.col("kl_loss") / F.col("latent_dim")
-    return h.select("epochs", "loss", total.alias("computed"), (F.abs(total - F.col("loss")) < tolerance).alias("consistent"),
+    return h.select(*keep, "epochs", "loss", total.alias("computed"), (F.abs(total - F.col("loss")) < tolerance).alias("consistent"),
                     per_dim.alias("kl_per_dim"), (per_dim > 0.5).alias("healthy"))
