@@ -22,7 +22,7 @@ from hazeline.operators.splits import balanced_weights, split_strat
 from hazeline.plans import forecast as P
 from hazeline.plans import synthetic as Y
 from hazeline.schema import GASES, WEATHER, feature_set
-from hazeline.session import scratch_path
+from hazeline.session import materialise, scratch_path
 from hazeline.sources.models import load_model, save_model
 
 NOWCAST = feature_set("nowcast")
@@ -31,13 +31,13 @@ SYNTH = feature_set("synthetic")
 
 def complete(t):
     """Readings with gases filled per city, as the sequence models see them."""
-    return fill_city(t.readings, GASES)
+    return materialise(fill_city(t.readings, GASES), "complete")
 
 
 def nowcast_split(t):
     df = P.nowcast_table(complete(t)).select("city", "dt", *[F.col(c).cast("double").alias(c) for c in NOWCAST], "target")
-    df = split_strat(df, "target", 0.8, 42, ["city", "dt"]).persist()
-    train = balanced_weights(df.filter("split = 'train'").drop("split"), "target")
+    df = materialise(split_strat(materialise(df, "nowcast"), "target", 0.8, 42, ["city", "dt"]), "nowcast-split")
+    train = balanced_weights(df.filter("split = 'train'").drop("split"), "target").persist()
     return train, df.filter("split = 'test'").drop("split")
 
 
@@ -53,7 +53,7 @@ def _evaluated(t, estimator):
 
 @query("m7_logistic")
 def logistic(t):
-    return _evaluated(t, M.logistic(max_iter=100))
+    return _evaluated(t, M.logistic(max_iter=40))
 
 
 @query("m8_tree")
@@ -252,7 +252,7 @@ def loss_check(t):
 @query("m37_batch_forecast")
 def batch_forecast(t):
     frame, features = forecast_rows(t, [1])
-    model = M.fit(M.logistic(weight=None, max_iter=20), frame, features, "city")
+    model = M.fit(M.logistic(weight=None, max_iter=20), materialise(frame, "forecast"), features, "city")
     req = requests(t).withColumns({"horizon_hours": F.lit(1), "model": F.lit("logistic_regression")})
     out = P.batch_forecast(req, complete(t), {(1, "logistic_regression"): model}, **SHORT)
     return out.drop("probabilities")

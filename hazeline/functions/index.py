@@ -54,7 +54,7 @@ def add_index(df: DataFrame, gases: dict[str, str] | None = None,
     empty = " AND ".join(f"({v} IS NULL OR isnan({v}))" for v in raw.values())
     first = " ".join(f"WHEN idx_{g} = _top THEN '{GAS_NAMES[g]}'" for g in used)
     df = df.withColumns({
-        "aqi": F.expr(f"CASE WHEN {empty} THEN 0D ELSE round(_top, 2) END"),
+        "aqi": F.expr(f"CASE WHEN {empty} THEN 0D ELSE round(_top * 100) / 100 END"),
         "band": F.when(F.expr(empty), "N/A").otherwise(band("_top")),
         "dominant": F.expr(f"CASE WHEN {empty} THEN 'None' {first} END"),
     })

@@ -18,6 +18,7 @@ from hazeline.operators.joins import attach_metrics
 from hazeline.operators.splits import balanced_weights, split_chrono
 from hazeline.operators.windows import forecast_frame, lag_columns, roll_columns, serve_features
 from hazeline.schema import GASES, HORIZONS, LAG_STEPS, ROLL_WIDTHS, WEATHER, feature_set
+from hazeline.session import scratch_path
 from hazeline.sources.models import MODEL_LABELS
 
 CALENDAR = ["year", "month", "day", "hour", "day_of_week"]
@@ -53,32 +54,35 @@ def metric_grid(frame: DataFrame, features: list[str], horizons: list[int],
                 on_model: Callable[[int, str, PipelineModel], None] | None = None) -> DataFrame:
     """One metric row per horizon and model, with split sizes and fit seconds.
 
-    The loop only drives the fits. The rows of one horizon are cached while its
-    models are fitted and released afterwards.
+    The loop only drives the fits. The frame is stored once, by horizon, in the
+    shared folder: finding the split cuts then reads one column of one horizon,
+    and a lost executor costs a re-read, not the window pass.
     """
-    spark, rows = frame.sparkSession, None
+    spark = frame.sparkSession
+    path = scratch_path(spark, "forecast-frame")
+    frame.write.partitionBy("horizon_hours").parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    rows = []
     for h in horizons:
-        split = split_chrono(frame.filter(F.col("horizon_hours") == h)).persist(StorageLevel.MEMORY_AND_DISK)
-        sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+        split = split_chrono(stored.filter(F.col("horizon_hours") == h))
         train = balanced_weights(split.filter("split = 'train'"), "target").persist(StorageLevel.MEMORY_AND_DISK)
         test = split.filter("split = 'test'")
+        sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
         for name, make in estimators.items():
             started = clock.time()
             model = M.fit(make(), train, features, city)
             took = clock.time() - started
             if on_model:
                 on_model(h, name, model)
-            # the metric row is small; collecting it lets the cached rows be released
+            # one row per fit
             row = evaluate(model.transform(test), "target", "prediction").first()
-            if row is None:
-                continue
-            row = row.asDict() | {"horizon_hours": h, "model": name, "train_rows": sizes.get("train", 0),
-                                  "validation_rows": sizes.get("validation", 0), "test_rows": sizes.get("test", 0),
-                                  "train_time_seconds": float(took)}
-            rows = [*(rows or []), row]
+            if row is not None:
+                rows.append(row.asDict() | {
+                    "horizon_hours": h, "model": name, "train_rows": sizes.get("train", 0),
+                    "validation_rows": sizes.get("validation", 0), "test_rows": sizes.get("test", 0),
+                    "train_time_seconds": float(took)})
         train.unpersist()
-        split.unpersist()
-    return spark.createDataFrame(rows or [], _GRID_SCHEMA)
+    return spark.createDataFrame(rows, _GRID_SCHEMA)
 
 
 _GRID_SCHEMA = (

@@ -39,3 +39,22 @@ def drain_update(stream: DataFrame, keys: list[str], kind: str) -> DataFrame:
     rows = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows")
     latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("_r"))
     return latest.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in stream.columns])
+
+
+def drain_complete(stream: DataFrame, kind: str) -> DataFrame:
+    """Whole result after the last micro-batch.
+
+    For session windows, which have no update mode, when the open sessions at
+    the end of the input are wanted too. A stream that runs on uses append mode.
+    """
+    spark, out = stream.sparkSession, scratch_path(stream.sparkSession, kind)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+
+    q = (stream.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows")
+    newest = rows.agg(F.max("batch").alias("b")).scalar()
+    return rows.filter(F.col("batch") == newest).drop("batch")
