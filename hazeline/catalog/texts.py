@@ -11,8 +11,12 @@ tokens AS (SELECT doc_id, pos, term FROM words WHERE regexp_full_match(term, '[\
 _STOP = "lower(term) NOT IN (" + ", ".join(f"'{w}'" for w in X.STOP_WORDS) + ")"
 
 
+# pattern, kept part: the first that fits is applied
+_RULES = [("sses$", "ss"), ("ies$", "i"), ("([^s])s$", r"\1"), ("(..)ing$", r"\1"), ("(..)ed$", r"\1"), ("(..)ly$", r"\1")]
+
+
 def _stem_sql():
-    arms = " ".join(f"WHEN regexp_matches(lower(term), '{p}') THEN regexp_replace(lower(term), '{p}', '{to.replace('$1', chr(92) + '1')}')" for p, to in X.STEM_RULES)
+    arms = " ".join(f"WHEN regexp_matches(lower(term), '{p}') THEN regexp_replace(lower(term), '{p}', '{to}')" for p, to in _RULES)
     return f"CASE {arms} ELSE lower(term) END"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hazeline.operators.panel import chunked, own_rows, window
 
 # City lists up to this length become a constant in the plan; longer ones take the gram join.
-MENTION_LIST_LIMIT = 2000
+MENTION_LIST_LIMIT = 500
 
 
 def day_bucket(time: str) -> Column:
@@ -88,22 +88,22 @@ def city_mentions(docs: DataFrame, cities: DataFrame, default: str = "Delhi", ke
                   text: str = "text", limit: int = MENTION_LIST_LIMIT) -> DataFrame:
     """(key, city): first city in alphabetical order whose name occurs in the text.
 
-    A short city list, checked by reading at most ``limit`` + 1 names, becomes an
-    array in the plan, so that documents are not shuffled. A longer list is
-    matched through name prefixes of equal length: an equi-join on distinct
-    grams of each text, then the full name is checked.
+    A short city list, checked by reading at most ``limit`` + 1 names, becomes a
+    chain of tests in the plan that stops at the first hit, so that documents are
+    not shuffled. A longer list is matched through name prefixes of equal length:
+    an equi-join on distinct grams of each text, then the full name is checked.
     """
     names = cities.filter("city is not null and city <> ''").select("city").distinct()
     head = [r.city for r in names.limit(limit + 1).collect()]
-    if len(head) <= limit:
-        ordered = sorted(head)
-        body = F.lower(text)
-        found = F.lit(None).cast("string")
-        if ordered:
-            listed = F.array(*[F.struct(F.lit(c).alias("n"), F.lit(c.lower()).alias("k")) for c in ordered])
-            found = F.try_element_at(F.filter(listed, lambda c: F.contains(body, c["k"])), F.lit(1))["n"]
-        return docs.select(key, F.coalesce(found, F.lit(default)).alias("city"))
-    return mentions_by_gram(docs, names, default, key, text)
+    if len(head) > limit:
+        return mentions_by_gram(docs, names, default, key, text)
+    tests = " ".join(f"WHEN contains(_body, lower({_quoted(c)})) THEN {_quoted(c)}" for c in sorted(head))
+    found = F.expr(f"CASE {tests} ELSE {_quoted(default)} END") if head else F.lit(default)
+    return docs.select(key, F.lower(text).alias("_body")).select(key, found.alias("city"))
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def mentions_by_gram(docs: DataFrame, names: DataFrame, default: str, key: str, text: str) -> DataFrame:

@@ -21,11 +21,16 @@ def month_bucket(time: str = "dt") -> Column:
 
 
 def chunked(df: DataFrame, back: int, ahead: int = 0, by: list[str] | None = None,
-            time: str = "dt", ties: tuple = (), rows: int = CHUNK_ROWS) -> DataFrame:
-    """``df`` with ``_pos``, ``_chunk`` and ``_own`` (false on copied rows)."""
+            time: str = "dt", ties: tuple = (), rows: int = CHUNK_ROWS, last: str | None = None) -> DataFrame:
+    """``df`` with ``_pos``, ``_chunk`` and ``_own`` (false on copied rows).
+
+    ``last`` names a flag for the final row of each series.
+    """
     by = by or ["city"]
     rows = max(rows, back, ahead, 1)
-    df = ranked(df, by, month_bucket(time), [time, *ties])
+    df = ranked(df, by, month_bucket(time), [time, *ties], keep_total="_all" if last else None)
+    if last:
+        df = df.withColumn(last, F.col("_pos") == F.col("_all") - 1).drop("_all")
     home = F.floor(F.col("_pos") / rows)
     within = F.col("_pos") % rows
     targets = [home]
@@ -67,7 +72,8 @@ def carry_bounds(df: DataFrame, by: list[str], bucket: Column, order: Column,
 def fill_both_ways(df: DataFrame, by: list[str], bucket: Column, order: list[str],
                    cols: list[str]) -> DataFrame:
     """Forward fill, then backward fill, of ``cols`` along ``order`` within ``by``."""
-    bounds = carry_bounds(df, by, bucket, F.struct(*order), cols)
+    # a single order column keeps the aggregation in hash form
+    bounds = carry_bounds(df, by, bucket, F.col(order[0]) if len(order) == 1 else F.struct(*order), cols)
     keys = [*by, "_bucket"]
     w = Window.partitionBy(*keys).orderBy(*order)
     upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)

@@ -18,18 +18,17 @@ STOP_WORDS = (
     "only own same so than too very s t can will just don should now"
 ).split()
 
-# Suffix rules, the first that fits is applied.
-STEM_RULES = [
-    ("sses$", "ss"), ("ies$", "i"), ("([^s])s$", "$1"), ("(..)ing$", "$1"), ("(..)ed$", "$1"), ("(..)ly$", "$1"),
-]
+# Suffix rules, all of which only strip: sses -> ss, ies -> i, plural s, ing, ed, ly.
+SUFFIX = "(?<=ss|i)es$|(?<=[^s])s$|(?<=..)ing$|(?<=..)ed$|(?<=..)ly$"
+
+
+# A blank-separated word whose core is letters and digits, with punctuation only at its edges.
+WORD = r"(?<!\S)[^\p{L}\p{N}\s]*+([\p{L}\p{N}]++)[^\p{L}\p{N}\s]*+(?!\S)"
 
 
 def tokens(text: Column | str) -> Column:
     """Blank-separated words without edge punctuation; words with inner punctuation are dropped."""
-    t = F.col(text) if isinstance(text, str) else text
-    words = F.regexp_extract_all(t, F.lit(r"[^\s]+"), F.lit(0))
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
-    return F.filter(bare, lambda w: w.rlike(r"^[\p{L}\p{N}]+$"))
+    return F.regexp_extract_all(F.col(text) if isinstance(text, str) else text, F.lit(WORD), F.lit(1))
 
 
 def drop_stopwords(words: Column | str, stop=STOP_WORDS) -> Column:
@@ -37,18 +36,10 @@ def drop_stopwords(words: Column | str, stop=STOP_WORDS) -> Column:
     return F.filter(w, lambda x: ~F.lower(x).isin(*stop))
 
 
-def stem_word(word: Column) -> Column:
-    low = F.lower(word)
-    out = None
-    for pattern, to in STEM_RULES:
-        hit, new = low.rlike(pattern), F.regexp_replace(low, pattern, to)
-        out = F.when(hit, new) if out is None else out.when(hit, new)
-    return out.otherwise(low)
-
-
 def stem(words: Column | str) -> Column:
     """Suffix-stripped lower-case words; applied in place, so nothing is shuffled."""
-    return F.transform(F.col(words) if isinstance(words, str) else words, stem_word)
+    w = F.col(words) if isinstance(words, str) else words
+    return F.transform(w, lambda x: F.regexp_replace(F.lower(x), SUFFIX, ""))
 
 
 def polarity(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -128,12 +128,12 @@ def serve_features(requests: DataFrame, df: DataFrame, cols=GASES, steps=LAG_STE
     reaches beyond the history falls back to the current value.
     """
     cols = list(cols)
-    base = chunked(df, max([*steps, *widths]), 0, [city], time)
+    base = chunked(df, max([*steps, *widths]), 0, [city], time, last="_newest")
     hist = history_columns(cols, steps, widths, city)
     names = list(hist)
     full = own_rows(base.select("*", (F.col("_pos") + 1).alias("_have"), *[e.alias(n) for n, e in hist.items()]))
     full = full.withColumn("_h", F.struct("_have", *names))
-    newest = full.groupBy(city).agg(F.max_by(F.struct("_h", *cols, *carry), time).alias("_new"))
+    newest = full.filter("_newest").select(city, F.struct("_h", *cols, *carry).alias("_new"))
     joined = asof_attach(requests, full, [city], time, "_h").join(newest, city)
     joined = joined.withColumn("_use", F.coalesce("_h", F.col("_new._h")))
     current = {c: F.coalesce(F.try_element_at(F.col("features"), F.lit(c)).try_cast("double"), F.col(f"_new.{c}"))
@@ -153,12 +153,11 @@ def serve_sequence(requests: DataFrame, df: DataFrame, cols=GASES, length: int =
     rows before the request time than needed the city's last rows are used.
     """
     cols = list(cols)
-    base = chunked(df, length - 1, 0, [city], time)
+    base = chunked(df, length - 1, 0, [city], time, last="_newest")
     w = window([city])
     item = F.struct(time, *cols)
-    past = own_rows(base.withColumn("_seq", F.collect_list(item).over(w.rowsBetween(2 - length, 0)))
-                    .withColumn("_cur", item))
-    newest = past.groupBy(city).agg(F.max_by(F.struct("_seq", *cols), time).alias("_new"))
+    past = own_rows(base.withColumn("_seq", F.collect_list(item).over(w.rowsBetween(2 - length, 0))))
+    newest = past.filter("_newest").select(city, F.struct("_seq", *cols).alias("_new"))
     known = asof_attach(requests, past, [city], time, "_seq")
     joined = known.join(newest, city)
     now = F.struct(F.col(time), *[F.coalesce(F.try_element_at(F.col("features"), F.lit(c)).try_cast("double"),
