@@ -2,8 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.
 Here an approximate quantile sketch only supplies cut points. Counts per
-interval between cuts show which intervals hold the wanted ranks, and only
-those rows are ranked. A poor sketch costs time, never exactness.
+interval between cuts show which intervals hold the wanted ranks; each of those
+is split again into equal steps, and only the steps that hold a wanted rank are
+sorted. A poor sketch costs time, never exactness.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10000
-MARGIN = 0.002
+SKETCH_ACCURACY = 2000
+MARGIN = 0.001
+STEPS = 4096
 
 
 def unpivot(df: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
@@ -26,44 +28,48 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]) -> D
     """(by, n, q0, q1, ...) with linear interpolation at ``probs``."""
     marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-MARGIN, MARGIN)})
     rows = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    cuts = rows.groupBy(*by).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(m) for m in marks]), SKETCH_ACCURACY).alias("_cuts"))
-    keyed = _attach(rows, cuts, by)
-    interval = sum(((F.col("_v") > F.col("_cuts")[i]).cast("int") for i in range(len(marks))), F.lit(0))
+    cuts = rows.groupBy(*by).agg(F.expr(
+        f"percentile_approx(_v, array({', '.join(map(str, marks))}), {SKETCH_ACCURACY})").alias("_cuts"))
+    keyed = rows.join(cuts, by) if by else rows.withColumn("_cuts", cuts.scalar())
+    interval = " + ".join(f"CAST(_v > _cuts[{i}] AS INT)" for i in range(len(marks)))
+    # position between the two cuts around the value; the open ends are one step
+    keyed = keyed.select(*by, "_v", "_cuts", F.expr(interval).alias("_iv"))
+    low, high = "try_element_at(_cuts, nullif(_iv, 0))", "try_element_at(_cuts, _iv + 1)"
+    step = F.expr(f"coalesce(CAST(floor({STEPS} * try_divide(_v - {low}, {high} - {low})) AS INT), 0)")
     # equal values collapse before the shuffle, so a heavy value cannot swell an interval
-    tally = (keyed.select(*by, interval.alias("_iv"), "_v").groupBy(*by, "_iv", "_v")
+    tally = (keyed.select(*by, "_iv", step.alias("_step"), "_v").groupBy(*by, "_iv", "_step", "_v")
              .agg(F.count(F.lit(1)).alias("_n")))
-    sizes = tally.groupBy(*by, "_iv").agg(F.sum("_n").alias("_size"))
-    w = Window.partitionBy(*by)
-    sizes = sizes.select(
-        *by, "_iv", "_size",
-        (F.sum("_size").over(w.orderBy("_iv").rowsBetween(Window.unboundedPreceding, 0))
-         - F.col("_size")).alias("_before"),
-        F.sum("_size").over(w).alias("_total"))
-    ranks = [r for i, p in enumerate(probs) for r in
-             (F.struct(F.lit(i).alias("_i"), F.lit(0).alias("_hi"),
-                       F.floor(F.lit(p) * (F.col("_total") - 1)).alias("_rank")),
-              F.struct(F.lit(i).alias("_i"), F.lit(1).alias("_hi"),
-                       F.ceil(F.lit(p) * (F.col("_total") - 1)).alias("_rank")))]
-    wanted = F.filter(F.array(*ranks), lambda r: (r["_rank"] >= F.col("_before")) &
-                      (r["_rank"] < F.col("_before") + F.col("_size")))
-    hit = sizes.select(*by, "_iv", "_before", "_total", wanted.alias("_wanted")).filter(F.size("_wanted") > 0)
-    near = tally.join(hit, [*by, "_iv"])
-    wi = Window.partitionBy(*by, "_iv").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("_end", F.col("_before") + F.sum("_n").over(wi))
-    found = near.select(*by, "_total", "_v", F.inline(F.filter(
-        "_wanted", lambda r: (r["_rank"] < F.col("_end")) & (r["_rank"] >= F.col("_end") - F.col("_n")))))
+    sizes = tally.groupBy(*by, "_iv", "_step").agg(F.sum("_n").alias("_size"))
+    outer = sizes.groupBy(*by, "_iv").agg(F.sum("_size").alias("_size"))
+    totals = Window.partitionBy(*by)
+    outer = _prefix(outer, by, "_iv").withColumn("_total", F.sum("_size").over(totals))
+    wanted = F.expr("array(" + ", ".join(
+        f"named_struct('i', {i}, 'hi', {hi}, 'rank', CAST({f}({p}D * (_total - 1)) AS BIGINT))"
+        for i, p in enumerate(probs) for hi, f in ((0, "floor"), (1, "ceil"))) + ")")
+    outer = _holding(outer.withColumn("_ranks", wanted)).withColumnRenamed("_before", "_base")
+    inner = sizes.join(outer.select(*by, "_iv", "_base", "_total", "_ranks"), [*by, "_iv"])
+    inner = _prefix(inner, [*by, "_iv"], "_step").withColumn("_before", F.col("_before") + F.col("_base"))
+    hit = _holding(inner).select(*by, "_iv", "_step", "_before", "_total", "_ranks")
+    near = tally.join(hit, [*by, "_iv", "_step"])
+    w = Window.partitionBy(*by, "_iv", "_step").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_end", F.col("_before") + F.sum("_n").over(w))
+    found = near.select(*by, "_total", "_v", F.expr(
+        "inline(filter(_ranks, r -> r.rank < _end AND r.rank >= _end - _n))"))
     picks = []
     for i, p in enumerate(probs):
-        lo = F.max(F.when((F.col("_i") == i) & (F.col("_hi") == 0), F.col("_v")))
-        hi = F.max(F.when((F.col("_i") == i) & (F.col("_hi") == 1), F.col("_v")))
-        frac = F.lit(p) * (F.max("_total") - 1)
-        picks.append((lo + (hi - lo) * (frac - F.floor(frac))).alias(f"q{i}"))
+        lo, hi = (f"max(_v) FILTER (WHERE i = {i} AND hi = {side})" for side in (0, 1))
+        at = f"{p}D * (max(_total) - 1)"
+        picks.append(F.expr(f"{lo} + ({hi} - {lo}) * ({at} - floor({at}))").alias(f"q{i}"))
     return found.groupBy(*by).agg(F.max("_total").alias("n"), *picks)
 
 
-def _attach(rows: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
-    """Join per-group values to rows; with no group, a one-row scalar subquery."""
-    if by:
-        return rows.join(small, by)
-    return rows.withColumn("_cuts", small.scalar())
+def _prefix(sizes: DataFrame, by: list[str], bucket: str) -> DataFrame:
+    """Append ``_before``: the size of all earlier buckets."""
+    w = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    return sizes.withColumn("_before", F.sum("_size").over(w) - F.col("_size"))
+
+
+def _holding(buckets: DataFrame) -> DataFrame:
+    """Buckets that hold a wanted rank, with those ranks only."""
+    kept = F.expr("filter(_ranks, r -> r.rank >= _before AND r.rank < _before + _size)")
+    return buckets.withColumn("_ranks", kept).filter(F.size("_ranks") > 0)
