@@ -7,7 +7,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
     MultilayerPerceptronClassifier, NaiveBayes, OneVsRest, RandomForestClassifier,
 )
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +28,26 @@ def prepare(features: list[str], city: str | None = None) -> list:
 
 
 def fit(estimator: Estimator, train: DataFrame, features: list[str], city: str | None = None) -> PipelineModel:
-    return Pipeline(stages=[*prepare(features, city), estimator]).fit(train)
+    """Fit the preparation and the estimator.
+
+    One-vs-rest learners need every class from 0 up. Where the training rows
+    lack one, the classes are numbered without gaps for the fit, and the model
+    turns its predictions back and names its ``classes``.
+    """
+    pipeline = Pipeline(stages=[*prepare(features, city), estimator])
+    if not isinstance(estimator, OneVsRest):
+        return pipeline.fit(train)
+    label = estimator.getLabelCol()
+    classes = sorted(int(r[0]) for r in train.select(label).distinct().collect())
+    if classes == list(range(len(classes))):
+        return pipeline.fit(train)
+    codes = ", ".join(f"{c}, {i}" for i, c in enumerate(classes))
+    dense = train.withColumn(label, F.expr(f"CAST(element_at(map({codes}), CAST({label} AS INT)) AS DOUBLE)"))
+    known = f"array({', '.join(map(str, classes))})"
+    back = SQLTransformer(statement=(
+        f"SELECT * EXCEPT (prediction), {known} AS classes, "
+        f"CAST(element_at({known}, CAST(prediction AS INT) + 1) AS DOUBLE) AS prediction FROM __THIS__"))
+    return PipelineModel(stages=[*pipeline.fit(dense).stages, back])
 
 
 def logistic(label: str = "target", weight: str | None = "weight", max_iter: int = 1000) -> Estimator:
@@ -94,7 +113,9 @@ def probabilities(scored: DataFrame, labels=LABELS) -> DataFrame:
         e = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
         p = F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
     out = scored.withColumn("_p", p)
-    names = F.slice(F.array(*[F.lit(x) for x in labels]), F.lit(1), F.size("_p"))
+    every = F.array(*[F.lit(x) for x in labels])
+    names = (F.transform("classes", lambda i: F.element_at(every, i + 1)) if "classes" in scored.columns
+             else F.slice(every, F.lit(1), F.size("_p")))
     return out.withColumns({"prediction_label": decode("prediction", labels),
                             "probabilities": F.map_from_arrays(names, F.col("_p")),
                             "confidence": F.array_max("_p")}).drop("_p")
