@@ -23,9 +23,14 @@ def shape(t):
     return P.shape(t.readings)
 
 
-@query("p3_categorise")
+_GROUPS = {"pollutant": GASES, "weather": ["temp", "humidity", "wind"], "time": ["dt"], "target": ["aqi_category"], "others": ["city"]}
+
+
+@query("p3_categorise", with_readings(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{g}' AS category, count(*) - count({c}) AS missing FROM readings""" for g, cols in _GROUPS.items() for c in cols)))
 def categories(t):
-    return P.categorise(t.readings)
+    """Category of every column, with its missing values."""
+    return P.categorise(t.readings).join(P.null_profile(t.readings).select("column", "missing"), "column")
 
 
 _COLS = ["city", "dt", *GASES, "temp", "humidity", "wind", "aqi_category"]
@@ -66,9 +71,15 @@ def constants(t):
     return P.constant_columns(_doubled(t))
 
 
-@query("p7_type_counts")
+@query("p7_type_counts", with_readings("SELECT 'numerical' AS kind, 9 AS n_columns, " + " + ".join(
+    f"count({c})" for c in [*GASES, "temp", "humidity", "wind"]) + " AS n_values FROM readings UNION ALL "
+    "SELECT 'categorical', 3, count(city) + count(dt) + count(aqi_category) FROM readings"))
 def types(t):
-    return P.type_counts(t.readings)
+    """Number of columns per kind, with the values they hold."""
+    r = t.readings
+    kinds = P.null_profile(r).select(F.when(F.col("data_type") == "double", "numerical").otherwise("categorical").alias("kind"), "missing")
+    held = kinds.groupBy("kind").agg((F.count(F.lit(1)) * r.agg(F.count(F.lit(1)).alias("n")).scalar() - F.sum("missing")).alias("n_values"))
+    return P.type_counts(r).join(held, "kind")
 
 
 @query("p8_drop_existing", with_readings(f"SELECT city, dt, {_G6} FROM readings"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from hazeline.catalog.base import query, rn, with_readings
 from hazeline.operators import joins as J
 from hazeline.operators import sets as U
+from hazeline.operators.profile import null_profile
 from hazeline.schema import GASES
 
 
@@ -47,6 +48,15 @@ def append_current(t):
     return U.append_current(r, now.withColumn("extra", F.lit(1)))
 
 
-@query("u3_column_sets")
+_SIDES = [(c, "both") for c in GASES] + [(c, "frame_only") for c in ("city", "dt", "temp", "humidity", "wind", "aqi_category")]
+
+
+@query("u3_column_sets", with_readings(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{side}' AS side, count({c}) AS held FROM readings""" for c, side in _SIDES)
+    + """ UNION ALL SELECT 'nh3', 'list_only', NULL"""))
 def column_sets(t):
-    return U.column_sets(t.readings, [*GASES, "nh3"])
+    """Wanted columns against those of the table, with the values held."""
+    r = t.readings
+    rows = r.agg(F.count(F.lit(1)).alias("n")).scalar()
+    held = null_profile(r).select("column", (rows - F.col("missing")).alias("held"))
+    return U.column_sets(r, [*GASES, "nh3"]).join(held, "column", "left")

@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.values import decode
+from hazeline.functions.values import band_ordinal, decode
 from hazeline.schema import LABELS, SEVERE_LABELS
 
 
 def consensus(preds: DataFrame, row: list[str], label: str = "label_id") -> DataFrame:
     """Vote of several models: most frequent label and "a/n"; ties go to the more severe label."""
     votes = preds.groupBy(*row, label).agg(F.count(F.lit(1)).alias("c"))
-    out = votes.groupBy(*row).agg(F.max_by(F.struct(F.col(label), F.col("c")), F.struct("c", label)).alias("b"),
-                                  F.sum("c").alias("n"))
-    return out.select(*row, F.col(f"b.{label}").alias("consensus_id"), decode(f"b.{label}").alias("consensus"),
-                      F.format_string("%d/%d", "b.c", "n").alias("agreement_score"))
+    # count and label in one number: the aggregation stays in hash form
+    out = votes.groupBy(*row).agg(F.max(F.col("c") * 1000 + F.col(label)).alias("_best"), F.sum("c").alias("n"))
+    return out.select(*row, F.expr("CAST(_best % 1000 AS INT)").alias("consensus_id"),
+                      decode("_best % 1000").alias("consensus"),
+                      F.format_string("%d/%d", F.floor(F.col("_best") / 1000), "n").alias("agreement_score"))
 
 
 def mismatch(votes: DataFrame, aligned: bool = False) -> DataFrame:
@@ -24,8 +25,6 @@ def mismatch(votes: DataFrame, aligned: bool = False) -> DataFrame:
     The two use different vocabularies: by default their names are compared as
     they are; ``aligned`` compares their ordinals.
     """
-    from hazeline.functions.values import band_ordinal
-
     differs = F.col("consensus_id") != band_ordinal("band") if aligned else F.col("consensus") != F.col("band")
     return votes.withColumn("mismatch_flag", differs)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.operators.panel import month_bucket
-from hazeline.operators.ranks import hash_cuts, hash_key, lookup, ranked
+from hazeline.operators.ranks import bucket_offsets, hash_cuts, hash_key, lookup, ranked
 
 
 def split_chrono(df: DataFrame, train: float = 0.70, valid: float = 0.85, time: str = "dt") -> DataFrame:
@@ -45,12 +45,18 @@ def split_position(df: DataFrame, train: float = 0.70, valid: float = 0.80, by:
 def city_holdout(df: DataFrame, share: float = 0.8, city: str = "city", time: str = "dt") -> DataFrame:
     """``split`` at position int(share * n) of the city-sorted table: whole cities end up in test.
 
-    Unlike :func:`split_chrono` this measures transfer to other cities, not to later times.
+    Unlike :func:`split_chrono` this measures transfer to other cities, not to
+    later times. Row counts per city show the city with the cut, only that city
+    is ranked, and every row is then compared with the (city, time) found.
     """
-    bucket = F.struct(city, month_bucket(time).alias("m"))
-    r = ranked(df, [], bucket, [city, time], keep_total="_all")
-    return r.withColumn("split", F.when(F.col("_pos") < F.floor(F.lit(share) * F.col("_all")), "train")
-                        .otherwise("test")).drop("_pos", "_all")
+    sizes = bucket_offsets(df, [], F.col(city))
+    at = F.floor(F.lit(share) * F.col("_total"))
+    edge = sizes.filter((F.col("_offset") <= at) & (at < F.col("_offset") + F.col("_size"))).select(
+        F.col("_bucket").alias(city), (at - F.col("_offset")).alias("_want"))
+    inside = ranked(df.select(city, time).join(edge, city), [], month_bucket(time), [time])
+    cut = inside.filter(F.col("_pos") == F.col("_want")).agg(F.first(F.struct(city, time)).alias("c")).scalar()
+    before = F.coalesce(F.struct(city, time) < cut, F.lit(True))
+    return df.withColumn("split", F.when(before, "train").otherwise("test"))
 
 
 def class_weights(df: DataFrame, label: str, classes: list | None = None) -> DataFrame:

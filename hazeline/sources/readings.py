@@ -51,11 +51,11 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def write_readings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                   files_per_city: int = 1) -> None:
+                   files_per_city: int = 8) -> None:
     """Store partitioned by city.
 
     Rows are spread over (city, salt), so that a city holding much of the table
-    is written by several tasks when ``files_per_city`` is above 1.
+    is written by ``files_per_city`` tasks.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64("dt"), F.lit(files_per_city)))
     out = salted.repartition("city", "_salt").drop("_salt")
