@@ -257,9 +257,11 @@ def sample(t):
 
 
 @query("f8_sample_strat", with_readings(
-    """SELECT city, dt, aqi_category FROM (SELECT *, row_number() OVER (PARTITION BY aqi_category
-  ORDER BY md5('7|' || city || '|' || strftime(dt, '%Y-%m-%d %H:%M:%S'))) AS rn, count(*) OVER (PARTITION BY aqi_category) AS n,
-  count(*) OVER () AS total FROM readings) WHERE rn <= round(600 * n / total)"""))
+    """SELECT r.city, r.dt, r.aqi_category FROM (SELECT *, row_number() OVER (PARTITION BY aqi_category
+  ORDER BY md5('7|' || city || '|' || strftime(dt, '%Y-%m-%d %H:%M:%S'))) AS rn FROM readings) r JOIN quota q USING (aqi_category) WHERE rn <= q.quota""",
+    """shares AS (SELECT aqi_category, 600 * n // total AS base, 600 * n % total AS rest FROM (
+  SELECT aqi_category, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM readings GROUP BY aqi_category)),
+quota AS (SELECT aqi_category, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, aqi_category) <= 600 - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM shares)"""))
 def strat(t):
     return FL.sample_strat(t.readings.select("city", "dt", "aqi_category"), 600, "aqi_category", 7, ["city", "dt"])
 

@@ -61,13 +61,26 @@ def sample_n(df: DataFrame, n: int, seed: int, key: list[str]) -> DataFrame:
 
 
 def sample_strat(df: DataFrame, n: int, label: str, seed: int, key: list[str]) -> DataFrame:
-    """About n rows with the label shares of ``df``: round(n * n_label / n_all) per label."""
+    """Exactly n rows (or all) with the label shares of ``df``; rounding goes to the largest remainders."""
     h = df.filter(F.col(label).isNotNull()).withColumn("_hash", hash_key(seed, *key))
-    total = df.agg(F.count(label).alias("n")).scalar()
-    cuts = lookup(hash_cuts(h, [label], lambda size: F.round(F.lit(n) * size / total)), label, "_cut")
+    quotas = lookup(_quotas(df, n, label), label, "_quota")
+    cuts = lookup(hash_cuts(h, [label], lambda size: F.element_at(quotas, F.col(label))), label, "_cut")
     return h.filter(F.col("_hash") <= F.try_element_at(cuts, F.col(label))).drop("_hash")
 
 
+def _quotas(df: DataFrame, n: int, label: str) -> DataFrame:
+    """(label, _quota) with quotas that add up to n; a table with one row per label."""
+    sizes = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    every = Window.partitionBy()
+    sizes = sizes.withColumn("_all", F.sum("_n").over(every))
+    sizes = sizes.withColumn("_want", F.least(F.lit(n), "_all"))
+    # whole-number arithmetic: n * size = all * share + remainder
+    share = sizes.withColumn("_share", F.expr("_want * _n DIV _all")).withColumn("_rest", F.expr("_want * _n % _all"))
+    order = F.row_number().over(Window.orderBy(F.col("_rest").desc(), label))
+    left = F.col("_want") - F.sum("_share").over(every)
+    return share.select(label, (F.col("_share") + F.when(order <= left, 1).otherwise(0)).alias("_quota"))
+
+
 def tail_before(df: DataFrame, t, n: int, city: str = "city", time: str = "dt") -> DataFrame:
     """Last n rows of each city before ``t``; a city with none gives its last n rows overall.
 

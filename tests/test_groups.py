@@ -34,6 +34,15 @@ def test_samples_have_exact_sizes(panel):
     assert FL.sample_n(panel, 50, 1, ["city", "dt"]).exceptAll(s).count() == 0
 
 
+def test_stratified_sample_adds_up(panel):
+    for n in (7, 100, 101, 10_000):
+        s = FL.sample_strat(panel, n, "aqi_category", 2, ["city", "dt"])
+        assert s.count() == min(n, panel.count())
+        sizes = {r.aqi_category: r["count"] for r in panel.groupBy("aqi_category").count().collect()}
+        for r in s.groupBy("aqi_category").count().collect():
+            assert abs(r["count"] - min(n, panel.count()) * sizes[r.aqi_category] / panel.count()) < 1
+
+
 def test_splits(panel):
     s = S.split_chrono(panel)
     ends = {r.split: (r.a, r.b) for r in s.groupBy("split").agg(F.min("dt").alias("a"), F.max("dt").alias("b")).collect()}
