@@ -69,10 +69,14 @@ def numbered(df: DataFrame, within: str, by: str, rows: int, per_block: int = 10
             .drop("__in", "__w", "__b", "__start", "__block"))
 
 
-def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, **more) -> DataFrame:
     """Add ``__h`` (hash of the text) and ``__k`` (1, 2, .. among rows that also share the id): a key of each row.
 
-    Repeated rows are alike, so it doesn't matter which of them gets which number.
+    Given ``more`` columns, the result holds these and doc_id instead of all columns, so the texts aren't shuffled. Repeated
+    rows are alike, so it doesn't matter which of them gets which number.
     """
     own = Window.partitionBy("doc_id", "__h").orderBy(F.lit(1))
-    return docs.withColumn("__h", F.xxhash64(text)).withColumn("__k", F.row_number().over(own))
+    hashed = docs.withColumn("__h", F.xxhash64("text"))
+    if more:
+        hashed = hashed.select("doc_id", "__h", *[c.alias(n) for n, c in more.items()])
+    return hashed.withColumn("__k", F.row_number().over(own))

@@ -23,6 +23,8 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3
 BLOCK = 2_000
 LANDING = 10
+#: A document with more than this share of its source's words is decided before the flight; a source has fewer than 200 such.
+GIANT = 0.005
 _NEAR = 1e-9
 
 
@@ -97,8 +99,12 @@ def land(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _round(turn: int, last: str = "last"):
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        # long documents are decided first, so the undecided few are short and land near the target
+        # the longest and the shortest come first, in turn: exchanging them is what decides a very long document, and the
+        # undecided few at the end are of middling length and land near the target
         rows = rows.sort_values(["size", "dice", "row"], ascending=[False, True, True], kind="stable")
+        turns = np.empty(len(rows), int)
+        turns[::2], turns[1::2] = np.arange((len(rows) + 1) // 2), np.arange(len(rows) - 1, (len(rows) + 1) // 2 - 1, -1)
+        rows = rows.iloc[turns]
         source, block, final = rows["source"].iloc[0], int(rows["block"].iloc[0]), bool(rows[last].iloc[0])
         seed = zlib.crc32(f"{turn}/{block}/{source!r}".encode())
         size, chance = rows["size"].to_numpy(float), rows["chance"].to_numpy(float)
@@ -108,7 +114,7 @@ def _round(turn: int, last: str = "last"):
     return one
 
 
-def decide(rows: DataFrame, spark: SparkSession, block: int = BLOCK) -> DataFrame:
+def decide(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Turn ``chance`` of rows (row, dice, source, size, chance) into 0 or 1, in rounds over blocks of a source.
 
     A source's rows are spread over blocks of about ``block`` rows by ``dice``, whatever share of the table it has. Each
@@ -132,6 +138,32 @@ def decide(rows: DataFrame, spark: SparkSession, block: int = BLOCK) -> DataFram
         turn += 1
 
 
+def _giants(rows: pd.DataFrame) -> pd.DataFrame:
+    """Round the longest documents of a source one after the other, each making up for the error so far."""
+    rows = rows.sort_values(["size", "dice", "row"], ascending=[False, True, True], kind="stable")
+    error, out = 0.0, []
+    for size, chance in zip(rows["size"], rows["chance"]):
+        error += chance * size
+        out.append(1.0 if error >= size / 2 else 0.0)
+        error -= out[-1] * size
+    return rows.assign(chance=out)
+
+
+def _giants_first(rows: DataFrame) -> DataFrame:
+    """Decide documents that outweigh the others, and let the chance of the others make up for it."""
+    giant = (F.col("size") > F.lit(GIANT) * F.col("source_size")) & (F.col("chance") > 0)
+    big = materialise(rows.where(giant).groupBy("source").applyInPandas(_giants, rows.schema), "giants")
+    drift = (big.groupBy("source").agg(F.sum(F.col("chance") * F.col("size")).alias("__taken"), F.sum("size").alias("__size"))
+             .withColumnRenamed("source", "__s"))
+    left = F.col("source_size") - F.col("__size")
+    rest = (rows.where(~giant).join(drift, F.col("source").eqNullSafe(F.col("__s")), "left")
+            .withColumn("chance", F.when(F.col("__size").isNull() | (F.col("chance") == 0), F.col("chance")).otherwise(
+                F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(
+                    F.col("chance") * F.col("source_size") - F.col("__taken"), left.cast("double")), F.lit(0.0))))))
+            .drop("__s", "__taken", "__size"))
+    return rest.unionByName(big)
+
+
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row for each document: its key, size, its source's size and target, and ``copies``, how often the mix takes it.
 
@@ -139,9 +171,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
     own, the last one. Repeated rows count one by one. Documents without words are never undecided and get the whole part
     of their source's ratio. An empty table gives an empty result. Equal input gives equal results: all choices follow from hashes of the rows.
     """
-    spark = docs.sparkSession
-    rows = materialise(keyed(docs.select("doc_id", "text", "source")).select(
-        "doc_id", "source", "__h", "__k", word_count(F.col("text")).alias("size")), "mix")
+    rows = materialise(keyed(docs, source=F.col("source"), size=word_count(F.col("text"))), "mix")
     sizes = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, float(most))
     rows = (rows.join(sizes.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s", "weight")
             .withColumn("ratio", F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)))
@@ -153,7 +183,7 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOS
     rows = rows.select(*plain, F.col("__h").alias("text_hash"), F.col("__k").alias("repeat"),
                        F.concat_ws("/", F.col("doc_id").cast("string"), F.col("__h").cast("string"),
                                    F.col("__k").cast("string")).alias("row"))
-    return decide(rows, spark).select(
+    return decide(materialise(_giants_first(rows), "chances")).select(
         "doc_id", "source", "size", "source_size", "target", "text_hash", "repeat",
         (F.col("whole") + F.col("chance")).cast("int").alias("copies"))
 
