@@ -1,4 +1,4 @@
 """All queries of this subpackage. Importing the modules fills the registry."""
 
-from hazeline.llm import mixing, neighbours, ngram_join, sharding  # noqa: F401
+from hazeline.llm import mixing, neighbours, ngram_join, passages, sharding  # noqa: F401
 from hazeline.llm.base import ORACLES, QUERIES  # noqa: F401
