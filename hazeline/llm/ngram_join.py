@@ -7,8 +7,9 @@
 3. All others meet by signatures. A light set (n up to the boundary) enumerates the 2-subsets of its prefix of
    ``shared - ceil(0.75 n) + 2`` shingles; a heavy one scans the inverted lists of its prefix of one shingle less. Two partners always agree
    on such a subset or list. The boundary is the power of two with the least cost: subsets made against list entries read.
-4. Candidates are verified on the sets, first against one set of each list. Later rounds compare only sets that are in
-   different components yet, which loses no component and never makes all pairs of a group of near copies.
+4. Prefixes are taken in the order of how many sets have a shingle, the rarest first (``ranked``).
+5. Candidates are verified on the sets, first against one hub of each list. The second round compares only sets that are in
+   different components yet, which loses no component and doesn't make all pairs of a group of near copies.
 """
 
 from __future__ import annotations
@@ -76,6 +77,25 @@ def _row(bucket: int, kind: int, owners, sizes, lengths, tokens, marked=b"") ->
     return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), *[pa.array([x], pa.binary()) for x in raw]], schema=_SCHEMA)
 
 
+def _pack(token: np.ndarray) -> bytes:
+    """Sorted hashes as the first one and steps of six bytes; as they are where a step is too wide."""
+    step = np.diff(token)
+    if len(token) < 2 or int(step.max()) >> 48:
+        return b"\0" + token.tobytes()
+    return b"\1" + token[:1].tobytes() + np.ascontiguousarray(step).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    if raw[0] == 0:
+        return np.frombuffer(raw, np.uint64, offset=1)
+    step = np.frombuffer(raw, np.uint8, offset=9).reshape(-1, 6)
+    out = np.zeros((len(step) + 1, 8), np.uint8)
+    out[1:, :6] = step
+    out = out.reshape(-1).view(np.uint64)
+    out[0] = np.frombuffer(raw, np.uint64, 1, offset=1)[0]
+    return np.cumsum(out, dtype=np.uint64)
+
+
 def _by_owner(owner: np.ndarray, size: np.ndarray, token: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows (owner, size, token), packed by the owner's bucket."""
     if not len(owner):
@@ -112,7 +132,8 @@ def _ask(k: int, buckets: int, held: int):
         for b in range(buckets):
             own, ref = np.unique(of[at[b]:at[b + 1]], return_inverse=True)
             if len(own) or mat[b] < mat[b + 1]:
-                yield _row(b, 0, owner[own], size[own].astype(np.int32), ref.astype(np.uint32), token[at[b]:at[b + 1]], marked[mat[b]:mat[b + 1]])
+                yield _row(b, 0, owner[own], size[own].astype(np.int32), ref.astype(np.uint16 if len(own) < 65536 else np.uint32),
+                           _pack(token[at[b]:at[b + 1]]), marked[mat[b]:mat[b + 1]])
 
     def run(batches):
         owners, sets, total = [], [], 0
@@ -147,8 +168,8 @@ def _answer(buckets: int):
                     continue
                 owners.append(np.frombuffer(row["owners"], np.int64))
                 sizes.append(np.frombuffer(row["sizes"], np.int32))
-                refs.append(np.frombuffer(row["lengths"], np.uint32).astype(np.int64) + base)
-                tokens.append(np.frombuffer(row["tokens"], np.uint64))
+                refs.append(np.frombuffer(row["lengths"], np.uint16 if len(owners[-1]) < 65536 else np.uint32).astype(np.int64) + base)
+                tokens.append(_unpack(row["tokens"]))
                 marked.append(np.frombuffer(row["marked"], np.uint64))
                 base += len(owners[-1])
         if not owners:
@@ -226,6 +247,73 @@ def shared_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> Data
     return told.repartition(buckets // 4, "bucket").mapInArrow(_gather(percent), "id long, n long, s array<long>")
 
 
+_COUNTS = "bucket int, scope long, tokens binary, counts binary"
+
+
+def _count(buckets: int):
+    """Of one scope: its shingles with the number of its sets that have them."""
+
+    def run(part: pa.Table) -> pa.Table:
+        token, many = np.unique(part["s"].combine_chunks().flatten().to_numpy().view(np.uint64), return_counts=True)
+        at = np.searchsorted(((token >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32), np.arange(buckets + 1))
+        full = [b for b in range(buckets) if at[b] < at[b + 1]]
+        return pa.table({"bucket": pa.array(full, pa.int32()), "scope": pa.array([part["scope"][0].as_py()] * len(full), pa.int64()),
+                         "tokens": pa.array([_pack(token[at[b]:at[b + 1]]) for b in full], pa.binary()),
+                         "counts": pa.array([many[at[b]:at[b + 1]].astype(np.int64).tobytes() for b in full], pa.binary())})
+
+    return run
+
+
+def _total(batches):
+    """Number of sets that have a shingle, told to each scope that has it."""
+    rows = [row for batch in batches for row in batch.to_pylist()]
+    if not rows:
+        return
+    tokens = [_unpack(r["tokens"]) for r in rows]
+    token, of = np.unique(np.concatenate(tokens), return_inverse=True)
+    total = np.zeros(len(token), np.int64)
+    np.add.at(total, of, np.concatenate([np.frombuffer(r["counts"], np.int64) for r in rows]))
+    at = np.cumsum([0, *map(len, tokens)])
+    for i, r in enumerate(rows):
+        yield pa.RecordBatch.from_arrays([pa.array([r["scope"]], pa.int64()), pa.array([r["tokens"]], pa.binary()),
+                                          pa.array([total[of[at[i]:at[i + 1]]].tobytes()], pa.binary())], ["scope", "tokens", "counts"])
+
+
+def _rank(percent: int):
+    """Sets of one scope without shingles that only dropped sets share, the rarest first."""
+
+    def run(part: pa.Table, told: pa.Table) -> pa.Table:
+        known = np.concatenate([_unpack(t) for t in told["tokens"].to_pylist()] or [np.zeros(0, np.uint64)])
+        total = np.concatenate([np.frombuffer(c, np.int64) for c in told["counts"].to_pylist()] or [np.zeros(0, np.int64)])
+        order = np.argsort(known)
+        known, total = known[order], total[order]
+        ids, sizes, sets = [], [], []
+        for i, n, s in zip(part["id"].to_pylist(), part["n"].to_pylist(), part["s"].combine_chunks()):
+            s = s.values.to_numpy().view(np.uint64)
+            many = total[np.searchsorted(known, s)]
+            s, many = s[many > 1], many[many > 1]
+            if 100 * len(s) >= percent * n:
+                ids.append(i)
+                sizes.append(n)
+                sets.append(s[np.lexsort((s, many))].view(np.int64))
+        return pa.table({"id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()), "s": pa.array(sets, pa.list_(pa.int64()))})
+
+    return run
+
+
+def ranked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The sets with their shingles ordered by the number of sets that have them: the order of all prefixes.
+
+    Shingles that only sets without partners share are dropped, and so are sets that then share too few.
+    """
+    parts = partitions(sets.sparkSession)
+    held = sets.agg(F.coalesce(F.sum(F.size("s")), F.lit(0)).alias("n")).first()["n"]
+    own = sets.withColumn("scope", F.pmod("id", F.lit(held // HELD * 2 + parts)))
+    told = (own.groupBy("scope").applyInArrow(_count(parts), _COUNTS).repartition(parts, "bucket")
+            .mapInArrow(_total, "scope long, tokens binary, counts binary"))
+    return own.groupBy("scope").cogroup(told.groupBy("scope")).applyInArrow(_rank(percent), "id long, n long, s array<long>")
+
+
 def _need(percent: int) -> F.Column:
     return F.expr(f"(n * {percent} + 99) DIV 100")
 
@@ -240,46 +328,58 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def signatures(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(key, id, n): what partners agree on, by subsets for light sets and by inverted lists for heavy ones."""
-    sets = sets.withColumn("own", F.size("s") - _need(percent))
-    single = sets.select("id", "n", F.explode(F.slice("s", 1, F.col("own").cast("int") + 1)).alias("key"))
+    """(key, id, n, alone, rest): what partners agree on, by subsets for light sets and by inverted lists for heavy ones.
+
+    ``alone`` is the number of shingles that no other set has. ``rest`` bounds the overlap of partners whose first common
+    key this is: shingles from there on in the prefix order.
+    """
+    sets = sets.withColumn("own", F.size("s") - _need(percent)).withColumn("alone", F.col("n") - F.size("s"))
+    lists = sets.select("id", "n", "alone", F.size("s").alias("k"), F.posexplode(F.slice("s", 1, F.col("own").cast("int") + 1)).alias("i", "key"))
     by = F.ceil(F.log2(F.col("n").cast("double"))).cast("int")
-    lists = single.groupBy("key", by.alias("scale")).count()
-    read = (lists.withColumn("length", F.sum("count").over(Window.partitionBy("key")))
-            .groupBy("scale").agg(F.sum(F.col("count") * F.col("length")).alias("read")))
+    counts = lists.groupBy("key", by.alias("scale")).count()
+    # a list entry is compared with the list's hub, and in further rounds if that leaves it apart
+    read = (counts.withColumn("length", F.sum("count").over(Window.partitionBy("key")))
+            .groupBy("scale").agg(F.sum(F.col("count") * F.log2(F.col("length") + 1)).alias("read")))
     made = sets.where("n > 1").groupBy(by.alias("scale")).agg(F.sum((F.col("own") + 2) * (F.col("own") + 1) / 2).alias("made"))
     costs = {r["scale"]: (r["read"] or 0, r["made"] or 0) for r in read.join(made, "scale", "full").collect()}
     bound = min([-1, *costs], key=lambda x: (sum(m for s, (_, m) in costs.items() if s <= x) + sum(r for s, (r, _) in costs.items() if s > x), x))
     light = 2 ** bound if bound >= 0 else 0
-    heavy = single.where(F.lit(100) * F.col("n") > F.lit(percent * light)).select(F.xxhash64("key").alias("key"), "id", "n")
-    prefix = F.slice("s", 1, F.col("own").cast("int") + 2)
-    subsets = (sets.where((F.col("n") > 1) & (F.col("n") <= light)).select("id", "n", prefix.alias("p"))
-               .select("id", "n", "p", F.posexplode("p").alias("i", "x"))
-               .select("id", "n", "x", F.explode(F.expr("slice(p, i + 2, size(p))")).alias("y"))
-               .select(F.xxhash64("x", "y").alias("key"), "id", "n"))
+    plain = ["id", "n", "alone"]
+    heavy = (lists.where(F.lit(100) * F.col("n") > F.lit(percent * light))
+             .select(F.xxhash64("key").alias("key"), *plain, (F.col("k") - F.col("i")).cast("int").alias("rest")))
+    subsets = (sets.where((F.col("n") > 1) & (F.col("n") <= light))
+               .select(*plain, F.size("s").alias("k"), F.slice("s", 1, F.col("own").cast("int") + 2).alias("p"))
+               .select(*plain, "k", "p", F.posexplode("p").alias("i", "x"))
+               .select(*plain, "x", (F.col("k") - F.col("i")).alias("rest"), F.explode(F.expr("slice(p, i + 2, size(p))")).alias("y"))
+               .select(F.xxhash64("x", "y").alias("key"), *plain, F.col("rest").cast("int").alias("rest")))
     return heavy.unionByName(subsets)
 
 
 def _fit(a: str, b: str, percent: int) -> F.Column:
-    return (F.lit(percent) * F.col(a) <= 100 * F.col(b)) & (F.lit(percent) * F.col(b) <= 100 * F.col(a))
+    """Sizes and positions that allow the similarity."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return ((F.lit(percent) * na <= 100 * nb) & (F.lit(percent) * nb <= 100 * na)
+            & (F.lit(100 + percent) * F.least(f"{a}.rest", f"{b}.rest") >= F.lit(percent) * (na + nb)))
 
 
 def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, root) for sets with links: the smallest id of their component."""
-    sets = materialise(sets, "sets")
+    sets = materialise(ranked(materialise(sets, "sets"), percent), "ranked")
     keys = materialise(signatures(sets, percent), "signatures")
-    hub = keys.groupBy("key").agg(F.min(F.struct("id", "n")).alias("hub"))
-    pairs = (keys.join(hub, "key").select(F.col("hub.id").alias("a"), F.col("hub.n").alias("na"), F.col("id").alias("b"), "n")
-             .where("a != b").where(_fit("na", "n", percent)).select("a", "b").distinct())
+    # the hub of a list is the set with the least of its own: what others were copied from, if there is such a set
+    hub = keys.groupBy("key").agg(F.min(F.struct("alone", "id", "n", "rest")).alias("a"), F.count("*").alias("many")).where("many > 1")
+    pairs = (keys.select("key", F.struct("id", "n", "rest").alias("b")).join(hub, "key")
+             .where((F.col("a.id") != F.col("b.id")) & _fit("a", "b", percent))
+             .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
     links = materialise(_verified(pairs, sets, percent), "verified")
     roots = components(links)
     # what one comparison for each list left apart
-    own = keys.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    apart = own.groupBy("key").agg((F.min("root") != F.max("root")).alias("apart")).where("apart").select("key")
-    own = materialise(own.join(apart, "key", "left_semi"), "apart")
-    other = own.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = (own.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")).join(other, "key")
-            .where("ra < rb").where(_fit("na", "nb", percent)).select("a", "b").distinct())
+    own = keys.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).select("key", F.struct("id", "n", "rest", "root").alias("a"))
+    own = materialise(own, "rooted")
+    apart = own.groupBy("key").agg((F.min("a.root") != F.max("a.root")).alias("apart")).where("apart").select("key")
+    own = own.join(apart, "key", "left_semi")
+    rest = (own.join(own.select("key", F.col("a").alias("b")), "key").where((F.col("a.root") < F.col("b.root")) & _fit("a", "b", percent))
+            .select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
     more = materialise(_verified(rest, sets, percent), "verified")
     if more.isEmpty():
         return roots
