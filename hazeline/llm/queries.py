@@ -1,4 +1,6 @@
 """All queries of this subpackage. Importing the modules fills the registry."""
 
-from hazeline.llm import mixing, neighbours, ngram_join, passages, pii, secrets, sharding  # noqa: F401
+from hazeline.llm import (  # noqa: F401
+    decontaminate, mixing, neighbours, ngram_join, passages, pii, quality, secrets, sharding, toxicity,
+)
 from hazeline.llm.base import ORACLES, QUERIES  # noqa: F401
