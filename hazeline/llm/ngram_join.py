@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazeline.llm.base import partitions, query, table
 from hazeline.llm.graphs import components
@@ -386,6 +387,22 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return components(links.unionByName(more))
 
 
+def _tag(k: int):
+    def run(batches):
+        for batch in batches:
+            of = [None] * batch.num_rows
+            for i, found in _sets(batch, k):
+                of[i] = _class(found) if len(found) else None
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, pa.int64())], [*batch.schema.names, "__class"])
+
+    return run
+
+
+def tagged(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """``docs`` with ``__class``, the signature of each row's set (null for an empty set), as ``joined`` has it."""
+    return docs.mapInArrow(_tag(k), T.StructType([*docs.schema.fields, T.StructField("__class", T.LongType())]))
+
+
 def joined(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row for each document: doc_id, n_shingles, class (signature of its set) and component_id.
 

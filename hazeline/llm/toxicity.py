@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after the other by L1-regularised logistic regressions on the words of a text. Each later model
+Categories are predicted one after the other by regularised logistic regressions on the words of a text. Each later model
 also sees the probabilities of the earlier categories. For training these are out-of-fold predictions, so that a later
 model learns from probabilities as good as those it gets when it scores.
 """
@@ -22,15 +22,18 @@ from hazeline.session import materialise
 SAMPLE = 10_000
 FOLDS = 3
 WORDS, SEEN_IN = 20_000, 4
-LAMBDA, ROUNDS = 0.002, 40
-THRESHOLD = 0.5
+STEM = 4
+LAMBDA, ROUNDS = 0.0005, 25
+THRESHOLD = 0.3
 #: Categories in the order of the chain, as expressions on ``labels``. Documents of low quality are told first.
 CHAIN = {"low_quality": "1 - quality", "toxic": "toxic"}
 
 
 def words(text: Column) -> Column:
-    """Distinct lower-case words; a null text has none."""
-    return F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"), lambda w: w != ""))
+    """Distinct lower-case words, and the stems (first four letters) of longer ones; a null text has none."""
+    found = F.array_distinct(F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"), lambda w: w != ""))
+    stems = F.array_distinct(F.transform(F.filter(found, lambda w: F.length(w) > STEM), lambda w: F.concat(F.left(w, F.lit(STEM)), F.lit("-"))))
+    return F.concat(found, stems)
 
 
 @dataclass
@@ -60,7 +63,7 @@ def _fit(rows: DataFrame, earlier: list[str], label: str) -> LogisticRegressionM
     kinds = {r[label]: r["count"] for r in known.groupBy(label).count().collect()}
     if len(kinds) < 2:
         return float(next(iter(kinds), 0.0))
-    return LogisticRegression(featuresCol="__features", labelCol=label, elasticNetParam=1.0, regParam=LAMBDA, maxIter=ROUNDS, standardization=False,
+    return LogisticRegression(featuresCol="__features", labelCol=label, regParam=LAMBDA, maxIter=ROUNDS, standardization=False,
                               aggregationDepth=2).fit(_gathered(known, earlier).select("__features", label))
 
 
@@ -87,7 +90,7 @@ def fitted(docs: DataFrame, labels: DataFrame, chain: dict[str, str] = CHAIN, sa
             .groupBy("doc_id", *[f"y_{n}" for n in chain]).agg(F.min("text").alias("text"))
             .select("doc_id", *[f"y_{n}" for n in chain], words(F.col("text")).alias("__words"),
                     F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(folds)).alias("fold")))
-    rows = materialise(rows.repartition(8, "doc_id"), "labelled")
+    rows = materialise(rows.repartition(4, "doc_id"), "labelled")
     names = list(chain)
     if rows.where(F.size("__words") > 0).isEmpty():
         return Chain(names, None, [0.0] * len(names))

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text is handled alone. Results don't depend on it.
 CHUNK_BYTES = 1 << 20
@@ -85,9 +86,10 @@ class Words:
         return mix(out[place]), place
 
 
-def column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; a null counts as empty."""
+def column(batch: pa.RecordBatch, name: str, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string column; a null counts as empty. ``fold`` turns all letters into lower case."""
     array = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string()).fill_null("")
+    array = pc.utf8_lower(array) if fold else array
     bounds = np.frombuffer(array.buffers()[1], np.int64)[array.offset:array.offset + len(array) + 1]
     data = array.buffers()[2]
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), bounds
@@ -96,11 +98,12 @@ def column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
 def texts(batch: pa.RecordBatch, name: str, lower: bool = False, alnum: bool = False) -> Iterator[Words]:
     """Words of a batch's texts, some megabytes at a time.
 
-    ``lower`` turns A-Z into a-z. ``alnum`` takes runs of letters and digits (any byte above 127 included) as words.
+    ``lower`` turns A-Z into a-z. ``alnum`` takes runs of letters and digits (any byte above 127 included) as words, in lower
+    case of all scripts.
     """
     if not batch.num_rows:
         return
-    data, bounds = column(batch, name)
+    data, bounds = column(batch, name, fold=alnum)
     first, blank = 0, _NOT_ALNUM if alnum else _BLANK
     while first < batch.num_rows:
         last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, "right")) - 1)
