@@ -14,13 +14,26 @@ from hazeline.llm.base import table
 from hazeline.session import materialise
 
 
+_READ = ("doc_id", "text", "source")
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """The columns that stages read, and all others in one column, so that no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in _READ]
+    return docs.select(*_READ, (F.struct(*rest) if rest else F.lit(0)).alias("__rest"))
+
+
+def _unpacked(out: DataFrame, columns: list[str]) -> DataFrame:
+    return out.select(*[F.col(c) if c in _READ else F.col("__rest").getField(c).alias(c) for c in columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that the classifier chain doesn't reject. It learns from ``labels`` and the documents that these name.
 
     A null or empty text stays. Repeated rows are judged alike. Empty tables give an empty result.
     """
     chain = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
-    return chain.scored(docs).where(F.col("p_toxic") < toxicity.THRESHOLD).select(*docs.columns)
+    return _unpacked(chain.scored(_packed(docs)).where(F.col("p_toxic") < toxicity.THRESHOLD), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,22 +48,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     # a group in which no row has a doc_id keeps all its rows, as nothing tells them apart
     lost = found.where(F.col("component_id").isNull()).select(F.lit(None).cast("long").alias("doc_id"), "class").distinct()
     classes = keep.unionByName(lost).select(F.col("doc_id").alias("__d"), F.col("class").alias("__c"))
-    tagged = ngram_join.tagged(docs)
+    tagged = ngram_join.tagged(_packed(docs))
     once = Window.partitionBy("doc_id", "__class").orderBy("text")
     first = (tagged.join(classes, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("__class").eqNullSafe(F.col("__c")), "left_semi")
              .withColumn("__n", F.row_number().over(once)).where((F.col("__n") == 1) | F.col("doc_id").isNull()))
-    return first.select(*docs.columns).unionByName(tagged.where(F.col("__class").isNull()).select(*docs.columns))
+    return _unpacked(first.drop("__n").unionByName(tagged.where(F.col("__class").isNull())), docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in which no benchmark item occurs within the allowed edits. Null and empty texts stay."""
-    out = decontaminate.flagged(docs, table(spark, sf_dir, "benchmark"))
-    return out.where(F.size("__items") == 0).select(*docs.columns)
+    out = decontaminate.flagged(_packed(docs), table(spark, sf_dir, "benchmark"))
+    return _unpacked(out.where(F.size("__items") == 0), docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all up to three times."""
-    return mixing.take(docs)
+    return _unpacked(mixing.take(_packed(docs)), docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
