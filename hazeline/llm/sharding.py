@@ -16,7 +16,8 @@ from hazeline.llm.base import numbered, query, table
 from hazeline.session import materialise
 
 SHARDS = 8
-ROUNDS = 6
+#: Rounds at most. In every other round the dice alone decide, so that large groups which don't fit hold up nobody for long.
+ROUNDS = 8
 #: A link group is handled in parts of at most this share of a shard, as a group of a third of all rows fits into no shard.
 PART = 0.25
 #: Gain classes times dice classes of the quota table: what the driver sees of a round, whatever the input.
@@ -46,7 +47,7 @@ def propagate(state: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataF
             F.count("*").alias("places"), F.sum("n").alias("size"))
         wants = (best.where("places > 1").withColumn("goal", F.coalesce(F.col("free"), F.col("top")))
                  .select("key", F.col("goal")["shard"].alias("goal"), (F.col("size") - F.col("goal")["n"]).alias("inflow"),
-                         _gain_class(F.col("goal")["n"]).alias("gain"),
+                         (_gain_class(F.col("goal")["n"]) if turn % 2 == 0 else F.lit(0)).alias("gain"),
                          F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(DICE)).cast("int").alias("dice")))
         wants = materialise(wants, "wants")
         cuts = [(-1, -1)] * shards
