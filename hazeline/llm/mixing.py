@@ -139,12 +139,17 @@ def decide(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def _giants(rows: pd.DataFrame) -> pd.DataFrame:
-    """Round the longest documents of a source one after the other, each making up for the error so far."""
+    """Round the longest documents of a source one after the other, each making up for the error so far.
+
+    A document is rounded to the nearer side unless all documents after it couldn't make up for that.
+    """
     rows = rows.sort_values(["size", "dice", "row"], ascending=[False, True, True], kind="stable")
-    error, out = 0.0, []
-    for size, chance in zip(rows["size"], rows["chance"]):
+    error, out, rest = 0.0, [], float(rows["source_size"].iloc[0])
+    for size, chance in zip(rows["size"].to_numpy(float), rows["chance"]):
         error += chance * size
-        out.append(1.0 if error >= size / 2 else 0.0)
+        rest -= size
+        over, under = max(0.0, size - error - chance * rest), max(0.0, error - (1 - chance) * rest)
+        out.append(float(over < under or (over == under and error >= size / 2)))
         error -= out[-1] * size
     return rows.assign(chance=out)
 
