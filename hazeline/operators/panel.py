@@ -24,14 +24,15 @@ def chunked(df: DataFrame, back: int, ahead: int = 0, by: list[str] | None = Non
             time: str = "dt", ties: tuple = (), rows: int = CHUNK_ROWS, last: str | None = None) -> DataFrame:
     """``df`` with ``_pos``, ``_chunk`` and ``_own`` (false on copied rows).
 
-    ``last`` names a flag for the final row of each series.
+    ``last`` names a flag for the final row of each series. A row without a key
+    or a time is a chunk of its own, so it stays and sees no other row.
     """
     by = by or ["city"]
     rows = max(rows, back, ahead, 1)
     df = ranked(df, by, month_bucket(time), [time, *ties], keep_total="_all" if last else None)
     if last:
         df = df.withColumn(last, F.col("_pos") == F.col("_all") - 1).drop("_all")
-    home = F.floor(F.col("_pos") / rows)
+    home = F.coalesce(F.floor(F.col("_pos") / rows), -1 - F.monotonically_increasing_id())
     within = F.col("_pos") % rows
     targets = [home]
     if back:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 def bucket_offsets(df: DataFrame, by: list[str], bucket: Column) -> DataFrame:
     """(by, _bucket, _offset, _size, _total): rows before the bucket, in it, in the group."""
-    counts = (df.select(*by, bucket.alias("_bucket")).groupBy(*by, "_bucket")
+    counts = (df.select(*by, bucket.alias("_bucket")).filter("_bucket is not null").groupBy(*by, "_bucket")
               .agg(F.count(F.lit(1)).alias("_size")))
     w = Window.partitionBy(*by)
     return counts.select(
@@ -31,13 +31,14 @@ def ranked(df: DataFrame, by: list[str], bucket: Column, order: list,
     """Append the 0-based position of each row within ``by`` in ``order``.
 
     ``bucket`` must be monotone in ``order``; rows with equal order keys need a
-    further key in ``order`` for a fixed result.
+    further key in ``order`` for a fixed result. Rows with a null key or a null
+    bucket have no place in the order: they stay, with a null position.
     """
     offsets = bucket_offsets(df, by, bucket)
     inner = df.withColumn("_bucket", bucket).withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)))
     keys = [*by, "_bucket"]
-    out = inner.join(offsets.select(*keys, "_offset", "_total"), keys)
+    out = inner.join(offsets.select(*keys, "_offset", "_total"), keys, "left")
     extra = [F.col("_total").alias(keep_total)] if keep_total else []
     return out.select(*[F.col(c) for c in df.columns],
                       (F.col("_offset") + F.col("_rn") - 1).alias(name), *extra)
@@ -70,6 +71,20 @@ def hash_cuts(df: DataFrame, by: list[str], quota: Callable[[Column], Column]) -
     return hit.select(*by, F.col("_hash").alias("_cut"))
 
 
+# Rows of a table that may become a constant relation in a plan.
+SMALL_ROWS = 10_000
+
+
+def constant_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """A table of at most ``limit`` rows as a constant of known size, a larger one as it is.
+
+    Spark then joins the small table without moving the other side, by its own
+    size threshold. At most ``limit`` + 1 rows are read to find out.
+    """
+    rows = df.limit(limit + 1).toArrow()
+    return df.sparkSession.createDataFrame(rows, df.schema) if rows.num_rows <= limit else df
+
+
 def lookup(small: DataFrame, key: str, value: str) -> Column:
     """A small keyed table as one map value, for tables with one row per label."""
     return small.agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m")).scalar()

@@ -35,11 +35,14 @@ def split_random(df: DataFrame, share: float, seed: int, key: list[str]) -> Data
 
 def split_position(df: DataFrame, train: float = 0.70, valid: float = 0.80, by: list[str] | None = None,
                    time: str = "dt") -> DataFrame:
-    """``split`` by position in time order within ``by``, cut at int(.70 n) and int(.80 n)."""
+    """``split`` by position in time order within ``by``, cut at int(.70 n) and int(.80 n).
+
+    Rows without a time or a key are in no split: theirs is null.
+    """
     r = ranked(df, by or [], month_bucket(time), [time], keep_total="_all")
     a, b = (F.floor(F.lit(p) * F.col("_all")) for p in (train, valid))
-    return r.withColumn("split", F.when(F.col("_pos") < a, "train").when(F.col("_pos") < b, "validation")
-                        .otherwise("test")).drop("_pos", "_all")
+    placed = F.when(F.col("_pos") < a, "train").when(F.col("_pos") < b, "validation").otherwise("test")
+    return r.withColumn("split", F.when(F.col("_pos").isNotNull(), placed)).drop("_pos", "_all")
 
 
 def city_holdout(df: DataFrame, share: float = 0.8, city: str = "city", time: str = "dt") -> DataFrame:
