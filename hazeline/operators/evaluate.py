@@ -63,8 +63,8 @@ def weighted_metrics(report: DataFrame, by: list[str] | None = None) -> DataFram
     """accuracy and support-weighted precision, recall, F1."""
     total = F.sum("support")
     return report.groupBy(*(by or [])).agg(
-        (F.sum("tp") / total).alias("accuracy"),
-        *[(F.sum(F.col(c) * F.col("support")) / total).alias(f"{c}_weighted") for c in ("precision", "recall", "f1")])
+        F.try_divide(F.sum("tp"), total).alias("accuracy"),
+        *[F.try_divide(F.sum(F.col(c) * F.col("support")), total).alias(f"{c}_weighted") for c in ("precision", "recall", "f1")])
 
 
 def macro_metrics(report: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -98,7 +98,7 @@ def severe_recall(report: DataFrame, by: list[str] | None = None, labels=LABELS,
 
 
 def evaluate(df: DataFrame, truth: str, pred: str, by: list[str] | None = None, n_labels: int = len(LABELS)) -> DataFrame:
-    """All metrics of a scored frame, one row per group of ``by``."""
+    """All metrics of a scored frame, one row per group of ``by``; no rows give null ratios and ``rows`` 0."""
     by = by or []
     report = class_report(confusion(df, truth, pred, n_labels, by), by)
     total, seen = F.sum("support"), (F.col("support") > 0) | (F.col("predicted") > 0)
@@ -108,8 +108,8 @@ def evaluate(df: DataFrame, truth: str, pred: str, by: list[str] | None = None,
 
     v, h = (LABELS.index(s) for s in SEVERE_LABELS)
     return report.groupBy(*by).agg(
-        (F.sum("tp") / total).alias("accuracy"),
-        *[(F.sum(F.col(c) * F.col("support")) / total).alias(f"{c}_weighted") for c in ("precision", "recall", "f1")],
+        F.try_divide(F.sum("tp"), total).alias("accuracy"),
+        *[F.try_divide(F.sum(F.col(c) * F.col("support")), total).alias(f"{c}_weighted") for c in ("precision", "recall", "f1")],
         F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
         F.avg(F.when(seen, F.col("recall"))).alias("macro_recall"), F.avg(F.when(seen, F.col("f1"))).alias("macro_f1"),
         of(v, "recall").alias("very_unhealthy_recall"), of(h, "recall").alias("hazardous_recall"),

@@ -3,8 +3,10 @@
 ``percentile`` keeps every distinct value of a group in one aggregation buffer.
 Here an approximate quantile sketch only supplies cut points. Counts per
 interval between cuts show which intervals hold the wanted ranks; each of those
-is split again into equal steps, and only the steps that hold a wanted rank are
-sorted. A poor sketch costs time, never exactness.
+is split again into equal steps, and only values of the steps that hold a wanted
+rank are shuffled and sorted, in a second scan. A poor sketch costs time, never
+exactness. The cuts and the steps found are read to the driver while they are
+small, so that they join without moving the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeline.operators.ranks import constant_if_small
+
 SKETCH_ACCURACY = 2000
 MARGIN = 0.001
 STEPS = 4096
@@ -28,18 +32,17 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]) -> D
     """(by, n, q0, q1, ...) with linear interpolation at ``probs``."""
     marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-MARGIN, MARGIN)})
     rows = df.select(*by, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    cuts = rows.groupBy(*by).agg(F.expr(
-        f"percentile_approx(_v, array({', '.join(map(str, marks))}), {SKETCH_ACCURACY})").alias("_cuts"))
+    cuts = constant_if_small(rows.groupBy(*by).agg(F.expr(
+        f"percentile_approx(_v, array({', '.join(map(str, marks))}), {SKETCH_ACCURACY})").alias("_cuts")))
     keyed = rows.join(cuts, by) if by else rows.withColumn("_cuts", cuts.scalar())
     interval = " + ".join(f"CAST(_v > _cuts[{i}] AS INT)" for i in range(len(marks)))
     # position between the two cuts around the value; the open ends are one step
     keyed = keyed.select(*by, "_v", "_cuts", F.expr(interval).alias("_iv"))
     low, high = "try_element_at(_cuts, nullif(_iv, 0))", "try_element_at(_cuts, _iv + 1)"
     step = F.expr(f"coalesce(CAST(floor({STEPS} * try_divide(_v - {low}, {high} - {low})) AS INT), 0)")
-    # equal values collapse before the shuffle, so a heavy value cannot swell an interval
-    tally = (keyed.select(*by, "_iv", step.alias("_step"), "_v").groupBy(*by, "_iv", "_step", "_v")
-             .agg(F.count(F.lit(1)).alias("_n")))
-    sizes = tally.groupBy(*by, "_iv", "_step").agg(F.sum("_n").alias("_size"))
+    keyed = keyed.select(*by, "_iv", step.alias("_step"), "_v")
+    # a table of steps, whatever the number of rows: it is counted in the map tasks
+    sizes = keyed.groupBy(*by, "_iv", "_step").agg(F.count(F.lit(1)).alias("_size"))
     outer = sizes.groupBy(*by, "_iv").agg(F.sum("_size").alias("_size"))
     totals = Window.partitionBy(*by)
     outer = _prefix(outer, by, "_iv").withColumn("_total", F.sum("_size").over(totals))
@@ -49,8 +52,10 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]) -> D
     outer = _holding(outer.withColumn("_ranks", wanted)).withColumnRenamed("_before", "_base")
     inner = sizes.join(outer.select(*by, "_iv", "_base", "_total", "_ranks"), [*by, "_iv"])
     inner = _prefix(inner, [*by, "_iv"], "_step").withColumn("_before", F.col("_before") + F.col("_base"))
-    hit = _holding(inner).select(*by, "_iv", "_step", "_before", "_total", "_ranks")
-    near = tally.join(hit, [*by, "_iv", "_step"])
+    hit = constant_if_small(_holding(inner).select(*by, "_iv", "_step", "_before", "_total", "_ranks"))
+    # second scan: only values in the steps that hold a rank; equal ones collapse before the shuffle
+    near = keyed.join(hit.select(*by, "_iv", "_step"), [*by, "_iv", "_step"]).groupBy(*by, "_iv", "_step", "_v").agg(
+        F.count(F.lit(1)).alias("_n")).join(hit, [*by, "_iv", "_step"])
     w = Window.partitionBy(*by, "_iv", "_step").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     near = near.withColumn("_end", F.col("_before") + F.sum("_n").over(w))
     found = near.select(*by, "_total", "_v", F.expr(

@@ -12,7 +12,7 @@ from hazeline.functions.values import encode
 from hazeline.operators.filters import sample_n
 from hazeline.operators.panel import month_bucket
 from hazeline.operators.quantiles import quantiles, unpivot
-from hazeline.operators.ranks import ranked
+from hazeline.operators.ranks import constant_if_small, ranked
 from hazeline.schema import GASES
 
 PAIRS_PER_AGG = 120
@@ -120,25 +120,29 @@ def histogram(df: DataFrame, col: str, k: int = 50) -> DataFrame:
 
 
 def density_histogram(df: DataFrame, col: str, k: int = 50, by: str | None = None) -> DataFrame:
-    """Histogram scaled to area one; ``by`` gives one histogram per group over shared bins."""
+    """Histogram scaled to area one; ``by`` gives one histogram per group over shared bins.
+
+    A constant column has one bin of no width and so no density: null.
+    """
     if by is None:
         h = histogram(df, col, k)
         total = F.sum("n").over(Window.partitionBy())
-        return h.withColumn("density", F.col("n") / (total * (F.col("high") - F.col("low"))))
+        return h.withColumn("density", F.try_divide("n", total * (F.col("high") - F.col("low"))))
     v = df.select(by, F.col(col).cast("double").alias("v")).filter("v is not null and not isnan(v)")
     e = v.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e")).scalar()
     width = (e["hi"] - e["lo"]) / k
-    cells = v.withColumn("bin", F.least(F.floor((F.col("v") - e["lo"]) / width), F.lit(k - 1))).groupBy(by, "bin").agg(
+    cells = v.withColumn("bin", F.least(F.floor(F.coalesce(F.try_divide(F.col("v") - e["lo"], width), F.lit(0.0))), F.lit(k - 1))).groupBy(by, "bin").agg(
         F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy(by))
-    return cells.select(by, "bin", "n", (F.col("n") / (total * width)).alias("density"))
+    return cells.select(by, "bin", "n", F.try_divide("n", total * width).alias("density"))
 
 
 def kde(df: DataFrame, col: str, grid: int = 200, bins: int = 512) -> DataFrame:
     """(x, density): Gaussian kernel curve with Scott's bandwidth over binned values.
 
     The readings are only counted into ``bins`` fine bins; the curve is a sum
-    over those, so its cost does not grow with the table.
+    over those, so its cost does not grow with the table. A constant column has
+    no bandwidth, and its density is null.
     """
     h = histogram(df, col, bins).filter("n > 0").withColumn("mid", (F.col("low") + F.col("high")) / 2)
     m = df.agg(F.struct(F.count(col).alias("n"), F.stddev_samp(col).alias("sd"), F.min(col).cast("double").alias("lo"),
@@ -146,8 +150,8 @@ def kde(df: DataFrame, col: str, grid: int = 200, bins: int = 512) -> DataFrame:
     pts = h.withColumn("m", m).withColumn("bw", F.col("m.sd") * F.pow(F.col("m.n").cast("double"), F.lit(-0.2)))
     pts = pts.select("mid", "n", "bw", "m", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     x = F.col("m.lo") + F.col("i") * (F.col("m.hi") - F.col("m.lo")) / (grid - 1)
-    z = (x - F.col("mid")) / F.col("bw")
-    term = F.col("n") * F.exp(-z * z / 2) / (F.col("m.n") * F.col("bw") * math.sqrt(2 * math.pi))
+    z = F.try_divide(x - F.col("mid"), "bw")
+    term = F.try_divide(F.col("n") * F.exp(-z * z / 2), F.col("m.n") * F.col("bw") * math.sqrt(2 * math.pi))
     return pts.groupBy("i").agg(F.max(x).alias("x"), F.sum(term).alias("density"))
 
 
@@ -161,8 +165,8 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None) -> Da
     long = unpivot(df, by, cols)
     for b in by:
         long = long.filter(F.col(b).isNotNull())
-    q = quantiles(long, keys, "value", [0.25, 0.5, 0.75]).select(
-        *keys, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    q = constant_if_small(quantiles(long, keys, "value", [0.25, 0.5, 0.75]).select(
+        *keys, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3")))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     ends = long.join(q, keys).groupBy(*keys).agg(
@@ -175,13 +179,19 @@ def box_stats(df: DataFrame, cols: list[str], by: list[str] | None = None) -> Da
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """(feature_a, feature_b, i, j, r): pairwise-complete Pearson correlations, i >= j.
 
-    One aggregation per ``PAIRS_PER_AGG`` pairs keeps generated code small.
+    One aggregation per ``PAIRS_PER_AGG`` pairs keeps generated code small. A
+    column that doesn't vary over the rows of a pair has no correlation: null.
     """
+    def r(a: str, b: str) -> str:
+        both = f"`{a}` IS NOT NULL AND `{b}` IS NOT NULL"
+        spread = " * ".join(f"stddev_pop(CASE WHEN {both} THEN `{c}` END)" for c in (a, b))
+        return f"try_divide(covar_pop(`{a}`, `{b}`), {spread})"
+
     pairs = [(a, b) for b, a in combinations_with_replacement(range(len(cols)), 2)]
     parts = []
     for s in range(0, len(pairs), PAIRS_PER_AGG):
         chunk = pairs[s:s + PAIRS_PER_AGG]
-        agg = df.agg(*[F.expr(f"corr(`{cols[a]}`, `{cols[b]}`) AS r{a}_{b}") for a, b in chunk])
+        agg = df.agg(*[F.expr(f"{r(cols[a], cols[b])} AS r{a}_{b}") for a, b in chunk])
         items = F.expr("array(" + ", ".join(
             f"named_struct('feature_a', '{cols[a]}', 'feature_b', '{cols[b]}', 'i', {a}, 'j', {b}, 'r', r{a}_{b})"
             for a, b in chunk) + ")")

@@ -51,18 +51,21 @@ def grid_search(df: DataFrame, features: list[str], dims: list[int]) -> DataFram
     """(latent_dim, final_loss, config_label): mean squared reconstruction error on the last fifth by hash.
 
     Components of a smaller model are a prefix of the larger one's, so one fit
-    and one pass serve the whole grid.
+    and one pass serve the whole grid. A size beyond the number of features has no
+    linear model: its loss is null and ``reason`` says so.
     """
     part = F.pmod(F.xxhash64(*features), F.lit(5))
     train, valid = df.filter(part < 4), df.filter(part == 4)
-    dims = [d for d in dims if d <= len(features)]
-    model, _ = pca(train, features, max(dims))
+    known = [d for d in dims if d <= len(features)]
+    model, _ = pca(train, features, max(known, default=1))
     rows = model.transform(valid).select(vector_to_array("_std").alias("x"), vector_to_array("pca").alias("p"))
     square = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v * v)
-    losses = rows.agg(*[F.avg((square("x") - square(F.slice("p", 1, d))) / len(features)).alias(f"k{d}") for d in dims])
+    losses = rows.agg(*[F.avg((square("x") - square(F.slice("p", 1, d))) / len(features)).alias(f"k{d}") for d in known],
+                      F.count(F.lit(1)).alias("n"))
     return losses.select(F.inline(F.array(*[F.struct(
-        F.lit(d).alias("latent_dim"), F.col(f"k{d}").alias("final_loss"), F.lit(f"latent={d}").alias("config_label"))
-        for d in dims])))
+        F.lit(d).alias("latent_dim"), (F.col(f"k{d}") if d in known else F.lit(None).cast("double")).alias("final_loss"),
+        F.lit(f"latent={d}").alias("config_label"),
+        F.lit(None if d in known else f"more than the {len(features)} features").cast("string").alias("reason")) for d in dims])))
 
 
 def teacher_label(model: PipelineModel, rows: DataFrame, out: str = "target") -> DataFrame:
@@ -77,13 +80,17 @@ def augment(real: DataFrame, synthetic: DataFrame, label: str = "aqi_category",
 
 
 def fidelity(real: DataFrame, synthetic: DataFrame, cols: list[str]) -> DataFrame:
-    """Per column: error of the mean in percent, share of the deviation, verdict at 5 and 15 percent."""
+    """Per column: error of the mean in percent, share of the deviation, verdict at 5 and 15 percent.
+
+    A real mean of zero has no relative error, and a constant column no share: null, and no verdict.
+    """
     r = moments(real, cols).select("feature", F.col("mean").alias("real_mean"), F.col("sd_samp").alias("real_sd"))
     s = moments(synthetic, cols).select("feature", F.col("mean").alias("synthetic_mean"), F.col("sd_samp").alias("synthetic_sd"))
-    err = F.abs(F.col("real_mean") - F.col("synthetic_mean")) / F.abs("real_mean") * 100
+    err = F.try_divide(F.abs(F.col("real_mean") - F.col("synthetic_mean")), F.abs("real_mean")) * 100
     return r.join(s, "feature").withColumns({
-        "mean_error_pct": err, "sd_captured_pct": F.col("synthetic_sd") / F.col("real_sd") * 100,
-        "verdict": F.when(err < 5, "EXCELLENT").when(err < 15, "GOOD").otherwise("FAIR")})
+        "mean_error_pct": err, "sd_captured_pct": F.try_divide("synthetic_sd", "real_sd") * 100,
+        # fixed values: limits and words of the verdict
+        "verdict": F.when(err < 5, "EXCELLENT").when(err < 15, "GOOD").when(err.isNotNull(), "FAIR")})
 
 
 def loss_check(history: DataFrame, beta: float = 0.001, tolerance: float = 0.0005,
