@@ -9,26 +9,37 @@ from hazeline.operators.profile import null_profile
 from hazeline.schema import GASES
 
 
+def _words(t):
+    """Names to look for: the words of the benchmark texts, without edge punctuation."""
+    word = F.explode(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " "))
+    return t("benchmark").select("item_id", word.alias("w")).select("item_id", F.regexp_replace("w", r"[^\p{L}]+$", "").alias("city"))
+
+
 def _names(t):
-    """Names to look for: the first word of each benchmark text, without edge punctuation."""
-    first = F.regexp_replace(F.split_part(F.regexp_replace("text", r"\s+", " "), F.lit(" "), F.lit(1)), r"[^\p{L}]+$", "")
-    return t("benchmark").select(first.alias("city")).filter(F.length("city") >= 4)
+    """The first word of each benchmark text."""
+    first = F.split_part(F.trim(F.regexp_replace("text", r"\s+", " ")), F.lit(" "), F.lit(1))
+    return t("benchmark").select(F.regexp_replace(first, r"[^\p{L}]+$", "").alias("city"))
+
+
+_TIDY = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
+_FIRST = f"SELECT regexp_replace(split_part({_TIDY}, ' ', 1), '[^\\p{{L}}]+$', '') AS city FROM benchmark"
+_ALL = f"SELECT regexp_replace(unnest(string_split({_TIDY}, ' ')), '[^\\p{{L}}]+$', '') AS city FROM benchmark"
 
 
-_NAMES = """names AS (SELECT DISTINCT city FROM (SELECT regexp_replace(split_part(regexp_replace(text, '\\s+', ' ', 'g'), ' ', 1), '[^\\p{L}]+$', '') AS city
-  FROM benchmark) WHERE length(city) >= 4)"""
-_MENTIONS = f"""WITH {_NAMES}
-SELECT d.doc_id, coalesce(min(n.city), 'Delhi') AS city FROM documents d LEFT JOIN names n ON contains(lower(d.text), lower(n.city)) GROUP BY d.doc_id"""
+def _mentions(names: str) -> str:
+    return f"""WITH names AS (SELECT lower(city) AS k, min(city) AS city FROM ({names}) WHERE city <> '' GROUP BY 1),
+found AS (SELECT d.doc_id, min(n.city) AS city FROM documents d JOIN names n ON contains(lower(d.text), n.k) GROUP BY d.doc_id)
+SELECT d.doc_id, coalesce(f.city, 'Delhi') AS city FROM documents d LEFT JOIN found f USING (doc_id)"""
 
 
-@query("j6_city_mentions", _MENTIONS)
+@query("j6_city_mentions", _mentions(_FIRST))
 def mentions(t):
     return J.city_mentions(t("documents"), _names(t))
 
 
-@query("j6_city_mentions_long_list", _MENTIONS)
+@query("j6_city_mentions_long_list", _mentions(_ALL))
 def mentions_long(t):
-    return J.city_mentions(t("documents"), _names(t), limit=1)
+    return J.city_mentions(t("documents"), _words(t))
 
 
 @query("u1_union_rows", with_readings(

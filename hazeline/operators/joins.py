@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from hazeline.operators.panel import chunked, own_rows, window
 
-# City lists up to this length become a constant in the plan; longer ones take the gram join.
-MENTION_LIST_LIMIT = 500
-
 
 def day_bucket(time: str) -> Column:
     return F.unix_date(F.to_date(time))
@@ -85,37 +82,23 @@ def update_metrics(metrics: DataFrame, new: DataFrame, on=("model",), keep: tupl
 
 
 def city_mentions(docs: DataFrame, cities: DataFrame, default: str = "Delhi", key: str = "doc_id",
-                  text: str = "text", limit: int = MENTION_LIST_LIMIT) -> DataFrame:
-    """(key, city): first city in alphabetical order whose name occurs in the text.
+                  text: str = "text") -> DataFrame:
+    """(key, city): first city in alphabetical order whose name occurs in the text, in any case of letters; one row per document.
 
-    A short city list, checked by reading at most ``limit`` + 1 names, becomes a
-    chain of tests in the plan that stops at the first hit, so that documents are
-    not shuffled. A longer list is matched through name prefixes of equal length:
-    an equi-join on distinct grams of each text, then the full name is checked.
+    For each length that a name has, the distinct pieces of that length of a text meet the names in an equi-join. A
+    piece that equals a name is a mention, so no text is carried along or looked at again. The number of lengths is
+    small, however long the list. Repeated keys are told apart by their text, and a null text mentions nobody.
     """
-    names = cities.filter("city is not null and city <> ''").select("city").distinct()
-    head = [r.city for r in names.limit(limit + 1).collect()]
-    if len(head) > limit:
-        return mentions_by_gram(docs, names, default, key, text)
-    tests = " ".join(f"WHEN contains(_body, lower({_quoted(c)})) THEN {_quoted(c)}" for c in sorted(head))
-    found = F.expr(f"CASE {tests} ELSE {_quoted(default)} END") if head else F.lit(default)
-    return docs.select(key, F.lower(text).alias("_body")).select(key, found.alias("city"))
-
-
-def _quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def mentions_by_gram(docs: DataFrame, names: DataFrame, default: str, key: str, text: str) -> DataFrame:
-    """The gram join of :func:`city_mentions` for city lists of any length."""
-    keyed = names.withColumn("_k", F.lower("city"))
-    width = keyed.agg(F.min(F.length("_k")).alias("m")).scalar()
-    keyed = keyed.withColumn("_gram", F.substring(F.col("_k"), F.lit(1), width))
-    body = docs.select(key, F.lower(text).alias("_body"))
-    # a look-ahead yields overlapping grams in one pass over the text
-    every = F.concat(F.lit("(?s)(?=(.{"), width.cast("string"), F.lit("}))"))
-    grams = body.select(key, F.explode(F.array_distinct(F.regexp_extract_all("_body", every, F.lit(1)))).alias("_gram"))
-    candidates = grams.join(keyed, "_gram").select(key, "city", "_k")
-    hits = (candidates.join(body, key).filter(F.contains("_body", F.col("_k")))
-            .groupBy(key).agg(F.min("city").alias("_found")))
-    return docs.select(key).join(hits, key, "left").select(key, F.coalesce("_found", F.lit(default)).alias("city"))
+    names = (cities.filter("city is not null and city <> ''").select("city", F.lower("city").alias("_gram"))
+             .groupBy("_gram").agg(F.min("city").alias("city")))
+    lengths = [r.n for r in names.select(F.length("_gram").alias("n")).distinct().orderBy("n").collect()]
+    body = docs.select(F.col(key).alias("_key"), F.lower(text).alias("_body")).withColumn("_hash", F.xxhash64("_body"))
+    # a look-ahead yields overlapping pieces in one pass over the text
+    pieces = F.flatten(F.array(*[F.array_distinct(F.regexp_extract_all("_body", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))) for n in lengths]))
+    if not lengths:
+        return docs.select(key, F.lit(default).alias("city"))
+    found = (body.select("_key", "_hash", F.explode(pieces).alias("_gram")).join(names, "_gram")
+             .groupBy("_key", "_hash").agg(F.min("city").alias("_found")))
+    rows = docs.select(key, F.xxhash64(F.lower(text)).alias("_text"))
+    out = rows.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")), "left")
+    return out.select(key, F.coalesce("_found", F.lit(default)).alias("city"))

@@ -10,6 +10,7 @@ from hazeline.operators import profile as P
 from hazeline.operators import splits as S
 from hazeline.operators import summary as A
 from hazeline.operators import topk as K
+from hazeline.operators import windows as W
 from hazeline.operators.quantiles import quantiles
 
 
@@ -111,7 +112,17 @@ def test_mentions_both_ways(spark):
     names = spark.createDataFrame([("Agra",), ("New Delhi",), ("O'Hare",)], "city string")
     want = [(1, "Agra"), (2, "Delhi"), (3, "Agra"), (4, "Delhi")]
     assert sorted(tuple(r) for r in J.city_mentions(docs, names).collect()) == want
-    assert sorted(tuple(r) for r in J.city_mentions(docs, names, limit=1).collect()) == want
+    many = names.unionByName(spark.createDataFrame([("Ub",), (None,), ("",), *[(f"Zz{i}",) for i in range(600)]], "city string"))
+    twice = docs.unionByName(spark.createDataFrame([(1, "only the hub"), (1, None)], "doc_id int, text string"))
+    assert sorted(tuple(r) for r in J.city_mentions(twice, many).collect()) == sorted([*want, (1, "Ub"), (1, "Delhi")])
+    assert J.city_mentions(docs, names.limit(0)).filter("city = 'Delhi'").count() == 4
+
+
+def test_rows_without_key_or_time_stay(spark):
+    df = spark.createDataFrame([("A", 1, 1.0), ("A", 2, 2.0), ("A", None, 9.0), (None, 3, 8.0)], "city string, i int, co double")
+    df = df.selectExpr("city", "timestamp'2024-01-25 00:00:00' + make_interval(0, 0, 0, 0, i) AS dt", "co")
+    got = {r.co: r.co_lag_1h for r in W.lags(df, ["co"], [1]).collect()}
+    assert got == {1.0: None, 2.0: 1.0, 9.0: None, 8.0: None}
 
 
 def test_metric_table_updates(spark):
