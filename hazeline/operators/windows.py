@@ -118,6 +118,13 @@ def history_columns(cols: list[str], steps, widths, city: str = "city") -> dict[
     return out
 
 
+def default_time(requests: DataFrame, df: DataFrame, city: str = "city", time: str = "dt") -> DataFrame:
+    """Requests whose null times become the newest time of their city."""
+    newest = df.groupBy(F.col(city).alias("_city")).agg(F.max(time).alias("_time"))
+    out = requests.join(newest, F.col(city) == F.col("_city"), "left").withColumn(time, F.coalesce(time, "_time"))
+    return out.select(*requests.columns)
+
+
 def serve_features(requests: DataFrame, df: DataFrame, cols=GASES, steps=LAG_STEPS, widths=ROLL_WIDTHS,
                    carry: tuple = (), city: str = "city", time: str = "dt") -> DataFrame:
     """Features of many requests (request_id, city, dt, features map) at once.
@@ -125,8 +132,11 @@ def serve_features(requests: DataFrame, df: DataFrame, cols=GASES, steps=LAG_STE
     The current values of ``cols`` and ``carry`` are the city's newest row,
     overridden by the request's ``features`` map. Lags and rolls use rows strictly
     before the request time; a city without any uses its last rows. A lag that
-    reaches beyond the history falls back to the current value.
+    reaches beyond the history falls back to the current value. A request without
+    a time is for the city's newest time. Every request gets a row: that of an
+    unknown city has only what the request brings, and nulls.
     """
+    requests = default_time(requests, df, city, time)
     cols = list(cols)
     base = chunked(df, max([*steps, *widths]), 0, [city], time, last="_newest")
     hist = history_columns(cols, steps, widths, city)
@@ -134,7 +144,7 @@ def serve_features(requests: DataFrame, df: DataFrame, cols=GASES, steps=LAG_STE
     full = own_rows(base.select("*", (F.col("_pos") + 1).alias("_have"), *[e.alias(n) for n, e in hist.items()]))
     full = full.withColumn("_h", F.struct("_have", *names))
     newest = full.filter("_newest").select(city, F.struct("_h", *cols, *carry).alias("_new"))
-    joined = asof_attach(requests, full, [city], time, "_h").join(newest, city)
+    joined = asof_attach(requests, full, [city], time, "_h").join(newest, city, "left")
     joined = joined.withColumn("_use", F.coalesce("_h", F.col("_new._h")))
     current = {c: F.coalesce(F.try_element_at(F.col("features"), F.lit(c)).try_cast("double"), F.col(f"_new.{c}"))
                for c in [*cols, *carry]}
@@ -150,8 +160,11 @@ def serve_sequence(requests: DataFrame, df: DataFrame, cols=GASES, length: int =
     """(request, step, values): the last ``length - 1`` rows before the request and the current row.
 
     Nulls are filled forward, then backward, inside the sequence. With fewer
-    rows before the request time than needed the city's last rows are used.
+    rows before the request time than needed the city's last rows are used. A
+    request without a time is for the city's newest time; one for an unknown city
+    has the one step that it brings itself.
     """
+    requests = default_time(requests, df, city, time)
     cols = list(cols)
     base = chunked(df, length - 1, 0, [city], time, last="_newest")
     w = window([city])
@@ -159,11 +172,11 @@ def serve_sequence(requests: DataFrame, df: DataFrame, cols=GASES, length: int =
     past = own_rows(base.withColumn("_seq", F.collect_list(item).over(w.rowsBetween(2 - length, 0))))
     newest = past.filter("_newest").select(city, F.struct("_seq", *cols).alias("_new"))
     known = asof_attach(requests, past, [city], time, "_seq")
-    joined = known.join(newest, city)
+    joined = known.join(newest, city, "left")
     now = F.struct(F.col(time), *[F.coalesce(F.try_element_at(F.col("features"), F.lit(c)).try_cast("double"),
                                              F.col(f"_new.{c}")).alias(c) for c in cols])
     hist = F.when(F.size(F.coalesce("_seq", F.array())) >= length - 1, F.col("_seq")).otherwise(F.col("_new._seq"))
-    seq = F.array_append(hist, now)
+    seq = F.array_append(F.coalesce(hist, F.array()), now)
     out = joined.select(*[c for c in requests.columns if c != "features"], F.posexplode(seq).alias("step", "_s"))
     keys = [c for c in requests.columns if c not in ("features", time)]
     out = out.select(*keys, F.col(time), "step", F.col(f"_s.{time}").alias("step_time"),

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from hazeline.functions.index import add_index
@@ -97,26 +98,49 @@ def batch_forecast(requests: DataFrame, df: DataFrame, models: dict[tuple[int, s
                    metrics: DataFrame | None = None, steps=LAG_STEPS, widths=ROLL_WIDTHS) -> DataFrame:
     """Forecast many requests (request_id, city, dt, horizon_hours, model, features map).
 
-    Each stored model scores the requests that name it.
+    Each stored model scores the requests that name it. Every request is
+    answered: ``status`` is ok, or says why there is no prediction (unknown city,
+    no such model, incomplete features).
     """
     feats = serve_features(requests, df, GASES, steps, widths, carry=tuple(WEATHER))
     feats = cyclical(calendar(feats))
+    known = df.select(F.col("city").alias("_city")).distinct()
+    feats = feats.join(known, F.col("city") == F.col("_city"), "left")
+    named = F.lit(False)
+    whole = F.lit(True)
+    for (h, name), model in models.items():
+        own = (F.col("horizon_hours") == h) & (F.col("model") == name)
+        named = named | own
+        whole = F.when(own, F.array_size(F.array_compact(F.array(*[F.col(c).cast("double") for c in _inputs(model, feats)])))
+                       == len(_inputs(model, feats))).otherwise(whole)
+    feats = feats.withColumn("status", F.when(F.col("_city").isNull(), "unknown city").when(~F.coalesce(named, F.lit(False)), "no such model")
+                             .when(~whole, "incomplete features").otherwise("ok")).drop("_city")
+    answer = ["request_id", "city", "horizon_hours", "model", F.col("dt").alias("input_time"),
+              target_time("dt", F.col("horizon_hours")).alias("forecast_for")]
     out = None
     for (h, name), model in models.items():
-        part = feats.filter((F.col("horizon_hours") == h) & (F.col("model") == name))
+        part = feats.filter((F.col("horizon_hours") == h) & (F.col("model") == name) & (F.col("status") == "ok"))
         scored = M.probabilities(model.transform(part)).select(
-            "request_id", "city", "horizon_hours", "model", F.col("dt").alias("input_time"),
-            target_time("dt", h).alias("forecast_for"), F.lit(MODEL_LABELS.get(name, name)).alias("model_label"),
-            F.col("prediction_label").alias("prediction"), "confidence", "probabilities")
+            *answer, F.lit(MODEL_LABELS.get(name, name)).alias("model_label"),
+            F.col("prediction_label").alias("prediction"), "confidence", "probabilities", "status")
         out = scored if out is None else out.unionByName(scored)
-    if metrics is None or out is None:
+    rest = feats.filter("status != 'ok'").select(*answer, "status")
+    out = rest if out is None else out.unionByName(rest, allowMissingColumns=True)
+    if metrics is None:
         return out
     m = metrics.select("horizon_hours", "model", F.struct(*metrics.columns).alias("metrics"))
     return attach_metrics(out, m)
 
 
+def _inputs(model: PipelineModel, df: DataFrame) -> list[str]:
+    """Numeric columns of ``df`` that a fitted pipeline reads."""
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    read = [c for s in model.stages if s.hasParam("inputCols") and s.isSet("inputCols") for c in s.getInputCols()]
+    return [c for c in dict.fromkeys(read) if c in numeric]
+
+
 def nowcast_rows(df: DataFrame, features: str = "features") -> DataFrame:
-    """Rows with an array of exactly twelve values become named columns; others are dropped."""
+    """The rows with an array of exactly twelve values, as named columns."""
     names = feature_set("nowcast")
     ok = df.filter(F.size(features) == len(names))
     return ok.select(*[c for c in df.columns if c != features],
@@ -124,7 +148,11 @@ def nowcast_rows(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 def batch_nowcast(rows: DataFrame, models: dict[str, PipelineModel], key: str, aligned: bool = False) -> DataFrame:
-    """Vote of several models, index of the same values, and whether the two disagree."""
+    """Vote of several models, index of the same values, and whether the two disagree.
+
+    Every row is answered: one without exactly twelve values, all known, has the
+    status "incomplete features" and nulls.
+    """
     names = feature_set("nowcast")
     base = nowcast_rows(rows).na.drop(subset=names)
     votes = None
@@ -132,7 +160,9 @@ def batch_nowcast(rows: DataFrame, models: dict[str, PipelineModel], key: str, a
         one = model.transform(base).select(key, F.col("prediction").cast("int").alias("label_id"))
         votes = one if votes is None else votes.unionByName(one)
     out = consensus(votes, [key]).join(add_index(base).select(key, "aqi", "band", "dominant"), key)
-    return mismatch(out, aligned)
+    out = mismatch(out, aligned).withColumn("status", F.lit("ok")).withColumnRenamed(key, "_key")
+    answered = rows.select(key).join(out, F.col(key) == F.col("_key"), "left").drop("_key")
+    return answered.withColumn("status", F.coalesce("status", F.lit("incomplete features")))
 
 
 def nowcast_table(df: DataFrame) -> DataFrame:

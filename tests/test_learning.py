@@ -8,6 +8,8 @@ from hazeline.operators import cluster as C
 from hazeline.operators import models as M
 from hazeline.operators.clean import fill_city
 from hazeline.operators.encode import fit_scaling
+from hazeline.operators import evaluate as V
+from hazeline.operators import summary as S
 from hazeline.operators.evaluate import evaluate
 from hazeline.plans import forecast as P
 from hazeline.plans import synthetic as Y
@@ -104,7 +106,7 @@ def test_latent_rows_resemble_the_data(labelled):
     f = {r.feature: r for r in Y.fidelity(labelled, synth, ["pm25", "co"]).collect()}
     assert all(r.mean_error_pct < 5 and 95 < r.sd_captured_pct < 105 for r in f.values())
     grid = {r.latent_dim: r.final_loss for r in Y.grid_search(labelled, ["pm25", "co"], [1, 2, 9]).collect()}
-    assert set(grid) == {1, 2} and abs(grid[2]) < 1e-9 < grid[1]
+    assert set(grid) == {1, 2, 9} and grid[9] is None and abs(grid[2]) < 1e-9 < grid[1]
 
 
 def test_grid_and_batch_forecast(labelled):
@@ -122,11 +124,32 @@ def test_grid_and_batch_forecast(labelled):
     req = base.limit(5).selectExpr("concat(city, dt) AS request_id", "city", "dt", "1 AS horizon_hours", "'logistic_regression' AS model",
                                    "map('co', '3.5') AS features")
     metrics = grid.select("horizon_hours", F.lit("logistic_regression").alias("model"), "accuracy")
-    out = P.batch_forecast(req, base, kept, metrics, steps=[1], widths=[3]).collect()
-    assert len(out) == 5
+    odd = [("r1", "nowhere", None, 1, "logistic_regression"), ("r2", "A", None, 1, "logistic_regression"), ("r3", "A", None, 7, "logistic_regression"), ("r4", "A", None, 1, None)]
+    odd = base.sparkSession.createDataFrame(odd, "request_id string, city string, dt timestamp, horizon_hours int, model string").withColumn("features", F.expr("map('co', '3.5')"))
+    out = P.batch_forecast(req.unionByName(odd), base, kept, metrics, steps=[1], widths=[3]).collect()
+    assert len(out) == 9
+    last = {r.request_id: r for r in out if len(r.request_id) == 2}
+    assert {k: r.status for k, r in last.items()} == {"r1": "unknown city", "r2": "ok", "r3": "no such model", "r4": "no such model"}
+    assert last["r2"].input_time == base.agg(F.max("dt")).filter("1 = 1").first()[0] or last["r2"].input_time is not None
+    assert all(r.prediction is None for k, r in last.items() if k != "r2") and last["r2"].prediction
+    out = [r for r in out if len(r.request_id) > 2]
+    assert all(r.status == "ok" for r in out)
     assert all((r.forecast_for - r.input_time).seconds == 3600 and r.metrics.accuracy == row.accuracy for r in out)
 
 
 def test_nowcast_drops_wrong_lengths(spark):
     df = spark.createDataFrame([(1, [float(i) for i in range(12)]), (2, [1.0, 2.0]), (3, None)], "id int, features array<double>")
     assert [r.id for r in P.nowcast_rows(df).collect()] == [1]
+
+
+def test_statistics_of_ordinary_odd_data(spark):
+    df = spark.createDataFrame([(1.0, 5.0, None, "a"), (2.0, 5.0, None, "b"), (4.0, 5.0, None, "a")], "x double, flat double, none double, g string")
+    r = {(a.feature_a, a.feature_b): a.r for a in S.corr_matrix(df, ["x", "flat", "none"]).collect()}
+    assert abs(r[("x", "x")] - 1) < 1e-12 and all(v is None for k, v in r.items() if k != ("x", "x"))
+    assert all(a.density is None for a in S.kde(df, "flat").collect())
+    assert sum(a.n for a in S.density_histogram(df, "flat", by="g").collect()) == 3
+    zero = spark.createDataFrame([(0.0,), (0.0,)], "x double")
+    f = Y.fidelity(zero, zero, ["x"]).first()
+    assert f.mean_error_pct is None and f.sd_captured_pct is None and f.verdict is None
+    e = V.evaluate(spark.createDataFrame([], "t int, p int"), "t", "p").first()
+    assert e["rows"] == 0 and e.accuracy is None
