@@ -68,7 +68,7 @@ def lenient_times(t):
 @query("s4_partitioned_sink", with_readings(f"SELECT {_ROUND} FROM readings"))
 def stored(t):
     path = scratch_path(t.spark, "readings")
-    write_readings(t.readings, path, files_per_city=2)
+    write_readings(t.readings, path)
     return standardise_names(read_readings(t.spark, path)).select(*READING_COLUMNS)
 
 

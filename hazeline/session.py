@@ -13,7 +13,10 @@ def build_session(app: str = "hazeline", master: str | None = None, **conf: str)
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    # adaptive execution only merges partitions, so a cluster starts from many
+    wide = {} if master else {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000"}
     settings = {
+        **wide,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -30,11 +33,15 @@ def build_session(app: str = "hazeline", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there. Only where the setting is absent, as
-    in local tests, a fresh local folder is made and remembered for the session.
+    A cluster names a shared folder there, and must: executors can't read what
+    others wrote to their own disks. Only a local master gets a fresh local
+    folder where the setting is absent, remembered for the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

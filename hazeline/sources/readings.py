@@ -41,7 +41,12 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | None =
     if fmt == "csv":
         df = spark.read.csv(path, header=True, schema=schema or _schema_of(spark, path))
     else:
+        # folder names are text: a city 00123 stays that
+        option = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(option)
+        spark.conf.set(option, "false")
         df = spark.read.parquet(path)
+        spark.conf.set(option, before)
     df = standardise_names(df)
     if columns is not None:
         df = df.select(*[canonical(c) for c in columns if canonical(c) in df.columns])
@@ -51,15 +56,13 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def write_readings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                   files_per_city: int = 8) -> None:
+                   rows_per_file: int = 5_000_000) -> None:
     """Store partitioned by city.
 
-    Rows are spread over (city, salt), so that a city holding much of the table
-    is written by ``files_per_city`` tasks.
+    Rows are rebalanced by city: adaptive execution splits a city that holds much
+    of the table over as many tasks as its bytes need.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64("dt"), F.lit(files_per_city)))
-    out = salted.repartition("city", "_salt").drop("_salt")
-    out = out.write.mode(mode).partitionBy("city")
+    out = df.hint("rebalance", "city").write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy("city")
     if fmt == "csv":
         out.csv(path, header=True, timestampFormat="yyyy-MM-dd HH:mm:ss", compression="gzip")
     else:

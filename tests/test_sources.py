@@ -26,7 +26,7 @@ def test_gzip_csv_in_any_column_order(spark, tmp_path):
 
 def test_partitioned_store_round_trip(spark, panel, tmp_path):
     path = str(tmp_path / "store")
-    write_readings(panel, path, files_per_city=3)
+    write_readings(panel, path, rows_per_file=100)
     back = read_readings(spark, path).select(*panel.columns)
     assert back.exceptAll(panel).count() == 0 and panel.exceptAll(back).count() == 0
     plan = spark.read.parquet(path).filter("city = 'A'")._jdf.queryExecution().executedPlan().toString()
