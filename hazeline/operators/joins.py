@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.operators.panel import chunked, own_rows, window
 
+# Bytes of city names that one automaton holds.
+NAME_BYTES = 8 << 20
+
 
 def day_bucket(time: str) -> Column:
     return F.unix_date(F.to_date(time))
@@ -82,23 +87,35 @@ def update_metrics(metrics: DataFrame, new: DataFrame, on=("model",), keep: tupl
 
 
 def city_mentions(docs: DataFrame, cities: DataFrame, default: str = "Delhi", key: str = "doc_id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", block_bytes: int = NAME_BYTES) -> DataFrame:
     """(key, city): first city in alphabetical order whose name occurs in the text, in any case of letters; one row per document.
 
-    For each length that a name has, the distinct pieces of that length of a text meet the names in an equi-join. A
-    piece that equals a name is a mention, so no text is carried along or looked at again. The number of lengths is
-    small, however long the list. Repeated keys are told apart by their text, and a null text mentions nobody.
+    Names are compiled into automata, each of a bounded number of bytes, and each text is streamed through them once. So
+    a list of any length takes the same way, the texts stay where they are, and repeated keys need no care. A null
+    text mentions nobody.
     """
-    names = (cities.filter("city is not null and city <> ''").select("city", F.lower("city").alias("_gram"))
-             .groupBy("_gram").agg(F.min("city").alias("city")))
-    lengths = [r.n for r in names.select(F.length("_gram").alias("n")).distinct().orderBy("n").collect()]
-    body = docs.select(F.col(key).alias("_key"), F.lower(text).alias("_body")).withColumn("_hash", F.xxhash64("_body"))
-    # a look-ahead yields overlapping pieces in one pass over the text
-    pieces = F.flatten(F.array(*[F.array_distinct(F.regexp_extract_all("_body", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))) for n in lengths]))
-    if not lengths:
-        return docs.select(key, F.lit(default).alias("city"))
-    found = (body.select("_key", "_hash", F.explode(pieces).alias("_gram")).join(names, "_gram")
-             .groupBy("_key", "_hash").agg(F.min("city").alias("_found")))
-    rows = docs.select(key, F.xxhash64(F.lower(text)).alias("_text"))
-    out = rows.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_hash")), "left")
-    return out.select(key, F.coalesce("_found", F.lit(default)).alias("city"))
+    names = (cities.filter("city is not null and city <> ''").groupBy(F.lower("city").alias("_name")).agg(F.min("city").alias("city")))
+    size = names.agg(F.coalesce(F.sum(F.octet_length("_name")), F.lit(0)).alias("n")).first().n
+    blocks = size // block_bytes + 1
+    found = []
+    for b in range(blocks):
+        own = names if blocks == 1 else names.filter(F.pmod(F.xxhash64("_name"), F.lit(blocks)) == b)
+        rows = [tuple(r) for r in own.collect()]
+        if rows:
+            found.append(_finder(rows)("_body"))
+    best = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast("string")
+    return docs.select(key, F.lower(text).alias("_body")).select(key, F.coalesce(best, F.lit(default)).alias("city"))
+
+
+def _finder(names: list[tuple[str, str]]):
+    """A column function: the least city of those whose lower-case name occurs in a lower-case text."""
+
+    @F.pandas_udf("string")
+    def find(body: pd.Series) -> pd.Series:
+        machine = ahocorasick.Automaton()
+        for name, city in names:
+            machine.add_word(name, city)
+        machine.make_automaton()
+        return body.map(lambda t: min((c for _, c in machine.iter(t)), default=None) if t else None)
+
+    return find

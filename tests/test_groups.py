@@ -115,6 +115,7 @@ def test_mentions_both_ways(spark):
     many = names.unionByName(spark.createDataFrame([("Ub",), (None,), ("",), *[(f"Zz{i}",) for i in range(600)]], "city string"))
     twice = docs.unionByName(spark.createDataFrame([(1, "only the hub"), (1, None)], "doc_id int, text string"))
     assert sorted(tuple(r) for r in J.city_mentions(twice, many).collect()) == sorted([*want, (1, "Ub"), (1, "Delhi")])
+    assert sorted(tuple(r) for r in J.city_mentions(docs, names, block_bytes=5).collect()) == want
     assert J.city_mentions(docs, names.limit(0)).filter("city = 'Delhi'").count() == 4
 
 
