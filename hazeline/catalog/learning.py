@@ -193,7 +193,7 @@ def metric_grid(t):
 
 @query("m31_grid_search")
 def grid_search(t):
-    return Y.grid_search(complete(t), SYNTH, [2, 4, 8])
+    return Y.grid_search(complete(t), SYNTH, [4, 8, 16])
 
 
 def _synthetic(t):

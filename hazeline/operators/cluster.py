@@ -59,13 +59,12 @@ def knn(train: DataFrame, queries: DataFrame, vector: str, label: str, key: str,
         block = max(1, BLOCK_CELLS // max(1, points.size))
         for batch in batches:
             q = np.array(batch[vector].tolist(), dtype=np.float64)
-            votes = []
+            votes, kinds = [], np.unique(labels)
             for s in range(0, len(q), block):
                 d = ((q[s:s + block, None, :] - points[None, :, :]) ** 2).sum(axis=2)
                 near = np.argsort(d, axis=1, kind="stable")[:, :k]
-                for row in labels[near]:
-                    values, counts = np.unique(row, return_counts=True)
-                    votes.append(int(values[np.argmax(counts)]))
+                counts = (labels[near][:, :, None] == kinds).sum(axis=1)
+                votes += kinds[counts.argmax(axis=1)].tolist()
             yield pd.DataFrame({key: batch[key].to_numpy(), "predicted": votes})
 
     kind = queries.schema[key].dataType.simpleString()
