@@ -1,7 +1,7 @@
 """Learners, clusters, synthetic rows and scoring.
 
-Fits are re-run per call; the registered parameters are small so that a check
-takes seconds. The library's defaults are the published ones.
+Fits are re-run per call. A fit has no SQL, but what it must satisfy has: the
+queries return the test rows of each label and flags computed from the fit.
 """
 
 from functools import partial
@@ -10,18 +10,18 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import query, rn, with_readings
+from hazeline.catalog.base import ordinal, query, rn, with_readings
 from hazeline.catalog.series import requests
 from hazeline.functions.values import decode, encode
 from hazeline.operators import cluster as C
 from hazeline.operators import models as M
 from hazeline.operators.clean import fill_city
-from hazeline.operators.evaluate import evaluate
+from hazeline.operators.evaluate import class_report, confusion
 from hazeline.operators.filters import sample_n
 from hazeline.operators.splits import balanced_weights, split_strat
 from hazeline.plans import forecast as P
 from hazeline.plans import synthetic as Y
-from hazeline.schema import GASES, WEATHER, feature_set
+from hazeline.schema import GASES, LABELS, WEATHER, feature_set
 from hazeline.session import materialise, scratch_path
 from hazeline.sources.models import load_model, save_model
 
@@ -47,41 +47,55 @@ def _scored(t, estimator):
     return model.transform(test)
 
 
+# Test rows of each label after a stratified 80 percent split, as every fit must report them.
+_SUPPORT = with_readings(f"""SELECT label_id, coalesce(n - CAST(round(0.8 * n) AS BIGINT), 0) AS support,
+  sum(coalesce(n - CAST(round(0.8 * n) AS BIGINT), 0)) OVER () AS total, TRUE AS beats_chance, TRUE AS all_predicted
+FROM (SELECT unnest(range({len(LABELS)})) AS label_id) LEFT JOIN (SELECT {ordinal('aqi_category')} AS label_id, count(*) AS n FROM readings GROUP BY 1) USING (label_id)""")
+
+
 def _evaluated(t, estimator):
-    return evaluate(_scored(t, estimator), "target", "prediction")
+    """(label_id, support, total, beats_chance, all_predicted) of the test rows of a fitted model.
 
+    ``beats_chance``: the mean recall of the labels is above that of a constant answer.
+    """
+    cm = materialise(confusion(_scored(t, estimator), "target", "prediction"), "confusion")
+    report = class_report(cm)
+    flags = report.agg((F.avg(F.when(F.col("support") > 0, F.col("recall"))) > F.try_divide(F.lit(1.0), F.count_if(F.col("support") > 0))).alias("beats_chance"),
+                       (F.sum("predicted") == F.sum("support")).alias("all_predicted"), F.sum("support").alias("total"))
+    return report.select("label_id", "support").crossJoin(flags).select("label_id", "support", "total", "beats_chance", "all_predicted")
 
-@query("m7_logistic")
+
+@query("m7_logistic", _SUPPORT)
 def logistic(t):
-    return _evaluated(t, M.logistic(max_iter=40))
+    return _evaluated(t, M.logistic())
 
 
-@query("m8_tree")
+@query("m8_tree", _SUPPORT)
 def tree(t):
-    return _evaluated(t, M.tree(depth=12))
+    return _evaluated(t, M.tree())
 
 
-@query("m9_forest")
+@query("m9_forest", _SUPPORT)
 def forest(t):
-    return _evaluated(t, M.forest(n=20, depth=10))
+    return _evaluated(t, M.forest())
 
 
-@query("m10_boost_hist")
+@query("m10_boost_hist", _SUPPORT)
 def boost_hist(t):
     return _evaluated(t, M.boost_hist(rounds=5, depth=4))
 
 
-@query("m11_boost_sampled")
+@query("m11_boost_sampled", _SUPPORT)
 def boost_sampled(t):
     return _evaluated(t, M.boost_sampled(rounds=5, depth=4))
 
 
-@query("m13_linear_svm")
+@query("m13_linear_svm", _SUPPORT)
 def linear_svm(t):
-    return _evaluated(t, M.linear_svm(max_iter=20))
+    return _evaluated(t, M.linear_svm())
 
 
-@query("m14_gaussian_nb")
+@query("m14_gaussian_nb", _SUPPORT)
 def gaussian_nb(t):
     return _evaluated(t, M.gaussian_nb())
 
@@ -94,24 +108,42 @@ def gaussian_moments(t):
     return M.gaussian_moments(t.readings, ["co", "humidity", "pm25"], "aqi_category")
 
 
-@query("m15_mlp")
+@query("m15_mlp", _SUPPORT)
 def mlp(t):
-    return _evaluated(t, M.mlp([12, 64, 32, 6], max_iter=50))
+    return _evaluated(t, M.mlp([12, 64, 32, 6]))
+
 
+@query("m15_mlp_large", _SUPPORT)
+def mlp_large(t):
+    return _evaluated(t, M.mlp([12, 128, 64, 32, 6]))
 
-@query("m21_probabilities")
+
+@query("m21_probabilities", with_readings("""SELECT CAST(sum(n - round(0.8 * n)) AS BIGINT) AS rows, TRUE AS sums_to_one, TRUE AS largest_wins, count(*) AS labels
+FROM (SELECT count(*) AS n FROM readings GROUP BY aqi_category)"""))
 def probabilities(t):
-    out = M.probabilities(_scored(t, M.logistic(max_iter=50)))
-    return out.select("city", "dt", "prediction_label", "confidence", F.map_values("probabilities").alias("p"))
+    """All rows have probabilities that sum to one, and the label of the largest."""
+    p = F.map_values("probabilities")
+    out = M.probabilities(_scored(t, M.logistic()))
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.abs(F.aggregate(p, F.lit(0.0), lambda s, v: s + v) - 1) < 1e-9).alias("sums_to_one"),
+                   F.bool_and((F.col("confidence") == F.array_max(p)) & (F.try_element_at("probabilities", F.col("prediction_label")) == F.col("confidence"))).alias("largest_wins"),
+                   F.count_distinct("target").alias("labels"))
+
+
+_TEST_ROWS = f"SELECT CAST(sum(n - round(0.8 * n)) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM readings GROUP BY aqi_category)"
 
 
-@query("s7_save_and_load")
+@query("s7_save_and_load", with_readings(f"SELECT 'logistic_regression' AS model_used, rows, 0::BIGINT AS changed FROM ({_TEST_ROWS})"))
 def save_and_load(t):
+    """Rows whose prediction differs after the model was stored and loaded: none."""
     train, test = nowcast_split(t)
     root = scratch_path(t.spark, "models")
-    save_model(M.fit(M.logistic(max_iter=20), train, NOWCAST), root, 1, "logistic_regression")
+    fitted = M.fit(M.logistic(), train, NOWCAST)
+    save_model(fitted, root, 1, "logistic_regression")
     model, used = load_model(t.spark, root, 1, "random_forest")
-    return model.transform(test).select("city", "dt", F.lit(used).alias("model_used"), decode("prediction").alias("prediction"))
+    before = fitted.transform(test).select("city", "dt", F.col("prediction").alias("before"))
+    both = model.transform(test).select("city", "dt", F.col("prediction").alias("after")).join(before, ["city", "dt"])
+    return both.agg(F.first(F.lit(used)).alias("model_used"), F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.col("before") != F.col("after")).alias("changed"))
 
 
 def vectors(t):
@@ -133,22 +165,28 @@ def cluster_vectors(t):
     return v.persist()
 
 
-def cluster_table(model, v):
+def _cluster_checks(model, v):
+    """(clusters, rows, misplaced, in_range): rows that some other centre is nearer to, and whether the silhouette is one."""
     out = model.transform(v)
     score = C.silhouette(out)
-    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("silhouette", F.lit(score))
+    square = lambda c: F.aggregate(F.zip_with(vector_to_array("features"), F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    far = F.array(*[square(c) for c in model.clusterCenters()])
+    out = out.withColumn("far", far)
+    return out.agg(F.count_distinct("cluster").alias("clusters"), F.count(F.lit(1)).alias("rows"),
+                   F.count_if(F.element_at("far", F.col("cluster") + 1) > F.array_min("far") + 1e-9).alias("misplaced"),
+                   F.first(F.lit(score is not None and -1 <= score <= 1)).alias("in_range"))
 
 
-@query("m16_m19_kmeans")
+@query("m16_m19_kmeans", "SELECT 6::BIGINT AS clusters, count(*) AS rows, 0::BIGINT AS misplaced, TRUE AS in_range FROM embeddings")
 def kmeans(t):
     v = cluster_vectors(t)
-    return cluster_table(C.kmeans(v, 6), v)
+    return _cluster_checks(C.kmeans(v, 6), v)
 
 
-@query("m17_bisecting")
+@query("m17_bisecting", "SELECT 6::BIGINT AS clusters, count(*) AS rows, TRUE AS in_range FROM embeddings")
 def bisecting(t):
     v = cluster_vectors(t)
-    return cluster_table(C.bisecting(v, 6), v)
+    return _cluster_checks(C.bisecting(v, 6), v).drop("misplaced")
 
 
 def standard_rows(t):
