@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.values import sentiment_label
+from hazeline.operators.ranks import constant_if_small
+
+# Terms of a lexicon that may become a constant of the plan.
+LEXICON_ROWS = 100_000
 
 # Common English stop words.
 STOP_WORDS = (
@@ -45,11 +49,11 @@ def stem(words: Column | str) -> Column:
 def polarity(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, polarity, sentiment): mean lexicon weight of the words found, 0 when none is.
 
-    Words are counted per document and term before the join with the lexicon.
+    Words meet the lexicon first, without a shuffle while that is small, so only
+    one partial mean per document and task is moved.
     """
-    terms = (docs.select(key, F.explode(tokens(text)).alias("term")).select(key, F.lower("term").alias("term"))
-             .groupBy(key, "term").agg(F.count(F.lit(1)).alias("c")))
-    hits = terms.join(lexicon.select("term", "weight"), "term").groupBy(key).agg(
-        (F.sum(F.col("weight") * F.col("c")) / F.sum("c")).alias("polarity"))
+    terms = docs.select(key, F.explode(tokens(text)).alias("term")).select(key, F.lower("term").alias("term"))
+    known = constant_if_small(lexicon.select("term", "weight"), LEXICON_ROWS)
+    hits = terms.join(known, "term").groupBy(key).agg(F.avg("weight").alias("polarity"))
     out = docs.select(key).join(hits, key, "left").select(key, F.coalesce("polarity", F.lit(0.0)).alias("polarity"))
     return out.withColumn("sentiment", sentiment_label("polarity"))
