@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.schema import LABELS
+
 # Policy texts and task name stored with a forecast report.
 REPORT_META = {
     "task": "future_aqi_category_forecasting",
@@ -15,9 +17,10 @@ REPORT_META = {
 
 
 def report(metrics: DataFrame, meta: dict[str, str] | None = None) -> DataFrame:
-    """One row: the policy texts and all metric rows as ``results``. Metric tables are small."""
+    """One row: the policy texts, label ids as ``category_mapping``, and all metric rows as ``results``. Metric tables are small."""
     return metrics.agg(
         *[F.lit(v).alias(k) for k, v in (meta or REPORT_META).items()],
+        F.struct(*[F.lit(i).alias(label) for i, label in enumerate(LABELS)]).alias("category_mapping"),
         F.sort_array(F.collect_set("horizon_hours")).alias("horizons_hours"),
         F.sort_array(F.collect_list(F.struct(*metrics.columns))).alias("results"))
 
