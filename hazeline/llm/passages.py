@@ -27,8 +27,8 @@ from hazeline.llm.words import Words, texts
 WINDOW = 13
 SHINGLE = 5
 SCOPE_BYTES = 8 << 20
-#: Patterns of one automaton; a shard with more of them uses several.
-PATTERNS = 40_000
+#: Words of the passages that one automaton serves; a shard with more of them uses several, each for its own anchors.
+AUTOMATON_WORDS = 50_000
 
 
 def _anchors(w: Words, hashes: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,14 +110,14 @@ def _answer(batches):
     yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([t.tobytes() for t in np.split(token, first[1:])] if len(own) else [], pa.binary())], ["scope", "tokens"])
 
 
-_PASSAGES = "bucket int, scope long, passages array<binary>, least array<long>, marked array<boolean>"
+_PASSAGES = "bucket int, scope long, anchors array<long>, passages array<binary>, least array<long>, marked array<boolean>"
 
 
 def _candidates(window: int, k: int, buckets: int):
     def run(part: pa.Table, told: pa.Table) -> pa.Table:
         known = [np.frombuffer(t, np.uint64) for t in told["tokens"].to_pylist()]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
-        best: dict[tuple[int, bytes], list] = {}
+        best: dict[tuple[int, int, bytes], list] = {}
         for batch, ids, valid in _batches(part) if len(known) else ():
             for w in texts(batch, "text"):
                 low, place = _anchors(w, w.hashes(), window, k)
@@ -129,77 +129,104 @@ def _candidates(window: int, k: int, buckets: int):
                 end = np.append(start[1:], len(low)) - 1 if len(start) else start
                 bucket = ((low[start] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 raw, lo, hi = w.data.tobytes(), w.start[place[start]], w.end[place[end] + window - 1] if len(start) else start
-                for b, i, j, doc in zip(bucket.tolist(), lo.tolist(), hi.tolist(), ids[w.first + w.text[place[start]]].tolist()):
-                    entry = best.setdefault((b, b" ".join(raw[i:j].split())), [doc, False])
+                anchor = low[start].view(np.int64).tolist()
+                for b, a, i, j, doc in zip(bucket.tolist(), anchor, lo.tolist(), hi.tolist(), ids[w.first + w.text[place[start]]].tolist()):
+                    entry = best.setdefault((b, a, b" ".join(raw[i:j].split())), [doc, False])
                     if doc != entry[0]:
                         entry[0], entry[1] = min(doc, entry[0]), True
         rows: dict[int, list] = {}
-        for (b, text), (doc, many) in best.items():
-            rows.setdefault(b, []).append((text, doc, many))
+        for (b, anchor, text), (doc, many) in best.items():
+            rows.setdefault(b, []).append((anchor, text, doc, many))
         scope = part["scope"][0].as_py() if part.num_rows else None
         return pa.table({"bucket": pa.array(list(rows), pa.int32()), "scope": pa.array([scope] * len(rows), pa.int64()),
-                         "passages": pa.array([[x[0] for x in r] for r in rows.values()], pa.list_(pa.binary())),
-                         "least": pa.array([[x[1] for x in r] for r in rows.values()], pa.list_(pa.int64())),
-                         "marked": pa.array([[x[2] for x in r] for r in rows.values()], pa.list_(pa.bool_()))})
+                         **{c: pa.array([[x[i] for x in r] for r in rows.values()], pa.list_(t)) for i, (c, t) in enumerate(
+                             (("anchors", pa.int64()), ("passages", pa.binary()), ("least", pa.int64()), ("marked", pa.bool_())))}})
 
     return run
 
 
+def _codes(words: np.ndarray) -> list[str]:
+    """Three characters for each word, from three disjoint alphabets, so that matches start and end at words."""
+    kinds, number = np.unique(words, return_inverse=True)
+    base = 2
+    while base ** 3 < len(kinds):
+        base += 1
+    at = np.arange(len(kinds))
+    parts = (at // base ** 2, base + at // base % base, 2 * base + at % base)
+    code = ["".join(map(chr, c)) for c in zip(*(np.where(p + 32 < 0xD800, p + 32, p + 0x10000).tolist() for p in parts))]
+    return [code[i] for i in number.tolist()]
+
+
+def _confirmed(passages: list[bytes], scope: np.ndarray, least: np.ndarray, marked: np.ndarray, window: int):
+    """(scope, window hash, smallest doc_id) of the recurring windows of some passages, located by one automaton."""
+    words, value, owner, where, at = [], [], [], [], 0
+    batch = pa.RecordBatch.from_arrays([pa.array(passages, pa.large_binary()).cast(pa.large_string(), safe=False)], ["text"])
+    for w in texts(batch, "text"):
+        h = w.hashes()
+        v, place = w.windows(h, window)
+        words.append(h)
+        value.append(v)
+        where.append(place + at)
+        owner.append(w.first + w.text[place])
+        at += len(h)
+    words, value, owner, where = map(np.concatenate, (words, value, owner, where))
+    # confirm: in passages of two scopes or more, or of two documents of a scope
+    kinds, first, of, many = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
+    recurs = many > 1
+    recurs[of[marked[owner]]] = True
+    patterns = np.flatnonzero(recurs)
+    if not len(patterns):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    code = _codes(words)
+    machine = ahocorasick.Automaton()
+    for p, i in zip(patterns.tolist(), where[first[patterns]].tolist()):
+        machine.add_word("".join(code[i:i + window]), p)
+    machine.make_automaton()
+    new = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner))
+    hits, counts = [], []
+    for lo, hi in zip(where[new[:-1]].tolist(), (where[new[1:] - 1] + window).tolist()):
+        found = [p for _, p in machine.iter("".join(code[lo:hi]))]
+        hits += found
+        counts.append(len(found))
+    passage, pattern = np.repeat(owner[new[:-1]], counts), np.array(hits, np.int64)
+    lowest = np.full(len(kinds), np.iinfo(np.int64).max)
+    np.minimum.at(lowest, pattern, least[passage])
+    key = np.unique(np.stack([scope[passage], pattern]), axis=1)
+    return key[0], kinds[key[1]], lowest[key[1]]
+
+
 def _locate(window: int):
     """A shard: confirm windows that recur, compile them, and stream the shard's passages through the automata."""
 
     def run(batches):
-        scope, passages, least, marked = [], [], [], []
+        scope, anchors, passages, least, marked = [], [], [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 scope += [row["scope"]] * len(row["passages"])
+                anchors += row["anchors"]
                 passages += row["passages"]
                 least += row["least"]
                 marked += row["marked"]
         if not passages:
             return
-        scope, least, marked = np.array(scope), np.array(least), np.array(marked)
-        words, value, owner, at = [], [], [], 0
-        batch = pa.RecordBatch.from_arrays([pa.array(passages, pa.large_binary()).cast(pa.large_string(), safe=False)], ["text"])
-        where = []
-        for w in texts(batch, "text"):
-            h = w.hashes()
-            v, place = w.windows(h, window)
-            words.append(h)
-            value.append(v)
-            where.append(place + at)
-            owner.append(w.first + w.text[place])
-            at += len(h)
-        words, value, owner, where = map(np.concatenate, (words, value, owner, where))
-        # confirm: in passages of two scopes or more, or of two documents of a scope
-        kinds, first, of, many = np.unique(value, return_index=True, return_inverse=True, return_counts=True)
-        seen = np.zeros(len(kinds), bool)
-        seen[of[marked[owner]]] = True
-        patterns = np.flatnonzero((many > 1) | seen)
-        _, number = np.unique(words, return_inverse=True)
-        number = number.tolist()
-        lowest = np.full(len(kinds), np.iinfo(np.int64).max)
-        new = np.append(np.flatnonzero(np.append(True, owner[1:] != owner[:-1])), len(owner)).tolist()
-        spans = [(int(owner[i]), int(where[i]), int(where[j - 1]) + window) for i, j in zip(new, new[1:])]
-        hits: list[tuple[int, int]] = []
-        for part in np.array_split(patterns, -(-len(patterns) // PATTERNS) or 1):
-            if not len(part):
-                continue
-            machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            for p, i in zip(part.tolist(), where[first[part]].tolist()):
-                machine.add_word(tuple(number[i:i + window]), p)
-            machine.make_automaton()
-            for passage, lo, hi in spans:
-                hits += [(passage, p) for _, p in machine.iter(tuple(number[lo:hi]))]
-        if not hits:
-            return
-        passage, pattern = np.array(hits).T
-        np.minimum.at(lowest, pattern, least[passage])
-        key = np.unique(np.stack([scope[passage], pattern]), axis=1)
-        own, first = np.unique(key[0], return_index=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(own, pa.int64()), pa.array([kinds[p].tobytes() for p in np.split(key[1], first[1:])], pa.binary()),
-             pa.array([lowest[p].astype(np.int64).tobytes() for p in np.split(key[1], first[1:])], pa.binary())], ["scope", "windows", "least"])
+        scope, anchors, least, marked = map(np.array, (scope, anchors, least, marked))
+        order = np.argsort(anchors, kind="stable")
+        anchors = anchors[order]
+        length = np.array([passages[i].count(b" ") + 1 for i in order.tolist()])
+        piece = np.cumsum(length) // AUTOMATON_WORDS
+        # an anchor's passages stay together
+        new = np.append(True, anchors[1:] != anchors[:-1])
+        piece = piece[np.flatnonzero(new)][np.cumsum(new) - 1]
+        found = [_confirmed([passages[i] for i in own.tolist()], scope[own], least[own], marked[own], window)
+                 for own in np.split(order, np.flatnonzero(np.diff(piece)) + 1)]
+        where, value, low = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(where, kind="stable")
+        where, value, low = where[order], value[order], low[order]
+        own, first = np.unique(where, return_index=True)
+        if len(own):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.int64()), pa.array([x.tobytes() for x in np.split(value, first[1:])], pa.binary()),
+                 pa.array([x.astype(np.int64).tobytes() for x in np.split(low, first[1:])], pa.binary())], ["scope", "windows", "least"])
 
     return run
 
