@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm.base import partitions, query, table
-from hazeline.llm.words import Words, texts
+from hazeline.llm.words import Words, mix, texts
 
 WINDOW = 13
 SHINGLE = 5
@@ -44,7 +44,8 @@ def _anchors(w: Words, hashes: np.ndarray, window: int, k: int) -> tuple[np.ndar
     rest = spread + 1 - width
     low = np.minimum(low[:n], low[rest:rest + n])
     whole = w.text[place[:n]] == w.text[place[spread:]]
-    return low[whole], place[:n][whole]
+    # smallest hashes are small numbers: they are mixed again to fall evenly into buckets
+    return mix(low[whole]), place[:n][whole]
 
 
 def _edges(sorted_hashes: np.ndarray, buckets: int) -> np.ndarray:
