@@ -234,6 +234,27 @@ def test_shards(spark, rows):
     assert [r["shard"] for r in sharding.sharded(frame(spark, [(1, None)])).collect()] == [0]
 
 
+def test_copies_stay_whole_in_full_shards(spark):
+    """Most rows are copies and shards fill up with them: no more groups are cut than shards have borders."""
+    rng, sizes = random.Random(4), []
+    while sum(sizes) < 3600:
+        sizes.append(rng.randint(2, 50))
+    rows = [(f"g{g}", g) for g, n in enumerate(sizes) for _ in range(n)] + [("large", -1)] * 2000
+    for free in (0, 600):
+        many = frame(spark, [(i, t) for i, (t, _) in enumerate(rows)] + [(10_000 + i, f"free {i}") for i in range(free)])
+        got = sharding.sharded(many).select("group_key", "shard", "linked").collect()
+        n, groups = Counter(r["shard"] for r in got), defaultdict(set)
+        assert max(n.values()) - min(n.values()) <= 1
+        for r in got:
+            if r["linked"]:
+                groups[r["group_key"]].add(r["shard"])
+        cut = sorted(len(g) for g in groups.values() if len(g) > 1)
+        assert len(groups) == len(sizes) + 1 and len(cut) <= (8 if not free else 1), cut
+    # a group that is larger than a part, but not than a shard, is whole
+    got = sharding.sharded(frame(spark, [(i, "half a shard" if i < 100 else f"free {i}") for i in range(1600)])).collect()
+    assert len({r["shard"] for r in got if r["linked"]}) == 1
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     got = quality.scored(docs, labels.where(~quality.held_out("doc_id"))).join(labels.where(quality.held_out("doc_id")), "doc_id").collect()
