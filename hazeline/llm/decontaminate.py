@@ -1,18 +1,14 @@
-"""Benchmark decontamination by CGK embeddings and repeated bit sampling.
+"""Benchmark decontamination by edit distance.
 
-Texts are sequences of lower-cased words without punctuation, and distance is the edit distance between such sequences. The
-CGK random walk reads a sequence at a random pace: near sequences fall into step again, so few places of their walks differ. Sampling the
-same few places of many walks makes them collide with a set probability; what collides is verified by exact edit distance.
-
-Walks start at windows of an item's size that can match: an item of n words with at most d edits keeps so many of its short
-shingles that documents without them can't match (the q-gram bound; nothing is lost). Benchmarks are handled in blocks of a bounded
-size, each broadcast to one pass over the documents.
+Texts are sequences of lower-cased words without punctuation, and distance is the edit distance between such sequences. An
+item of n words with at most d edits keeps so many of its short shingles that documents without them can't match (the q-gram
+bound; nothing is lost). Every window of an item's size that such a shingle names is verified by exact edit distance, so the
+result is exact. The CGK walks that gave the operator its name are gone, as what they select by sampling can miss matches.
+Benchmarks are handled in blocks of a bounded size, each broadcast to one pass over the documents.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,16 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.llm.base import query, table
-from hazeline.llm.words import Words, mix, texts
+from hazeline.llm.words import Words, texts
 
 SIMILARITY = 0.75
-RECALL = 0.995
-SAMPLED = 2
 #: Bytes of benchmark text that one pass over the documents carries.
 BLOCK_BYTES = 16 << 20
 SHORT = 8
 _ITEMS = T.StructField("__items", T.ArrayType(T.LongType()))
-_END = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def edits(n: int, similarity: float = SIMILARITY) -> int:
@@ -37,37 +30,6 @@ def edits(n: int, similarity: float = SIMILARITY) -> int:
     return int(n * (1 - similarity) + 1e-9) if n >= SHORT else 0
 
 
-def walk(words: np.ndarray, steps: int, walks: int) -> np.ndarray:
-    """CGK embeddings (windows, walks, steps) of padded word sequences (windows, length)."""
-    at = np.zeros((len(words), walks), np.int64)
-    out = np.empty((len(words), walks, steps), np.uint64)
-    padded = np.concatenate([words, np.full((len(words), 1), _END)], 1)
-    row, number = np.arange(len(words))[:, None], np.arange(walks, dtype=np.uint64)
-    for j in range(steps):
-        out[:, :, j] = padded[row, np.minimum(at, words.shape[1])]
-        coin = mix(out[:, :, j] ^ mix(number * np.uint64(0x9E3779B97F4A7C15) + np.uint64(j + 1)))
-        at += (coin >> np.uint64(63)).astype(np.int64)
-    return out
-
-
-def walks_needed(items: list[np.ndarray], recall: float = RECALL, sampled: int = SAMPLED, most: int = 400) -> int:
-    """Walks for the target recall, from how often walks of items and of copies with all allowed edits agree in a place."""
-    rng, agree = np.random.default_rng(3), []
-    for x in items[:64]:
-        d, y = edits(len(x)), x.copy()
-        for _ in range(d):
-            i, kind = int(rng.integers(len(y))), int(rng.integers(3))
-            new = rng.integers(1, 1 << 62, 1, np.uint64)
-            y = np.concatenate([y[:i], new if kind != 1 else new[:0], y[i + (kind != 2):]])
-        n = max(len(x), len(y))
-        both = np.full((2, n), _END)
-        both[0, :len(x)], both[1, :len(y)] = x, y
-        a, b = walk(both, 3 * len(x), 16)
-        agree.append(float((a == b).mean()))
-    p = max(1e-3, float(np.quantile(agree, 0.1)) if agree else 1.0) ** sampled
-    return min(most, math.ceil(math.log(1 - recall) / math.log(1 - min(p, 1 - 1e-9))))
-
-
 def distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     """Least edit distance of the item to a run of ``words``, and where that run ends."""
     row, reach = np.zeros(len(words) + 1, np.int64), np.arange(len(words) + 1)
@@ -80,8 +42,20 @@ def distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def beginning(item: np.ndarray, words: np.ndarray, far: int) -> int:
+    """Where the shortest run at the end of ``words`` begins that is ``far`` edits from the item, the least there is."""
+    back = words[::-1][:len(item) + far]
+    row = reach = np.arange(len(back) + 1)
+    for i, x in enumerate(item[::-1], 1):
+        new = np.empty_like(row)
+        new[0] = i
+        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (back != x))
+        row = np.minimum.accumulate(new - reach) + reach
+    return len(words) - int(row.argmin())
+
+
 class Items:
-    """A block of benchmark items as arrays: shingles with their places, and the sampled walk of each item."""
+    """A block of benchmark items as arrays: the words of each item, and shingles with their places."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         batch = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in rows], pa.string())})
@@ -96,10 +70,6 @@ class Items:
         # the longest run that stays whole, at most three words
         self.gram = np.array([max(1, min(3, -(-(n - d) // (d + 1)))) for n, d in zip(self.length, self.edits)], int)
         self.least = np.maximum(1, self.length - self.gram + 1 - self.edits * self.gram)
-        self.walks = walks_needed(self.words)
-        rng = np.random.default_rng(11)
-        self.sampled = [rng.integers(0, 3 * n, (self.walks, SAMPLED)) for n in self.length]
-        self.codes = [self.code(i, x[None, :])[0] for i, x in enumerate(self.words)]
         self.tables = {}
         for k in sorted(set(self.gram.tolist())):
             value, item, place = [], [], []
@@ -115,15 +85,6 @@ class Items:
             sieve[(value >> np.uint64(44)).astype(np.int64)] = True
             self.tables[k] = (value[order], item[order], place[order], sieve)
 
-    def code(self, i: int, windows: np.ndarray) -> np.ndarray:
-        """Sampled places of all walks of windows: (windows, walks), each a hash."""
-        walked = walk(windows, 3 * int(self.length[i]), self.walks)
-        picked = np.take_along_axis(walked, self.sampled[i][None, :, :], 2)
-        out = np.zeros(picked.shape[:2], np.uint64)
-        for j in range(SAMPLED):
-            out = mix(out ^ picked[:, :, j])
-        return out
-
     def matches(self, w: Words):
         """(text, item number, distance, first word, end word) for a chunk of documents."""
         h = w.hashes()
@@ -149,17 +110,15 @@ class Items:
             mine = keep & (text == t) & (item == i)
             n, d = int(self.length[i]), int(self.edits[i])
             lo, hi = int(first[t]), int(first[t + 1])
-            start = np.unique(np.clip(at[mine] - place[mine], lo, max(lo, hi - 1)))
-            spots = start[:, None] + np.arange(n)
-            windows = np.where(spots < hi, h[np.minimum(spots, len(h) - 1)], _END)
+            # an occurrence holds a shingle that is at most d places off; windows that overlap are searched as one run
+            start = np.unique(at[mine] - place[mine])
+            apart = np.flatnonzero(np.diff(start) > n + 2 * d)
             best = None
-            for part in range(0, len(start), 512):
-                close = (self.code(i, windows[part:part + 512]) == self.codes[i]).any(1)
-                for s in start[part:part + 512][close].tolist():
-                    a, b = max(lo, s - d), min(hi, s + n + d)
-                    far, end = distance(self.words[i], h[a:b])
-                    if far <= d and (best is None or far < best[0]):
-                        best = (far, s - lo, a + end - lo)
+            for s, e in zip(start[np.r_[0, apart + 1]].tolist(), start[np.r_[apart, -1]].tolist()):
+                a, b = max(lo, s - d), min(hi, e + n + d)
+                far, end = distance(self.words[i], h[a:b])
+                if far <= d and (best is None or far < best[0]):
+                    best = (far, a + beginning(self.words[i], h[a:a + end], far) - lo, a + end - lo)
             if best:
                 yield t, i, *best
 

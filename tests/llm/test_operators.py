@@ -307,6 +307,28 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.flagged(frame(spark, docs), bench.limit(0)).where(F.size("__items") > 0).count() == 0
 
 
+def test_decontamination_with_many_short_items(spark):
+    """Short items allow no edits; they come first and are most of the benchmark, and edited copies of long ones are found."""
+    rng = random.Random(3)
+    text = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    items = [(i, " ".join(text(4))) for i in range(100)] + [(1000 + i, " ".join(text(n))) for i, n in enumerate([40, 100] * 6)]
+    docs, want = [], {}
+    for k in range(240):
+        i, t = items[100 + k % 12]
+        w, d = t.split(), decontaminate.edits(len(t.split()))
+        for at in rng.sample(range(len(w)), d - k % 3):
+            w[at] = "other"
+        docs.append((k, " ".join(text(k % 40) + w + text(k % 30))))
+        want[k] = i
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r["__items"] for r in decontaminate.flagged(frame(spark, docs), bench).collect()}
+    assert all(i in got[k] for k, i in want.items())
+    # where an occurrence is
+    doc = "a b c " + items[100][1] + " d e"
+    [r] = [r for r in decontaminate.matches(frame(spark, [(1, doc)]), bench).collect() if r["item_id"] == 1000]
+    assert (r["edits"], r["start"], r["stop"]) == (0, 3, 43)
+
+
 def test_mix(spark):
     rng = random.Random(4)
     docs = [(i, " ".join(["w"] * (rng.randint(0, 60) if i % 97 else 4000))) for i in range(3000)] + [(None, "a b"), (5, None), (5, "a b c"), (5, "a b c")]
