@@ -6,7 +6,7 @@ the next stage's input. All stages but the last return the columns of ``document
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm import decontaminate, mixing, ngram_join, sharding, toxicity
@@ -37,22 +37,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies: a row with the group's smallest doc_id.
+    """Keep one row of each group of near copies: the one with the group's smallest doc_id.
 
-    Documents without words are in no group and all stay, and so do rows without a doc_id unless their group has one. Of rows
-    that repeat a doc_id in a group, one stays: the one of the largest set, then of the first text.
+    Documents without words are in no group and all stay. A group of which no row has a doc_id keeps one row, too. Of rows
+    that repeat a doc_id in a group, one stays: the one of the largest set, then of the first text. Groups that share a
+    doc_id keep a row each.
     """
-    found = ngram_join.joined(docs)
-    keep = (found.where(F.col("class").isNotNull() & (F.col("doc_id") == F.col("component_id")))
-            .groupBy("doc_id").agg(F.max(F.struct("n_shingles", "class"))["class"].alias("class")))
-    # a group in which no row has a doc_id keeps all its rows, as nothing tells them apart
-    lost = found.where(F.col("component_id").isNull()).select(F.lit(None).cast("long").alias("doc_id"), "class").distinct()
-    classes = keep.unionByName(lost).select(F.col("doc_id").alias("__d"), F.col("class").alias("__c"))
+    found = ngram_join.joined(docs).where(F.col("root").isNotNull())
+    # the signature of a set is in one group only, so (doc_id, signature) names the rows of one group
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", -F.col("n_shingles"), F.bitwise_not("class").alias("last"), "class"))
+    classes = found.groupBy("root").agg(best.alias("b")).select(F.col("b")["doc_id"].alias("__d"), F.col("b")["class"].alias("__c"))
     tagged = ngram_join.tagged(_packed(docs))
-    once = Window.partitionBy("doc_id", "__class").orderBy("text")
-    first = (tagged.join(classes, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("__class").eqNullSafe(F.col("__c")), "left_semi")
-             .withColumn("__n", F.row_number().over(once)).where((F.col("__n") == 1) | F.col("doc_id").isNull()))
-    return _unpacked(first.drop("__n").unionByName(tagged.where(F.col("__class").isNull())), docs.columns)
+    kept = tagged.join(classes, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__class") == F.col("__c")), "left_semi")
+    # combined in the map tasks, so copies without a doc_id don't meet in one of them
+    first = kept.groupBy("doc_id", "__class").agg(F.min_by(F.struct("text", "source", "__rest"), "text").alias("__row"))
+    first = first.select("doc_id", "__row.text", "__row.source", "__row.__rest")
+    return _unpacked(first.unionByName(tagged.where(F.col("__class").isNull()).drop("__class")), docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

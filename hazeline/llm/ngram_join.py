@@ -404,7 +404,8 @@ def tagged(docs: DataFrame, k: int = WORDS) -> DataFrame:
 
 
 def joined(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, class (signature of its set) and component_id.
+    """One row for each document: doc_id, n_shingles, class (signature of its set), root (a class, one for each component) and
+    component_id.
 
     Sets are taken from the lower-cased (A-Z) words of ``text``. A document without words or with a null text has an empty
     set and is linked with nothing; one of fewer than ``k`` words has its whole sequence as the one shingle. Equal sets are linked.
@@ -416,9 +417,9 @@ def joined(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     filled = (rows.where("n_shingles > 0").join(roots.withColumnRenamed("id", "class"), "class", "left")
               .withColumn("root", F.coalesce("root", "class")))
     least = filled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return (filled.join(least, "root").select("doc_id", "n_shingles", "class", "component_id")
+    return (filled.join(least, "root").select("doc_id", "n_shingles", "class", "root", "component_id")
             .unionByName(rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("class"),
-                                                             F.col("doc_id").alias("component_id"))))
+                                                             F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"))))
 
 
 SQL = r"""

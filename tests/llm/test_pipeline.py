@@ -32,6 +32,16 @@ def test_near_copies_keep_one_of_each_group(spark, odd):
     assert got == Counter({(1, "a b c d e"): 1, (3, ""): 1, (4, ""): 1, (None, "alone wit"): 1, (5, "q q q q q"): 1})
 
 
+def test_near_copies_of_repeated_ids_keep_one_of_each_group(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, "a b c d e f g"), (5, long), (9, long + " more"), (7, "one two three four five"), (7, "six seven eight nine ten"),
+            (None, "no id at all here"), (None, "no id at all here"), (None, "no  ID at all here")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, 5, 0.1) for i, t in rows], DOCS)
+    got = Counter((r["doc_id"], r["text"][:5]) for r in P.drop_near_copies(spark, docs, SF).collect())
+    assert sum(got.values()) == 5
+    assert got == Counter({(5, "a b c"): 1, (5, "w0 w1"): 1, (7, "one t"): 1, (7, "six s"): 1, (None, "no  I"): 1})
+
+
 def test_filters_keep_clean_rows(spark, odd):
     everything = Counter(r["doc_id"] for r in odd.collect())
     for stage in (P.drop_toxic, P.drop_leaks):
