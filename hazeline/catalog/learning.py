@@ -248,7 +248,8 @@ def synthesise(t):
 def augment(t):
     real, synth = _synthetic(t)
     train = real.withColumn("target", encode("aqi_category"))
-    teacher = M.fit(M.forest(weight=None, n=20, depth=10, leaf=1), train, SYNTH)
+    # published without a depth limit and with leaves of one row; 30 is as deep as MLlib goes
+    teacher = M.fit(M.forest(weight=None, depth=30, leaf=1), train, SYNTH)
     labelled = Y.teacher_label(teacher, synth).withColumn("aqi_category", decode("target"))
     out = Y.augment(real.select(*SYNTH, "aqi_category"), labelled.select(*SYNTH, "aqi_category"))
     return out.groupBy("origin", "aqi_category").agg(F.count(F.lit(1)).alias("n"))

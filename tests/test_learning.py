@@ -153,3 +153,20 @@ def test_statistics_of_ordinary_odd_data(spark):
     assert f.mean_error_pct is None and f.sd_captured_pct is None and f.verdict is None
     e = V.evaluate(spark.createDataFrame([], "t int, p int"), "t", "p").first()
     assert e["rows"] == 0 and e.accuracy is None
+
+
+def test_augment_teacher_is_the_published_forest(panel, monkeypatch):
+    from hazeline.catalog import learning as L
+
+    class Seen(Exception):
+        pass
+
+    def fit(estimator, *_):
+        raise Seen(estimator)
+
+    monkeypatch.setattr(L, "_synthetic", lambda t: (panel, panel))
+    monkeypatch.setattr(L.M, "fit", fit)
+    with pytest.raises(Seen) as seen:
+        L.augment(None)
+    teacher = seen.value.args[0]
+    assert (teacher.getNumTrees(), teacher.getMaxDepth(), teacher.getMinInstancesPerNode()) == (100, 30, 1)
