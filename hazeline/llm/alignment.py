@@ -11,6 +11,7 @@ where the links of each document are looked up. No table of pairs is held in one
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import lru_cache
 from itertools import chain
@@ -28,28 +29,28 @@ from hazeline.llm.bpe import BREAK, DIGIT, LETTER, OTHER, Kinds, Memory, byte_le
 from hazeline.session import materialise
 
 #: Characters of text that are cut at once, and that share one question about their pairs; a longer text is handled alone.
-SLICE = 1_000_000
-BATCH = 8_000_000
+SLICE = 400_000
+BATCH = 4_000_000
 #: A pair of ids is a * _SIDE + b.
 _SIDE = 1 << 32
+_WORDS = re.compile(" +[^ ]*")
 
 
 class ByteLevel:
     """A byte-level tokenizer file whose words are letters, digits or others, each with the blank before it.
 
-    Words are cut as arrays, and the library encodes each distinct one once. The tokens of a word are its bytes, whatever they are.
+    Words are cut as arrays, and the library's model merges each distinct one once. The tokens of a word are its bytes, whatever they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.library.no_truncation()
-        self.library.no_padding()
         self.kinds = Kinds(self._kind)
-        self.memory = Memory(lambda new: [e.ids for e in self.library.encode_batch(new, add_special_tokens=False)])
-        back = {c: b for b, c in byte_letters().items()}
+        letters = byte_letters()
+        cut = self.library.model.tokenize
+        self.memory = Memory(lambda new: [[t.id for t in cut(w.encode().decode("latin-1").translate(letters))] for w in new])
+        back = {c: b for b, c in letters.items()}
         size = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
         names = [self.library.id_to_token(i) or "" for i in range(size)]
         self.bytes = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in names]
@@ -87,17 +88,31 @@ class ByteLevel:
 
 
 class Pieces:
-    """A sentencepiece file that adds a space before the text."""
+    """A sentencepiece file that adds a space before the text.
+
+    As long as no piece has a space after another character, no merge crosses from a word into the blanks after it, so each distinct
+    word is encoded once, with the blanks before it.
+    """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_file=path)
-        piece = self.library.id_to_piece
-        self.bytes = [bytes([int(piece(i)[3:5], 16)]) if self.library.is_byte(i) else piece(i).replace("▁", " ").encode()
-                      for i in range(self.library.get_piece_size())]
+        names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
+        self.apart = not any("▁" in p.lstrip("▁") for p in names)
+        self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.memory = Memory(self._encode)
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        # a word's first blank is the one that the library adds; to an empty text it adds none
+        blank = [self.library.piece_to_id("▁")]
+        return [ids or blank for ids in self.library.encode([w[1:] for w in words], num_threads=1)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.apart:
+            lists = [_WORDS.findall(" " + t) for t in texts]
+            ids, n = self.memory.tokens(self.memory.places([w for x in lists for w in x]))
+            return ids.astype(np.int64), np.diff(np.append(0, np.cumsum(n))[np.cumsum([0, *map(len, lists)])])
         found = self.library.encode(texts, num_threads=1)
         n = np.array([len(x) for x in found], np.int64)
         return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
@@ -135,11 +150,12 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
 
     Both frames have doc, start and end of non-empty tokens, ordered by start, where starts of a later document are larger.
     """
-    left = pd.merge_asof(a.assign(a=np.arange(len(a))), b.assign(b=np.arange(len(b))), on="start", by="doc", suffixes=("_a", "_b"))
-    right = pd.merge_asof(b.assign(b=np.arange(len(b))), a.assign(a=np.arange(len(a)), same=a["start"]), on="start", by="doc",
-                          suffixes=("_b", "_a"))
-    # tokens that start together are in both directions
-    right = right[right["same"] != right["start"]]
+    a, b = a.assign(a=np.arange(len(a))), b.assign(b=np.arange(len(b)))
+    left = pd.merge_asof(a, b, on="start", by="doc", suffixes=("_a", "_b"))
+    # tokens that start together were found in the first direction
+    at = a["start"].to_numpy()
+    later = at[np.searchsorted(at, b["start"].to_numpy(), "right") - 1] != b["start"].to_numpy() if len(at) else np.zeros(len(b), bool)
+    right = pd.merge_asof(b[later], a, on="start", by="doc", suffixes=("_b", "_a"))
     return pd.concat([left, right])[["a", "b", "end_a", "end_b"]]
 
 

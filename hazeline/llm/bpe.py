@@ -31,8 +31,9 @@ from hazeline.llm.base import fresh, query, table
 
 #: Characters of text handled at once; one longer text is handled alone.
 SLICE = 2_000_000
-#: Bytes of distinct words whose tokens a task remembers.
-MEMORY = 8_000_000
+#: Characters of distinct words whose tokens a task remembers, some 30 bytes each, and words that are encoded at once.
+MEMORY = 1_500_000
+WORDS = 4_096
 _NEVER = np.int64(1) << 40
 BREAK, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 _UNKNOWN = 255
@@ -172,37 +173,57 @@ class Merges:
         return out
 
 
+class Places(dict):
+    """Places of words in the order in which they are first looked up; a number (the id of an added token) has -1 - number."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.many = 0
+
+    def __missing__(self, word: str | int) -> int:
+        if isinstance(word, int):
+            place = -1 - word
+        else:
+            place = self.many
+            self.many += 1
+            self.new.append(word)
+        self[word] = place
+        return place
+
+
 class Memory:
-    """Tokens of the words that a task has met, up to ``MEMORY`` bytes of words; then it starts anew."""
+    """Tokens of the words that a task has met, up to ``MEMORY`` characters of words; then it starts anew."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
         self.encode = encode
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.held = 0
+        self.known, self.held = Places(), 0
         self.flat = np.zeros(1 << 12, np.int32)
         self.first = np.zeros(1 << 10, np.int64)
 
     def places(self, words: list) -> np.ndarray:
-        """Places of the words in ``first``; a number (the id of an added token) has the place -1 - number."""
+        """Places of the words in ``first``."""
         if self.held > MEMORY:
             self._forget()
-        new = [w for w in dict.fromkeys(words) if isinstance(w, str) and w not in self.known]
-        if new:
-            found = self.encode(new)
-            have, many = int(self.first[len(self.known)]), len(self.known)
-            flat = np.fromiter(chain.from_iterable(found), np.int32)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new, self.known.new = self.known.new, []
+        many = self.known.many - len(new)
+        for start in range(0, len(new), WORDS):
+            part = new[start:start + WORDS]
+            found = self.encode(part)
+            have, flat = int(self.first[many]), np.fromiter(chain.from_iterable(found), np.int32)
             while have + len(flat) > len(self.flat):
                 self.flat = np.append(self.flat, np.zeros_like(self.flat))
-            while many + len(new) + 1 > len(self.first):
+            while many + len(part) + 1 > len(self.first):
                 self.first = np.append(self.first, np.zeros_like(self.first))
             self.flat[have:have + len(flat)] = flat
-            self.first[many + 1:many + len(new) + 1] = have + np.cumsum([len(t) for t in found])
-            self.known.update(zip(new, range(many, many + len(new))))
-            self.held += sum(map(len, new))
-        return np.array([self.known[w] if isinstance(w, str) else -1 - w for w in words], np.int64)
+            self.first[many + 1:many + len(part) + 1] = have + np.cumsum([len(t) for t in found])
+            many += len(part)
+            self.held += sum(map(len, part))
+        return at
 
     def tokens(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many for each place)."""
