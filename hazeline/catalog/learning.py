@@ -6,15 +6,19 @@ queries return the test rows of each label and flags computed from the fit.
 
 from functools import partial
 
+import numpy as np
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import ordinal, query, rn, with_readings
+from hazeline.catalog.base import OBS_CTE, ordinal, query, rn, with_readings
 from hazeline.catalog.series import requests
 from hazeline.functions.values import decode, encode
 from hazeline.operators import cluster as C
+from hazeline.operators import hierarchy as H
 from hazeline.operators import models as M
+from hazeline.operators import near as N
 from hazeline.operators.clean import fill_city
 from hazeline.operators.evaluate import class_report, confusion
 from hazeline.operators.filters import sample_n
@@ -82,12 +86,12 @@ def forest(t):
 
 @query("m10_boost_hist", _SUPPORT)
 def boost_hist(t):
-    return _evaluated(t, M.boost_hist(rounds=5, depth=4))
+    return _evaluated(t, M.boost_hist())
 
 
 @query("m11_boost_sampled", _SUPPORT)
 def boost_sampled(t):
-    return _evaluated(t, M.boost_sampled(rounds=5, depth=4))
+    return _evaluated(t, M.boost_sampled())
 
 
 @query("m13_linear_svm", _SUPPORT)
@@ -180,7 +184,7 @@ def _cluster_checks(model, v):
 @query("m16_m19_kmeans", "SELECT 6::BIGINT AS clusters, count(*) AS rows, 0::BIGINT AS misplaced, TRUE AS in_range FROM embeddings")
 def kmeans(t):
     v = cluster_vectors(t)
-    return _cluster_checks(C.kmeans(v, 6), v)
+    return _cluster_checks(C.kmeans(v, 6, starts=10), v)
 
 
 @query("m17_bisecting", "SELECT 6::BIGINT AS clusters, count(*) AS rows, TRUE AS in_range FROM embeddings")
@@ -189,6 +193,33 @@ def bisecting(t):
     return _cluster_checks(C.bisecting(v, 6), v).drop("misplaced")
 
 
+@query("m17_ward", "SELECT 6::BIGINT AS clusters, count(*) AS rows, TRUE AS rises_are_sorted, TRUE AS explains_some FROM embeddings")
+def ward(t):
+    """Ward clusters of all vectors: whether merges cost ever more, and rows are nearer to their cluster's centre than to the centre of all."""
+    v = vectors(t).select("vec_id", "vec")
+    model = H.ward(v, 6, "vec")
+    out = model.transform(v).select("cluster", F.posexplode("vec").alias("place", "x"))
+    n = F.col("n")
+    inside = out.groupBy("cluster", "place").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"), F.count(F.lit(1)).alias("n"))
+    by_place = inside.groupBy("place").agg(F.sum(F.col("q") - F.col("s") * F.col("s") / n).alias("within"), F.sum("q").alias("q"), F.sum("s").alias("s"),
+                                           F.sum("n").alias("n"), F.count_distinct("cluster").alias("clusters"))
+    total = F.sum(F.col("q") - F.col("s") * F.col("s") / n)
+    return by_place.agg(F.max("clusters").alias("clusters"), F.max("n").alias("rows"), F.lit(model.rises == sorted(model.rises)).alias("rises_are_sorted"),
+                        (F.sum("within") < total).alias("explains_some"))
+
+
+@query("m19_silhouette_euclid", """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
+d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.v, b.v)) AS s, count(*) AS n FROM v a, v b GROUP BY ALL),
+m AS (SELECT vec_id, max(CASE WHEN own = other THEN n END) AS n, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+  min(CASE WHEN own <> other THEN s / n END) AS b FROM d GROUP BY vec_id)
+SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS rows FROM m""")
+def silhouette(t):
+    """Silhouette of the vectors' own labels as clusters, in Euclidean distance, over all rows."""
+    v = vectors(t).withColumnRenamed("label", "cluster")
+    score = H.euclidean_silhouette(v, "vec", sample=100_000)
+    return v.agg(F.lit(round(score, 6)).alias("silhouette"), F.count(F.lit(1)).alias("rows"))
+
+
 def standard_rows(t):
     """Clustering columns, standardised, as arrays."""
     cols = feature_set("clustering_used")
@@ -198,6 +229,17 @@ def standard_rows(t):
                      vector_to_array("features").alias("vec"))
 
 
+@query("m12_knn_hashed", """SELECT count(*) AS rows, TRUE AS recall_reached FROM embeddings WHERE vec_id % 4 = 0""")
+def knn_hashed(t):
+    """Every fourth vector against all others by hashed projections; at least nine votes in ten are those of the exact search."""
+    v = vectors(t)
+    train, asked = v.where("vec_id % 4 <> 0"), v.where("vec_id % 4 = 0").drop("label")
+    found = N.knn_hashed(train, asked, "vec", "label", "vec_id").withColumnRenamed("predicted", "hashed")
+    exact = C.knn(train, asked, "vec", "label", "vec_id")
+    return asked.join(found, "vec_id", "left").join(exact, "vec_id").agg(
+        F.count("hashed").alias("rows"), (F.avg((F.col("hashed") == F.col("predicted")).cast("double")) >= 0.9).alias("recall_reached"))
+
+
 @query("m18_density_clusters")
 def density(t):
     rows = sample_n(standard_rows(t), 20000, 42, ["city", "dt"])
@@ -213,6 +255,29 @@ def pca(t):
     return out.withColumns({"ratio1": F.lit(ratio[0]), "ratio2": F.lit(ratio[1])})
 
 
+@query("m20_pca_checks", with_readings("SELECT count(*) AS rows, TRUE AS orthonormal, TRUE AS ratios_fall, TRUE AS ratios_are_variances FROM readings"))
+def pca_checks(t):
+    """Components of length one at right angles, whose share of the variance falls and is that of the points."""
+    df = complete(t)
+    cols = feature_set("clustering_used")
+    model, ratio = M.pca(df, cols, 3)
+    pc = model.stages[-1].pc.toArray()
+    square = abs(pc.T @ pc - np.eye(3)).max() < 1e-9
+    points = M.pca_points(df, model, ["city"])
+    share = [F.abs(F.var_samp(f"pc{i + 1}") / len(cols) - r) < 1e-6 for i, r in enumerate(ratio)]
+    return points.agg(F.count(F.lit(1)).alias("rows"), F.lit(bool(square)).alias("orthonormal"),
+                      F.lit(ratio == sorted(ratio, reverse=True) and sum(ratio) <= 1 + 1e-9).alias("ratios_fall"),
+                      (share[0] & share[1] & share[2]).alias("ratios_are_variances"))
+
+
+@query("m31_grid_checks", "SELECT CAST(latent_dim AS INT) AS latent_dim, latent_dim <= 8 AS has_loss, TRUE AS falls FROM (SELECT unnest([2, 4, 8, 16]) AS latent_dim), (SELECT count(*) FROM events)")
+def grid_checks(t):
+    """A loss for each size that a linear model can have, and never more than that of the size before."""
+    grid = Y.grid_search(complete(t), SYNTH, [2, 4, 8, 16])
+    before = F.lag("final_loss").over(Window.orderBy("latent_dim"))
+    return grid.select("latent_dim", F.col("final_loss").isNotNull().alias("has_loss"), F.coalesce(F.col("final_loss") <= before + 1e-12, F.lit(True)).alias("falls"))
+
+
 BASE = [*GASES, *WEATHER, *P.CALENDAR]
 SHORT = dict(steps=[1, 3], widths=[3])
 
@@ -244,6 +309,20 @@ def synthesise(t):
     return _synthetic(t)[1]
 
 
+@query("m33_m35_copula", with_readings("SELECT feature, (SELECT count(*) FROM readings) AS rows, TRUE AS in_range, 'EXCELLENT' AS verdict, TRUE AS spread_kept FROM (SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in SYNTH) + "]) AS feature)"))
+def copula(t):
+    """Rows of the copula: none outside the observed range (so no negative concentration), means and deviations as in the data."""
+    df = complete(t)
+    synth = materialise(Y.synthesise_copula(t.spark, Y.fit_copula(df, SYNTH), df.count(), 42), "copula")
+    span = lambda rows, tag: rows.agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{n}_{c}") for c in SYNTH for n, f in (("lo", F.min), ("hi", F.max))]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col("rows"), F.col(f"lo_{c}").alias("lo"), F.col(f"hi_{c}").alias("hi")) for c in SYNTH]))).select(
+        "feature", *[F.col(c).alias(f"{tag}_{c}") for c in ("rows", "lo", "hi")])
+    both = span(df, "real").join(span(synth, "own"), "feature").join(Y.fidelity(df, synth, SYNTH), "feature")
+    return both.select("feature", F.col("own_rows").alias("rows"), ((F.col("own_lo") >= F.col("real_lo")) & (F.col("own_hi") <= F.col("real_hi"))).alias("in_range"),
+                       "verdict", F.col("sd_captured_pct").between(90, 110).alias("spread_kept"))
+
+
 @query("m32_m34_augment")
 def augment(t):
     real, synth = _synthetic(t)
@@ -288,13 +367,23 @@ def loss_check(t):
     return Y.loss_check(hist, keep=["l_orderkey"])
 
 
-@query("m37_batch_forecast")
+def scoring_models(t):
+    """The published logistic forecast of one hour: all features, balanced classes, one-hot city."""
+    frame = P.training_frame(complete(t), [1])
+    train = balanced_weights(materialise(frame, "forecast"), "target")
+    return {(1, "logistic_regression"): M.fit(M.logistic(), train, P.feature_names(), "city")}
+
+
+@query("m37_batch_forecast", f"""WITH {OBS_CTE} SELECT event_id AS request_id, city, 1 AS horizon_hours, 'logistic_regression' AS model, ts AS input_time,
+  ts + INTERVAL 1 HOUR AS forecast_for, 'Logistic Regression' AS model_label, 'ok' AS status, TRUE AS is_label, TRUE AS is_most_likely
+FROM obs WHERE event_type = 'purchase'""")
 def batch_forecast(t):
-    frame, features = forecast_rows(t, [1])
-    model = M.fit(M.logistic(weight=None, max_iter=20), materialise(frame, "forecast"), features, "city")
     req = requests(t).withColumns({"horizon_hours": F.lit(1), "model": F.lit("logistic_regression")})
-    out = P.batch_forecast(req, complete(t), {(1, "logistic_regression"): model}, **SHORT)
-    return out.drop("probabilities")
+    out = P.batch_forecast(req, complete(t), scoring_models(t))
+    p = F.map_values("probabilities")
+    return out.select("request_id", "city", "horizon_hours", "model", "input_time", "forecast_for", "model_label", "status",
+                      F.col("prediction").isin(*LABELS).alias("is_label"),
+                      ((F.col("confidence") == F.array_max(p)) & (F.try_element_at("probabilities", F.col("prediction")) == F.col("confidence"))).alias("is_most_likely"))
 
 
 @query("m38_batch_nowcast")

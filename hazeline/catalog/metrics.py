@@ -100,31 +100,31 @@ def class_report(t):
 
 def _report(t):
     by = ["horizon_hours", "model"]
-    return E.class_report(E.confusion(baseline_predictions(t, [1, 24]), "target", "pred", by=by), by), by
+    return E.class_report(E.confusion(baseline_predictions(t), "target", "pred", by=by), by), by
 
 
-_SHORT = [*prediction_ctes([1, 24]), REPORT_CTE]
+_REPORT = [*prediction_ctes(), REPORT_CTE]
 
 
 @query("m26_weighted_metrics", with_readings(
     """SELECT horizon_hours, model, round(sum(tp) / sum(support), 9) AS accuracy,
   round(sum(precision * support) / sum(support), 9) AS precision_weighted,
   round(sum(recall * support) / sum(support), 9) AS recall_weighted,
-  round(sum(f1 * support) / sum(support), 9) AS f1_weighted FROM report GROUP BY ALL""", *_SHORT))
+  round(sum(f1 * support) / sum(support), 9) AS f1_weighted FROM report GROUP BY ALL""", *_REPORT))
 def weighted(t):
     return E.weighted_metrics(*_report(t))
 
 
 @query("m27_macro_metrics", with_readings(
     """SELECT horizon_hours, model, round(avg(recall), 9) AS macro_recall, round(avg(f1), 9) AS macro_f1
-FROM report WHERE support > 0 OR predicted > 0 GROUP BY ALL""", *_SHORT))
+FROM report WHERE support > 0 OR predicted > 0 GROUP BY ALL""", *_REPORT))
 def macro(t):
     return E.macro_metrics(*_report(t))
 
 
 @query("m28_balanced_accuracy", with_readings(
     """SELECT horizon_hours, model, round(avg(recall) FILTER (WHERE support > 0), 9) AS balanced_accuracy,
-  round(avg(recall) FILTER (WHERE support > 0 OR predicted > 0), 9) AS macro_variant FROM report GROUP BY ALL""", *_SHORT))
+  round(avg(recall) FILTER (WHERE support > 0 OR predicted > 0), 9) AS macro_variant FROM report GROUP BY ALL""", *_REPORT))
 def balanced(t):
     rep, by = _report(t)
     macro_form = E.balanced_accuracy(rep, by, "macro").withColumnRenamed("balanced_accuracy", "macro_variant")
@@ -135,7 +135,7 @@ def balanced(t):
     """SELECT horizon_hours, model, round(v.recall, 9) AS very_unhealthy_recall, round(v.f1, 9) AS very_unhealthy_f1,
   v.support AS very_unhealthy_support, round(h.recall, 9) AS hazardous_recall, round(h.f1, 9) AS hazardous_f1,
   h.support AS hazardous_support, round((v.recall + h.recall) / 2, 9) AS severe_class_recall
-FROM report v JOIN report h USING (horizon_hours, model) WHERE v.label_id = 4 AND h.label_id = 5""", *_SHORT))
+FROM report v JOIN report h USING (horizon_hours, model) WHERE v.label_id = 4 AND h.label_id = 5""", *_REPORT))
 def severe(t):
     return E.severe_recall(*_report(t))
 

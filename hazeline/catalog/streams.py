@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from hazeline.catalog.base import BREAKS_CTE, OBS_CTE, query, sub_index_sql
-from hazeline.catalog.learning import SHORT, complete, forecast_rows
+from hazeline.catalog.base import BREAKS_CTE, OBS_CTE, query, sub_index_sql, with_readings
+from hazeline.catalog.learning import complete, scoring_models
 from hazeline.catalog.scans import LIVE_CTES, payloads
 from hazeline.functions.index import sub_index
-from hazeline.operators import models as M
-from hazeline.schema import GASES
-from hazeline.session import materialise, scratch_path
+from hazeline.plans.forecast import batch_forecast
+from hazeline.schema import GASES, WEATHER
 from hazeline.sources.fixture import EVENT_GASES, observations
 from hazeline.streaming import live as L
+from hazeline.streaming import state as S
 from hazeline.streaming.run import drain_append, drain_complete, drain_update, event_stream
 
 
@@ -80,23 +80,37 @@ def latest(t):
     return drain_update(L.stream_latest(s, 900, tie="event_id"), ["city", "slot"], "latest")
 
 
-@query("t6_stream_forecast")
+@query("t5_stream_expiring", f"""WITH {OBS_CTE}, firsts AS (SELECT city, ts, max(event_id) AS event_id, arg_max(k, event_id) AS k FROM obs GROUP BY city, ts),
+nexts AS (SELECT *, lead(ts) OVER (PARTITION BY city ORDER BY ts) AS later, max(ts) OVER () - INTERVAL 15 MINUTE AS mark FROM firsts)
+SELECT city, ts, event_id, k, 'expired' AS status FROM nexts WHERE ts + INTERVAL 15 MINUTE <= mark AND (later IS NULL OR later > ts + INTERVAL 15 MINUTE)
+UNION ALL SELECT city, ts, event_id, k, 'current' FROM nexts WHERE later IS NULL""")
+def expiring(t):
+    """Readings that expired without a successor, and the newest of each city."""
+    s = _Stream(t).observations.select("city", "ts", "event_id", "k")
+    with S.with_store(t.spark):
+        out = drain_append(S.stream_expiring(s, 900), "expiring")
+    newest = out.filter("status = 'current'").groupBy("city").agg(F.max_by(F.struct(*[c for c in out.columns if c != "city"]), F.struct("ts", "event_id")).alias("r"))
+    return out.filter("status = 'expired'").unionByName(newest.select("city", "r.*"))
+
+
+@query("t6_stream_forecast", with_readings("""SELECT event_id AS request_id, city, 1 AS horizon_hours, 'logistic_regression' AS model, newest AS input_time,
+  newest + INTERVAL 1 HOUR AS forecast_for, 'ok' AS status, TRUE AS as_in_batch
+FROM obs JOIN (SELECT city, max(dt) AS newest FROM readings GROUP BY city) USING (city) WHERE event_type = 'purchase'"""))
 def forecast(t):
-    frame, features = forecast_rows(t, [1])
-    model = M.fit(M.logistic(weight=None, max_iter=10), materialise(frame, "forecast"), features, "city")
-    stream = _Stream(t).observations.filter("event_type = 'purchase'").select(
-        F.col("event_id").alias("request_id"), "city", F.col("ts").alias("dt"),
-        F.create_map(F.lit("co"), F.col("k").cast("string")).alias("features"),
-        F.lit(1).alias("horizon_hours"), F.lit("logistic_regression").alias("model"))
-    out = scratch_path(t.spark, "scored")
-
-    def write(batch, batch_id):
-        batch.drop("probabilities").write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
-
-    step = L.stream_forecast(complete(t), {(1, "logistic_regression"): model}, write, **SHORT)
-    q = (stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return t.spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows").drop("batch")
+    """Live requests answered from the rows kept in state; ``as_in_batch``: the batch plan gives the same prediction."""
+    history, models = complete(t), scoring_models(t)
+    asked = [F.col("event_id").alias("request_id"), "city", F.lit(None).cast("timestamp").alias("dt"),
+             F.create_map(F.lit("co"), F.col("k").cast("string")).alias("features"), F.lit(1).alias("horizon_hours"),
+             F.lit("logistic_regression").alias("model")]
+    none = [F.lit(None).cast("double").alias(c) for c in [*GASES, *WEATHER]]
+    stream = _Stream(t).observations.filter("event_type = 'purchase'").select(*asked, *none)
+    with S.with_store(t.spark):
+        out = drain_append(S.stream_forecasts(stream, history, models), "scored")
+    batch = batch_forecast(t.observations.filter("event_type = 'purchase'").select(*asked), history, models)
+    batch = batch.select("request_id", F.col("prediction").alias("p"), F.col("confidence").alias("c"))
+    same = F.col("prediction").eqNullSafe(F.col("p")) & F.coalesce(F.abs(F.col("confidence") - F.col("c")) < 1e-9, F.lit(False))
+    return out.join(batch, "request_id", "left").select("request_id", "city", "horizon_hours", "model", "input_time", "forecast_for", "status",
+                                                        same.alias("as_in_batch"))
 
 
 @query("t7_bad_air_sessions", f"""WITH {OBS_CTE}, {BREAKS_CTE}, src AS (SELECT event_id, city, ts, cents / 100.0::DOUBLE AS pm25 FROM obs WHERE event_type = 'view'),

@@ -204,6 +204,17 @@ def scatter(t):
     return A.scatter_sample(t.readings, "humidity", 2000, 42, ["city", "dt"])
 
 
+def _scatter(col):
+    @query(f"a18_scatter_{col}", with_readings(f"""SELECT city, dt, round({col}, 9) AS {col}, CAST({_Y} AS INT) AS aqi_score FROM readings
+ORDER BY md5('42|' || city || '|' || strftime(dt, '%Y-%m-%d %H:%M:%S')) LIMIT 2000"""))
+    def sample(t):
+        return A.scatter_sample(t.readings, col, 2000, 42, ["city", "dt"])
+
+
+for _col in ("temp", "wind"):
+    _scatter(_col)
+
+
 @query("k1_sort_panel", with_readings(f"SELECT city, dt, {rn('co')} FROM readings ORDER BY city, dt"))
 def sort_panel(t):
     return K.sort_panel(t.readings.select("city", "dt", "co"))

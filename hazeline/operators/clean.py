@@ -43,10 +43,10 @@ def fill_city(df: DataFrame, cols: list[str], city: str = "city", time: str = "d
 def fill_global(df: DataFrame, cols: list[str], time: str = "dt", ties: tuple = ("city",)) -> DataFrame:
     """Forward then backward fill in overall time order, across cities.
 
-    Each distinct time is a bucket; only the table with one carried row per
-    time is ordered as a whole.
+    Each distinct time is a bucket. Values are carried between months, then
+    between the times of a month, then between the rows of a time, so only the table of months is ordered as a whole.
     """
-    return fill_both_ways(df, [], F.col(time), [time, *ties], cols)
+    return fill_both_ways(df, [], F.col(time), [time, *ties], cols, month_bucket)
 
 
 def interpolate(df: DataFrame, cols: list[str], max_gap: int = 3, city: str = "city",

@@ -17,8 +17,10 @@ SAMPLE_LIMIT = 50_000
 BLOCK_CELLS = 4_000_000
 
 
-def kmeans(vectors: DataFrame, k: int = 6, seed: int = 42):
-    return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
+def kmeans(vectors: DataFrame, k: int = 6, seed: int = 42, starts: int = 1):
+    """The best of ``starts`` fits, by their summed squared distances."""
+    fits = [KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(vectors) for i in range(starts)]
+    return min(fits, key=lambda m: m.summary.trainingCost)
 
 
 def bisecting(vectors: DataFrame, k: int = 6, seed: int = 42):

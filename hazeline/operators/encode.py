@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from hazeline.operators.ranks import constant_if_small, ranked
 
 
 @dataclass(frozen=True)
@@ -28,17 +31,27 @@ class Scaling:
 
 
 def fit_scaling(train: DataFrame, cols: list[str]) -> Scaling:
-    """Standard scaling as the source system does it: population deviation, 1 where it is 0."""
+    """Standard scaling as the source system does it: population deviation, 1 where it is 0.
+
+    The training rows are read once, here; the statistics are kept as one constant row.
+    """
     stats = train.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols], *[
         F.when(F.stddev_pop(c) == 0, 1.0).otherwise(F.stddev_pop(c)).alias(f"s_{c}") for c in cols]).alias("s"))
-    return Scaling(stats, tuple(cols))
+    return Scaling(constant_if_small(stats), tuple(cols))
 
 
 def label_encode(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Alphabetical integer code; only the distinct values are ordered."""
-    codes = df.select(col).distinct().filter(F.col(col).isNotNull())
-    codes = codes.withColumn(out, (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
-    return df.join(codes, col, "left").select(*df.columns, out)
+    """Alphabetical integer code from 0; a null has none.
+
+    The distinct values are ranked in buckets by their first letters, so many of them aren't ordered in one task. A short table
+    of codes is then looked up without moving the rows.
+    """
+    values = df.select(F.col(col)).distinct().filter(F.col(col).isNotNull())
+    bucket = (F.floor(F.col(col).cast("double") / 4096) if isinstance(df.schema[col].dataType, NumericType)
+              else F.substring(F.hex(F.col(col).cast("string")), 1, 6))
+    codes = ranked(values, [], bucket, [col]).select(F.col(col).alias("_value"), F.col("_pos").cast("int").alias(out))
+    codes = constant_if_small(codes)
+    return df.join(codes, F.col(col) == F.col("_value"), "left").select(*df.columns, out)
 
 
 def onehot(df: DataFrame, col: str, values: list[str], prefix: str | None = None) -> DataFrame:

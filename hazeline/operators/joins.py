@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -111,11 +113,12 @@ def _finder(names: list[tuple[str, str]]):
     """A column function: the least city of those whose lower-case name occurs in a lower-case text."""
 
     @F.pandas_udf("string")
-    def find(body: pd.Series) -> pd.Series:
+    def find(bodies: Iterator[pd.Series]) -> Iterator[pd.Series]:
         machine = ahocorasick.Automaton()
         for name, city in names:
             machine.add_word(name, city)
         machine.make_automaton()
-        return body.map(lambda t: min((c for _, c in machine.iter(t)), default=None) if t else None)
+        for body in bodies:
+            yield body.map(lambda t: min((c for _, c in machine.iter(t)), default=None) if t else None)
 
     return find

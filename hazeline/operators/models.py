@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-    MultilayerPerceptronClassifier, NaiveBayes, OneVsRest, RandomForestClassifier,
+    DecisionTreeClassifier, LinearSVC, LogisticRegression,
+    NaiveBayes, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazeline.functions.values import decode
+from hazeline.operators.boosting import BoostedTrees
+from hazeline.operators.networks import ReluNetwork
 from hazeline.schema import LABELS
 
 
 def prepare(features: list[str], city: str | None = None) -> list:
-    """Assemble, standardise and, if asked, append the one-hot city (unknown city -> its own slot)."""
+    """Assemble, standardise and, if asked, append the one-hot city (all zero for an unknown one)."""
     stages = [VectorAssembler(inputCols=features, outputCol="_num", handleInvalid="error"),
               StandardScaler(inputCol="_num", outputCol="_std" if city else "features", withMean=True, withStd=True)]
     if city:
@@ -66,16 +68,14 @@ def forest(label: str = "target", weight: str | None = "weight", n: int = 100, d
 
 
 def boost_hist(label: str = "target", weight: str | None = "weight", rounds: int = 250, rate: float = 0.08,
-               depth: int = 5) -> Estimator:
-    """One-vs-rest boosting over binned features; MLlib has no l2 leaf penalty."""
-    gbt = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, maxBins=255, seed=42)
-    return _one_vs_rest(gbt, label, weight)
+               depth: int = 5, l2: float = 0.05) -> Estimator:
+    """Multiclass boosting over 255 bins: softmax loss, an l2 term in the leaves, leaves of at least 20 rows."""
+    return _weighted(BoostedTrees(labelCol=label, rounds=rounds, rate=rate, depth=depth, l2=l2, leaf=20), weight)
 
 
 def boost_sampled(label: str = "target", rounds: int = 200, rate: float = 0.05, depth: int = 8) -> Estimator:
-    gbt = GBTClassifier(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=0.8,
-                        featureSubsetStrategy="0.8", seed=42)
-    return _one_vs_rest(gbt, label, None)
+    """Multiclass boosting of deeper trees, each on 0.8 of the rows and of the columns; leaves of hessian 1 at least."""
+    return BoostedTrees(labelCol=label, rounds=rounds, rate=rate, depth=depth, l2=1.0, leaf=1, mass=1.0, rows=0.8, columns=0.8, doubled=True)
 
 
 def linear_svm(label: str = "target", weight: str | None = "weight", max_iter: int = 100) -> Estimator:
@@ -87,8 +87,8 @@ def gaussian_nb(label: str = "target", weight: str | None = "weight") -> Estimat
 
 
 def mlp(layers: list[int], label: str = "target", max_iter: int = 200) -> Estimator:
-    """Layer sizes including input and output. Hidden units are sigmoid; there is no early stop."""
-    return MultilayerPerceptronClassifier(labelCol=label, layers=layers, maxIter=max_iter, seed=42)
+    """Layer sizes including input and output: rectified hidden units, mini-batch steps, early stop on a tenth of the rows."""
+    return ReluNetwork(labelCol=label, layers=layers, epochs=max_iter)
 
 
 def _weighted(est: Estimator, weight: str | None) -> Estimator:

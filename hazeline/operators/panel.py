@@ -54,27 +54,42 @@ def own_rows(df: DataFrame) -> DataFrame:
 
 
 def carry_bounds(df: DataFrame, by: list[str], bucket: Column, order: Column,
-                 cols: list[str]) -> DataFrame:
+                 cols: list[str], coarse=None) -> DataFrame:
     """Per bucket: last non-null value of each column before it, first one after it.
 
     One aggregation with map-side combine, then a window over the bucket table.
+    Where that table is long, ``coarse`` (a function of the bucket's column, rising with it) cuts it: values
+    are carried between the coarse buckets, and inside each of them between its buckets.
     """
     agg = df.select(*by, bucket.alias("_bucket"), order.alias("_ord"), *cols).groupBy(*by, "_bucket").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(f"_l_{c}") for c in cols],
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(f"_f_{c}") for c in cols])
-    w = Window.partitionBy(*by).orderBy("_bucket")
-    prev, nxt = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    return agg.select(
-        *by, "_bucket",
-        *[F.last(f"_l_{c}", ignorenulls=True).over(prev).alias(f"_p_{c}") for c in cols],
-        *[F.first(f"_f_{c}", ignorenulls=True).over(nxt).alias(f"_n_{c}") for c in cols])
+
+    def carried(rows: DataFrame, within: list[str], along: str, before: str, after: str) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(along)
+        prev, nxt = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+        return rows.select(
+            *within, along,
+            *[F.last(f"_l_{c}", ignorenulls=True).over(prev).alias(f"{before}{c}") for c in cols],
+            *[F.first(f"_f_{c}", ignorenulls=True).over(nxt).alias(f"{after}{c}") for c in cols])
+
+    if coarse is None:
+        return carried(agg, by, "_bucket", "_p_", "_n_")
+    agg = agg.withColumn("_part", coarse("_bucket"))
+    parts = agg.groupBy(*by, "_part").agg(
+        *[F.max_by(f"_l_{c}", F.when(F.col(f"_l_{c}").isNotNull(), F.col("_bucket"))).alias(f"_l_{c}") for c in cols],
+        *[F.min_by(f"_f_{c}", F.when(F.col(f"_f_{c}").isNotNull(), F.col("_bucket"))).alias(f"_f_{c}") for c in cols])
+    outer = carried(parts, by, "_part", "_op_", "_on_")
+    inner = carried(agg, [*by, "_part"], "_bucket", "_ip_", "_in_")
+    return inner.join(outer, [*by, "_part"], "left").select(
+        *by, "_bucket", *[F.coalesce(f"_i{x}_{c}", f"_o{x}_{c}").alias(f"_{x}_{c}") for x in "pn" for c in cols])
 
 
 def fill_both_ways(df: DataFrame, by: list[str], bucket: Column, order: list[str],
-                   cols: list[str]) -> DataFrame:
+                   cols: list[str], coarse=None) -> DataFrame:
     """Forward fill, then backward fill, of ``cols`` along ``order`` within ``by``."""
     # a single order column keeps the aggregation in hash form
-    bounds = carry_bounds(df, by, bucket, F.col(order[0]) if len(order) == 1 else F.struct(*order), cols)
+    bounds = carry_bounds(df, by, bucket, F.col(order[0]) if len(order) == 1 else F.struct(*order), cols, coarse)
     keys = [*by, "_bucket"]
     w = Window.partitionBy(*keys).orderBy(*order)
     upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)

@@ -10,21 +10,22 @@ from hazeline.operators.ranks import bucket_offsets, hash_cuts, hash_key, lookup
 
 
 def split_chrono(df: DataFrame, train: float = 0.70, valid: float = 0.85, time: str = "dt") -> DataFrame:
-    """``split`` by time, cut at the distinct timestamps in positions int(.70 n) and int(.85 n)."""
+    """``split`` by time, cut at the distinct timestamps in positions int(.70 n) and int(.85 n). Rows without a time have none."""
     times = df.select(time).filter(F.col(time).isNotNull()).distinct()
     pos = ranked(times, [], month_bucket(time), [time], keep_total="_all")
     cuts = pos.agg(F.struct(*[F.max(F.when(F.col("_pos") == F.floor(F.lit(p) * F.col("_all")), F.col(time)))
                               .alias(n) for p, n in ((train, "a"), (valid, "b"))]).alias("c")).scalar()
-    return df.filter(F.col(time).isNotNull()).withColumn(
-        "split", F.when(F.col(time) < cuts["a"], "train").when(F.col(time) < cuts["b"], "validation").otherwise("test"))
+    return df.withColumn("split", F.when(F.col(time) < cuts["a"], "train").when(F.col(time) < cuts["b"], "validation")
+                         .when(F.col(time).isNotNull(), "test"))
 
 
 def split_strat(df: DataFrame, label: str, share: float, seed: int, key: list[str]) -> DataFrame:
-    """``split`` train/test with exactly round(share * n) training rows per label."""
-    h = df.filter(F.col(label).isNotNull()).withColumn("_hash", hash_key(seed, *key))
-    cuts = lookup(hash_cuts(h, [label], lambda size: F.round(F.lit(share) * size)), label, "_cut")
+    """``split`` train/test with exactly round(share * n) training rows per label. Rows without a label have none."""
+    h = df.withColumn("_hash", hash_key(seed, *key))
+    known = h.filter(F.col(label).isNotNull())
+    cuts = lookup(hash_cuts(known, [label], lambda size: F.round(F.lit(share) * size)), label, "_cut")
     chosen = F.coalesce(F.col("_hash") <= F.try_element_at(cuts, F.col(label)), F.lit(False))
-    return h.withColumn("split", F.when(chosen, "train").otherwise("test")).drop("_hash")
+    return h.withColumn("split", F.when(chosen, "train").when(F.col(label).isNotNull(), "test")).drop("_hash")
 
 
 def split_random(df: DataFrame, share: float, seed: int, key: list[str]) -> DataFrame:
@@ -51,7 +52,10 @@ def city_holdout(df: DataFrame, share: float = 0.8, city: str = "city", time: st
     Unlike :func:`split_chrono` this measures transfer to other cities, not to
     later times. Row counts per city show the city with the cut, only that city
     is ranked, and every row is then compared with the (city, time) found.
+    Rows without a city or a time are in no split: theirs is null.
     """
+    placed = F.col(city).isNotNull() & F.col(time).isNotNull()
+    everything, df = df, df.filter(placed)
     sizes = bucket_offsets(df, [], F.col(city))
     at = F.floor(F.lit(share) * F.col("_total"))
     edge = sizes.filter((F.col("_offset") <= at) & (at < F.col("_offset") + F.col("_size"))).select(
@@ -59,7 +63,7 @@ def city_holdout(df: DataFrame, share: float = 0.8, city: str = "city", time: st
     inside = ranked(df.select(city, time).join(edge, city), [], month_bucket(time), [time])
     cut = inside.filter(F.col("_pos") == F.col("_want")).agg(F.first(F.struct(city, time)).alias("c")).scalar()
     before = F.coalesce(F.struct(city, time) < cut, F.lit(True))
-    return df.withColumn("split", F.when(before, "train").otherwise("test"))
+    return everything.withColumn("split", F.when(placed & before, "train").when(placed, "test"))
 
 
 def class_weights(df: DataFrame, label: str, classes: list | None = None) -> DataFrame:

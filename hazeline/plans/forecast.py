@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time as clock
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +54,14 @@ def training_frame(df: DataFrame, horizons=HORIZONS, months: int | None = 18, st
 
 def metric_grid(frame: DataFrame, features: list[str], horizons: list[int],
                 estimators: dict[str, Callable], city: str | None = "city",
-                on_model: Callable[[int, str, PipelineModel], None] | None = None) -> DataFrame:
+                on_model: Callable[[int, str, PipelineModel], None] | None = None, side_by_side: int = 4) -> DataFrame:
     """One metric row per horizon and model, with split sizes and fit seconds.
 
-    The loop only drives the fits. The frame is stored once, by horizon, in the
-    shared folder: finding the split cuts then reads one column of one horizon,
-    and a lost executor costs a re-read, not the window pass.
+    The frame is stored once, by horizon, in the shared folder: finding the
+    split cuts then reads one column of one horizon, and a lost executor costs a
+    re-read, not the window pass. Up to ``side_by_side`` fits of a horizon run at
+    the same time, each in a scheduler pool of its own, so that jobs of one
+    fill the cores that the others leave.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, "forecast-frame")
@@ -69,19 +73,28 @@ def metric_grid(frame: DataFrame, features: list[str], horizons: list[int],
         train = balanced_weights(split.filter("split = 'train'"), "target").persist(StorageLevel.MEMORY_AND_DISK)
         test = split.filter("split = 'test'")
         sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-        for name, make in estimators.items():
+
+        def one(name: str, make: Callable) -> tuple[PipelineModel, dict | None]:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit {name}")
             started = clock.time()
             model = M.fit(make(), train, features, city)
             took = clock.time() - started
-            if on_model:
-                on_model(h, name, model)
             # one row per fit
             row = evaluate(model.transform(test), "target", "prediction").first()
-            if row is not None:
-                rows.append(row.asDict() | {
-                    "horizon_hours": h, "model": name, "train_rows": sizes.get("train", 0),
-                    "validation_rows": sizes.get("validation", 0), "test_rows": sizes.get("test", 0),
-                    "train_time_seconds": float(took)})
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            return model, None if row is None else row.asDict() | {
+                "horizon_hours": h, "model": name, "train_rows": sizes.get("train", 0),
+                "validation_rows": sizes.get("validation", 0), "test_rows": sizes.get("test", 0),
+                "train_time_seconds": float(took)}
+
+        with ThreadPoolExecutor(max(1, side_by_side)) as pool:
+            fits = {name: pool.submit(inheritable_thread_target(one), name, make) for name, make in estimators.items()}
+            for name, fit in fits.items():
+                model, row = fit.result()
+                if on_model:
+                    on_model(h, name, model)
+                if row is not None:
+                    rows.append(row)
         train.unpersist()
     return spark.createDataFrame(rows, _GRID_SCHEMA)
 
@@ -103,9 +116,17 @@ def batch_forecast(requests: DataFrame, df: DataFrame, models: dict[tuple[int, s
     no such model, incomplete features).
     """
     feats = serve_features(requests, df, GASES, steps, widths, carry=tuple(WEATHER))
-    feats = cyclical(calendar(feats))
     known = df.select(F.col("city").alias("_city")).distinct()
-    feats = feats.join(known, F.col("city") == F.col("_city"), "left")
+    feats = feats.join(known, F.col("city") == F.col("_city"), "left").withColumn("known", F.col("_city").isNotNull()).drop("_city")
+    out = score_requests(cyclical(calendar(feats)), models)
+    if metrics is None:
+        return out
+    m = metrics.select("horizon_hours", "model", F.struct(*metrics.columns).alias("metrics"))
+    return attach_metrics(out, m)
+
+
+def score_requests(feats: DataFrame, models: dict[tuple[int, str], PipelineModel]) -> DataFrame:
+    """Answers to requests whose features are there, with ``known`` (whether the city is); works on a stream as well."""
     named = F.lit(False)
     whole = F.lit(True)
     for (h, name), model in models.items():
@@ -113,8 +134,8 @@ def batch_forecast(requests: DataFrame, df: DataFrame, models: dict[tuple[int, s
         named = named | own
         whole = F.when(own, F.array_size(F.array_compact(F.array(*[F.col(c).cast("double") for c in _inputs(model, feats)])))
                        == len(_inputs(model, feats))).otherwise(whole)
-    feats = feats.withColumn("status", F.when(F.col("_city").isNull(), "unknown city").when(~F.coalesce(named, F.lit(False)), "no such model")
-                             .when(~whole, "incomplete features").otherwise("ok")).drop("_city")
+    feats = feats.withColumn("status", F.when(~F.col("known"), "unknown city").when(~F.coalesce(named, F.lit(False)), "no such model")
+                             .when(~whole, "incomplete features").otherwise("ok")).drop("known")
     answer = ["request_id", "city", "horizon_hours", "model", F.col("dt").alias("input_time"),
               target_time("dt", F.col("horizon_hours")).alias("forecast_for")]
     out = None
@@ -125,11 +146,7 @@ def batch_forecast(requests: DataFrame, df: DataFrame, models: dict[tuple[int, s
             F.col("prediction_label").alias("prediction"), "confidence", "probabilities", "status")
         out = scored if out is None else out.unionByName(scored)
     rest = feats.filter("status != 'ok'").select(*answer, "status")
-    out = rest if out is None else out.unionByName(rest, allowMissingColumns=True)
-    if metrics is None:
-        return out
-    m = metrics.select("horizon_hours", "model", F.struct(*metrics.columns).alias("metrics"))
-    return attach_metrics(out, m)
+    return rest if out is None else out.unionByName(rest, allowMissingColumns=True)
 
 
 def _inputs(model: PipelineModel, df: DataFrame) -> list[str]:

@@ -1,10 +1,12 @@
-"""Synthetic rows from a linear latent model, and checks on them."""
+"""Synthetic rows from a linear latent model or a Gaussian copula, and checks on them."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,73 @@ def synthesise(spark: SparkSession, latent: Latent, n: int, seed: int = 42) -> D
     return z.select("id", *out)
 
 
+@dataclass(frozen=True)
+class Copula:
+    """Margins as tables of quantiles, and the correlation of the normal scores: values come from the observed range only."""
+
+    features: list[str]
+    tables: np.ndarray
+    correlation: np.ndarray
+
+
+def normal_grid(knots: int) -> np.ndarray:
+    """Normal scores of evenly spread ranks."""
+    return np.array([NormalDist().inv_cdf((i + 0.5) / knots) for i in range(knots)])
+
+
+def normal_scores(x: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Normal scores of values by their place in a quantile table; a value that fills many places has their middle."""
+    known, at, many = np.unique(table, return_inverse=True, return_counts=True)
+    score = np.bincount(at, normal_grid(len(table))) / many
+    return np.interp(x, known, score)
+
+
+def fit_copula(df: DataFrame, features: list[str], knots: int = 1_001) -> Copula:
+    """Gaussian copula: one pass for the quantiles, one for the correlation, whose sums are made in the tasks.
+
+    Rows with a null in a feature don't count for the correlation. A constant column is uncorrelated. Without rows ValueError.
+    """
+    steps = F.array(*[F.lit(i / (knots - 1)) for i in range(knots)])
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), steps, F.lit(10_000)).alias(c) for c in features]).first()
+    if any(row[c] is None for c in features):
+        raise ValueError("a column without values")
+    tables = np.array([row[c] for c in features], float)
+
+    def sums(batches):
+        n, total, square = 0, np.zeros(len(features)), np.zeros((len(features), len(features)))
+        for batch in batches:
+            z = np.stack([normal_scores(batch[c].to_numpy(float), t) for c, t in zip(features, tables)], 1)
+            n, total, square = n + len(z), total + z.sum(0), square + z.T @ z
+        values = np.concatenate([[n], total, square.ravel()])
+        yield pd.DataFrame({"place": np.arange(len(values)), "value": values})
+
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in features]).na.drop().mapInPandas(sums, "place int, value double")
+    found = np.array([r["v"] for r in rows.groupBy("place").agg(F.sum("value").alias("v")).orderBy("place").collect()])
+    n, mean = max(found[0], 1.0), found[1:len(features) + 1] / max(found[0], 1.0)
+    cov = found[len(features) + 1:].reshape(len(features), -1) / n - np.outer(mean, mean)
+    sd = np.sqrt(np.diag(cov))
+    scale = np.where(sd > 1e-9, 1 / np.where(sd > 1e-9, sd, 1), 0)
+    correlation = cov * np.outer(scale, scale)
+    np.fill_diagonal(correlation, 1.0)
+    return Copula(list(features), tables, correlation)
+
+
+def synthesise_copula(spark: SparkSession, copula: Copula, n: int, seed: int = 42, parts: int = 8) -> DataFrame:
+    """n rows: correlated normal scores by column arithmetic, then each margin's quantiles, interpolated in Arrow batches."""
+    values, vectors = np.linalg.eigh(copula.correlation)
+    root = vectors * np.sqrt(np.maximum(values, 0))
+    k = len(copula.features)
+    z = spark.range(n, numPartitions=parts).select("id", *[F.randn(seed + i).alias(f"z{i}") for i in range(k)])
+    grid = normal_grid(copula.tables.shape[1])
+
+    def margin(table: np.ndarray):
+        return F.pandas_udf(lambda y: pd.Series(np.interp(y.to_numpy(), grid, table)), "double")
+
+    mixed = [sum((F.col(f"z{i}") * float(root[j, i]) for i in range(k)), F.lit(0.0)).alias(c) for j, c in enumerate(copula.features)]
+    out = z.select("id", *mixed)
+    return out.select("id", *[margin(t)(F.col(c)).alias(c) for c, t in zip(copula.features, copula.tables)])
+
+
 def grid_search(df: DataFrame, features: list[str], dims: list[int]) -> DataFrame:
     """(latent_dim, final_loss, config_label): mean squared reconstruction error on the last fifth by hash.
 

@@ -67,3 +67,13 @@ def test_month_cycle_starts_at_january(spark):
 def test_feature_set_sizes():
     assert {k: len(v) for k, v in FEATURE_SETS.items()} == {
         "nowcast": 12, "research": 37, "research_reduced": 34, "clustering": 30, "clustering_used": 9, "synthetic": 8}
+
+
+@pytest.mark.parametrize("gas, value, index", [
+    ("pm25", 15.0, 25.0), ("pm25", 45.0, 75.0), ("pm25", 75.0, 150.0), ("pm25", 105.0, 250.0), ("pm25", 185.0, 350.0), ("pm25", 300.0, 450.0),
+    ("pm10", 25.0, 25.0), ("pm10", 175.0, 150.0), ("pm10", 300.0, 250.0), ("pm10", 390.0, 350.0), ("no2", 60.0, 75.0), ("no2", 130.0, 150.0),
+    ("no2", 340.0, 350.0), ("co", 0.5, 25.0), ("co", 6.0, 150.0), ("co", 13.5, 250.0), ("co", 25.5, 350.0), ("so2", 230.0, 150.0),
+    ("so2", 1200.0, 350.0), ("o3", 75.0, 75.0), ("o3", 134.0, 150.0), ("o3", 188.0, 250.0), ("o3", 478.0, 350.0)])
+def test_values_of_the_regulation(spark, gas, value, index):
+    """Middles of the published bands, written out."""
+    assert spark.createDataFrame([(value,)], "v double").select(sub_index(gas, "v").alias("x")).first().x == pytest.approx(index)

@@ -89,7 +89,7 @@ def labelled(panel):
 @pytest.mark.parametrize("make", [
     lambda: M.logistic(max_iter=20), lambda: M.tree(depth=5), lambda: M.forest(n=5, depth=5), lambda: M.boost_hist(rounds=2, depth=3),
     lambda: M.boost_sampled(rounds=2, depth=3), lambda: M.linear_svm(max_iter=5), lambda: M.gaussian_nb(),
-    lambda: M.mlp([2, 8, 4], max_iter=30)])
+    lambda: M.mlp([2, 16, 4], max_iter=150)])
 def test_models_beat_the_majority(labelled, make):
     model = M.fit(make(), labelled, ["pm25", "co"])
     scored = model.transform(labelled)
@@ -170,3 +170,20 @@ def test_augment_teacher_is_the_published_forest(panel, monkeypatch):
         L.augment(None)
     teacher = seen.value.args[0]
     assert (teacher.getNumTrees(), teacher.getMaxDepth(), teacher.getMinInstancesPerNode()) == (100, 30, 1)
+
+
+def test_rows_without_time_or_label_have_no_split(spark):
+    import datetime as dt
+
+    from hazeline.operators import splits as X
+    from hazeline.operators.encode import label_encode
+
+    rows = [(c, dt.datetime(2024, 1, 1 + i), i, lab) for i, (c, lab) in enumerate([("A", "x"), ("A", "y"), ("B", "x"), ("B", "y"), ("C", "x")] * 4)]
+    rows += [("A", None, 90, "x"), (None, dt.datetime(2024, 1, 3), 91, None)]
+    df = spark.createDataFrame(rows, "city string, dt timestamp, id int, label string")
+    for out, gone in ((X.split_chrono(df), {90}), (X.split_strat(df, "label", 0.5, 1, ["id"]), {91}), (X.city_holdout(df), {90, 91})):
+        got = {r["id"]: r["split"] for r in out.collect()}
+        assert set(got) == set(range(20)) | {90, 91} and {i for i, s in got.items() if s is None} == gone
+    codes = {r["city"]: r["code"] for r in label_encode(df, "city", "code").collect()}
+    assert codes == {"A": 0, "B": 1, "C": 2, None: None}
+    assert {r["id"]: r["code"] for r in label_encode(df, "id", "code").collect()} == {i: k for k, i in enumerate([*range(20), 90, 91])}
