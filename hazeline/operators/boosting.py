@@ -266,9 +266,9 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol, HasWeightCol, HasSeed
 
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(scratch_path(spark, "boosting"))
-        # a level has one cell of sums for each class and feature
-        reducers = max(1, min(sc.defaultParallelism, many * size))
         state = blocks.rdd.map(block).persist(StorageLevel.MEMORY_AND_DISK)
+        # a level has one table of sums for each class and feature; few rows are summed in as few tasks as they are read in
+        reducers = max(1, min(sc.defaultParallelism, many * size, state.getNumPartitions()))
         old, forest = None, []
         for turn in range(opt("rounds")):
             trees = self._grow(state, turn, many, size, reducers)
