@@ -70,13 +70,15 @@ def numbered(df: DataFrame, within: str, by: str, rows: int, per_block: int = 10
 
 
 def keyed(docs: DataFrame, **more) -> DataFrame:
-    """Add ``__h`` (hash of the text) and ``__k`` (1, 2, .. among rows that also share the id): a key of each row.
+    """Add ``__h`` (hash of text and source) and ``__k`` (1, 2, .. among rows that also share the id): a key of each row.
 
-    Given ``more`` columns, the result holds these and doc_id instead of all columns, so the texts aren't shuffled. Repeated
-    rows are alike, so it doesn't matter which of them gets which number.
+    Given ``more`` columns, the result holds these and doc_id instead of all columns, so the texts aren't shuffled. Rows that
+    share the key are numbered by a hash of all columns (but maps, which have none), so every run numbers them alike;
+    rows that share that as well are alike.
     """
-    own = Window.partitionBy("doc_id", "__h").orderBy(F.lit(1))
-    hashed = docs.withColumn("__h", F.xxhash64("text"))
+    plain = [f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    own = Window.partitionBy("doc_id", "__h").orderBy("__all")
+    hashed = docs.withColumns({"__h": F.xxhash64("text", "source"), "__all": F.xxhash64(*plain)})
     if more:
-        hashed = hashed.select("doc_id", "__h", *[c.alias(n) for n, c in more.items()])
-    return hashed.withColumn("__k", F.row_number().over(own))
+        hashed = hashed.select("doc_id", "__h", "__all", *[c.alias(n) for n, c in more.items()])
+    return hashed.withColumn("__k", F.row_number().over(own)).drop("__all")

@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by inner product on robust-pruned directed graphs.
 
 Equal vectors are searched once: a vector stands for its rows, of which the ``k + 1`` smallest ids can ever be among the
-``k`` nearest. Distinct vectors are spread over shards of a bounded size. In each shard a graph is grown in batches: a
-greedy search from the entry point proposes neighbours, and relaxed distance pruning keeps a diverse few of them. A query
-walks the graph of every shard with a beam; the candidates of all shards are ranked by their exact inner product.
+``k`` nearest. Distinct vectors are dealt to shards of a bounded size by locality: centres found on a sample cut the space, and a
+centre with many vectors has several shards. In each shard a graph is grown in batches: a greedy search from the entry
+point proposes neighbours, and relaxed distance pruning keeps a diverse few of them. A query walks the graphs of the shards of its
+nearest centres with a beam; how many centres that takes is measured on a sample of queries, whose true neighbours one
+pass over all vectors finds. The candidates are ranked by their exact inner product.
 
-Inner product becomes Euclidean distance by one more coordinate (the length missing to the longest vector of the shard).
+Inner product becomes Euclidean distance by one more coordinate (the length missing to the longest vector).
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from hazeline.session import materialise
 
 K = 20
 SHARD_ROWS = 4_000
+#: Centres at most, vectors that they are found on, queries that the routing is measured on, and the share of true neighbours it must reach.
+CENTRES, LOOK, TRIALS, ROUTED = 4_096, 20_000, 200, 0.98
 QUERY_BLOCK = 8_000
 DEGREE, BUILD_BEAM, BEAM, RELAX = 28, 48, 96, 1.2
 _WIDE, _SLICE, _BATCH = 4, 256, 256
@@ -126,7 +130,7 @@ def _lifted(x: np.ndarray) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]]).astype(np.float32)
 
 
-_INDEX = "shard int, node int, key string, id long, v array<float>, edges array<int>, entry int"
+_INDEX = "shard long, node int, key string, id long, v array<{}>, edges array<int>, entry int"
 
 
 def _index(part: pa.Table) -> pa.Table:
@@ -135,7 +139,7 @@ def _index(part: pa.Table) -> pa.Table:
     edges, start = build(_lifted(_matrix(part["v"], n, np.float32)))
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * DEGREE + 1, DEGREE), pa.int32()),
                                      pa.array(edges[:n].ravel(), pa.int32()))
-    return pa.table({"shard": part["shard"].cast(pa.int32()), "node": pa.array(np.arange(n), pa.int32()), "key": part["key"],
+    return pa.table({"shard": part["shard"].cast(pa.int64()), "node": pa.array(np.arange(n), pa.int32()), "key": part["key"],
                      "id": part["id"], "v": part["v"], "edges": lists, "entry": pa.array(np.full(n, start), pa.int32())})
 
 
@@ -146,17 +150,17 @@ def _search(index: pa.Table, asked: pa.Table) -> pa.Table:
     if not n or not many:
         return schema.empty_table()
     index = index.sort_by("node")
-    own = _matrix(index["v"], n, np.float32)
-    lifted = _lifted(own)
+    exact = _matrix(index["v"], n, np.float64)
+    lifted = _lifted(exact.astype(np.float32))
     edges = np.vstack([_matrix(index["edges"], n, np.int64), np.full((1, DEGREE), n)])
     entry, want = index["entry"][0].as_py(), min(n, K + 1)
-    exact, keys, ids = own.astype(float), np.array(index["key"].to_pylist(), object), index["id"].to_numpy()
-    asks = _matrix(asked["v"], many, np.float32)
+    keys, ids = np.array(index["key"].to_pylist(), object), index["id"].to_numpy()
+    asks = _matrix(asked["v"], many, np.float64)
     out: dict[str, list] = {c: [] for c in names}
     for at in range(0, many, _SLICE):
         q = asks[at:at + _SLICE]
-        found = beam(lifted, edges, entry, np.hstack([q, np.zeros((len(q), 1), np.float32)]), BEAM)
-        score = np.einsum("bcd,bd->bc", np.vstack([exact, np.zeros((1, exact.shape[1]))])[found], q.astype(float))
+        found = beam(lifted, edges, entry, np.hstack([q, np.zeros((len(q), 1))]).astype(np.float32), BEAM)
+        score = np.einsum("bcd,bd->bc", np.vstack([exact, np.zeros((1, exact.shape[1]))])[found], q)
         score[found == n] = -np.inf
         order = np.lexsort((np.append(ids, np.iinfo(np.int64).max)[found], -score), axis=1)[:, :want]
         r = np.arange(len(q))[:, None]
@@ -169,6 +173,104 @@ def _search(index: pa.Table, asked: pa.Table) -> pa.Table:
     return pa.table([asked["query_id"].combine_chunks(), out["key"], out["id"], out["score"]], schema=schema)
 
 
+def _far(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return (centres * centres).sum(1) - 2 * x @ centres.T
+
+
+class Routes:
+    """Centres of the vectors, lifted to one length, and how many of them a query asks."""
+
+    def __init__(self, look: np.ndarray, top: float, many: int):
+        self.top = top
+        x = self.lifted(look)
+        rng = np.random.default_rng(11)
+        self.centres = x[np.sort(rng.permutation(len(x))[:many])].copy()
+        for _ in range(8):
+            own = _far(x, self.centres).argmin(1)
+            n = np.bincount(own, minlength=len(self.centres))
+            total = np.zeros_like(self.centres)
+            np.add.at(total, own, x)
+            self.centres[n > 0] = total[n > 0] / n[n > 0, None]
+        self.asked = len(self.centres)
+
+    def lifted(self, x: np.ndarray) -> np.ndarray:
+        return np.hstack([x, np.sqrt(np.maximum(self.top - (x * x).sum(1), 0))[:, None]])
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        return _far(self.lifted(x), self.centres).argmin(1)
+
+    def order(self, x: np.ndarray) -> np.ndarray:
+        """Centres of each query, the nearest first; a query has nothing in the added coordinate."""
+        return np.argsort(_far(np.hstack([x, np.zeros((len(x), 1))]), self.centres), axis=1, kind="stable")
+
+    def measure(self, queries: np.ndarray, homes: list[tuple[int, int]]) -> None:
+        """Set ``asked`` so that the share ``ROUTED`` of (query, centre of a true neighbour) is reached."""
+        if homes:
+            place = np.argsort(self.order(queries), axis=1)
+            self.asked = int(np.quantile([place[q, c] for q, c in homes], ROUTED, method="higher")) + 1
+
+
+def _located(routes: Routes, first: int | None, kind: str):
+    """Append to rows with ``v`` the nearest centre, or the list of the ``first`` nearest for queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1_024):
+                part = batch.slice(start, 1_024)
+                x = _matrix(pa.chunked_array([part.column(part.schema.get_field_index("v"))]), part.num_rows, float)
+                if first is None:
+                    found = pa.array(routes.home(x), pa.int32())
+                else:
+                    at = routes.order(x)[:, :first]
+                    found = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * at.shape[1], pa.int32()), pa.array(at.ravel(), pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, found], names=[*part.schema.names, "centre"])
+
+    return run
+
+
+def _true(queries: np.ndarray, ids: np.ndarray, k: int):
+    """(q, id, score, centre): each partition's best for the sampled queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, keep, homes = np.full((len(queries), k), -np.inf), np.zeros((len(queries), k), np.int64), np.zeros((len(queries), k), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 4_096):
+                part = batch.slice(start, 4_096)
+                own, centre = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("id", "centre"))
+                score = queries @ _matrix(pa.chunked_array([part.column(part.schema.get_field_index("v"))]), part.num_rows, float).T
+                score[ids[:, None] == own[None, :]] = -np.inf
+                every = np.hstack([best, score])
+                at = np.argsort(-every, axis=1, kind="stable")[:, :k]
+                r = np.arange(len(queries))[:, None]
+                keep = np.hstack([keep, np.tile(own, (len(queries), 1))])[r, at]
+                homes = np.hstack([homes, np.tile(centre, (len(queries), 1))])[r, at]
+                best = every[r, at]
+        q, j = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(keep[q, j]), pa.array(best[q, j]), pa.array(homes[q, j], pa.int32())],
+                                         names=["q", "id", "score", "centre"])
+
+    return run
+
+
+def routed(single: DataFrame, asked: DataFrame, n: int, k: int) -> tuple[DataFrame, Routes]:
+    """Vectors (key, id, v) with their centre, and the routes to them; ``asked`` has id and v."""
+    kind = single.schema["v"].dataType.elementType.simpleString()
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    top = single.agg(F.max(square).alias("top")).first()["top"] or 0.0
+    look = single.orderBy(F.xxhash64("key", "id")).limit(LOOK).select("v").toArrow()["v"]
+    routes = Routes(_matrix(look, len(look), float), top, min(CENTRES, max(1, -(-n // SHARD_ROWS)), len(look)))
+    at = materialise(single.mapInArrow(_located(routes, None, kind), f"key string, id long, v array<{kind}>, centre int"), "located")
+    if len(routes.centres) > 1:
+        trial = asked.orderBy(F.xxhash64("id")).limit(TRIALS).toArrow()
+        if trial.num_rows:
+            queries = _matrix(trial["v"], trial.num_rows, float)
+            best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+            found = at.mapInArrow(_true(queries, trial["id"].to_numpy(), k), "q int, id long, score double, centre int")
+            homes = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("q", "centre").collect()
+            routes.measure(queries, [(r["q"], r["centre"]) for r in homes])
+    return at, routes
+
+
 def usable(rows: DataFrame, vector: str = "v") -> DataFrame:
     """Rows whose vector isn't null or zero, has no null or non-finite component, and has the most frequent length."""
     good = (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
@@ -186,20 +288,26 @@ def nearest(rows: DataFrame, asked: DataFrame, k: int = K) -> DataFrame:
     """
     if k > K:
         raise ValueError(f"at most {K} neighbours")
+    # the score is that of the vectors as they are
+    kind = "float" if "float" in rows.schema["v"].dataType.simpleString() else "double"
+    rows, asked = (x.withColumn("v", F.col("v").cast(f"array<{kind}>")) for x in (rows, asked))
     key = F.concat_ws("/", F.hex(F.xxhash64("v")), F.hex(F.hash("v")))
     rows = materialise(usable(rows.where("id IS NOT NULL").select("id", "v").distinct()).withColumn("key", key), "vectors")
     first = F.row_number().over(Window.partitionBy("key").orderBy("id"))
     kept = materialise(rows.withColumn("n", first).where(F.col("n") <= k + 1), "distinct")
     members = kept.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("members"))
     single = kept.where("n = 1")
-    shards = max(1, -(-single.count() // SHARD_ROWS))
-    single = single.select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "id", "v")
-    index = materialise(single.groupBy("shard").applyInArrow(_index, _INDEX), "graph")
-    asked = usable(asked.where("id IS NOT NULL").select("id", "v").distinct())
+    asked = materialise(usable(asked.where("id IS NOT NULL").select("id", "v").distinct()), "asked")
+    single, routes = routed(single.select("key", "id", "v"), asked, single.count(), k)
+    sizes = materialise(single.groupBy("centre").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("parts")), "centres")
+    dealt = (F.shiftleft(F.col("centre").cast("long"), 32)) + F.pmod(F.xxhash64("key"), F.col("parts"))
+    single = single.join(sizes, "centre").select(dealt.alias("shard"), "key", "id", "v")
+    index = materialise(single.groupBy("shard").applyInArrow(_index, _INDEX.format(kind)), "graph")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = (asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-             .select("shard", "block", F.col("id").alias("query_id"), "v"))
+    asked = (asked.mapInArrow(_located(routes, routes.asked, kind), f"id long, v array<{kind}>, centre array<int>")
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("centre", F.explode("centre")).join(sizes, "centre")
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select(((F.shiftleft(F.col("centre").cast("long"), 32)) + F.col("part")).alias("shard"), "block", F.col("id").alias("query_id"), "v"))
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
              .applyInArrow(_search, "query_id long, keys array<string>, ids array<long>, scores array<double>"))

@@ -63,11 +63,13 @@ def _strings(node) -> list[str] | None:
         one = _product(arg[2])
         if one is None:
             return None
-        out, power = set(), [""]
+        out, power = set(), {""}
         for n in range(arg[1] + 1):
             if n >= arg[0]:
-                out |= set(power)
-            power = [a + b for a in power for b in one][:MOST + 1]
+                out |= power
+            if len(out) > MOST or (n < arg[1] and len(power) * len(one) > MOST):
+                return None
+            power = {a + b for a in power for b in one}
         return sorted(out)
     return None
 
