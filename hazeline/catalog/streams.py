@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hazeline.catalog.base import BREAKS_CTE, OBS_CTE, query, sub_index_sql, with_readings
-from hazeline.catalog.learning import complete, scoring_models
+from hazeline.catalog.learning import SHORT, complete, scoring_models
 from hazeline.catalog.scans import LIVE_CTES, payloads
 from hazeline.functions.index import sub_index
 from hazeline.plans.forecast import batch_forecast
@@ -105,8 +105,8 @@ def forecast(t):
     none = [F.lit(None).cast("double").alias(c) for c in [*GASES, *WEATHER]]
     stream = _Stream(t).observations.filter("event_type = 'purchase'").select(*asked, *none)
     with S.with_store(t.spark):
-        out = drain_append(S.stream_forecasts(stream, history, models), "scored")
-    batch = batch_forecast(t.observations.filter("event_type = 'purchase'").select(*asked), history, models)
+        out = drain_append(S.stream_forecasts(stream, history, models, **SHORT), "scored")
+    batch = batch_forecast(t.observations.filter("event_type = 'purchase'").select(*asked), history, models, **SHORT)
     batch = batch.select("request_id", F.col("prediction").alias("p"), F.col("confidence").alias("c"))
     same = F.col("prediction").eqNullSafe(F.col("p")) & F.coalesce(F.abs(F.col("confidence") - F.col("c")) < 1e-9, F.lit(False))
     return out.join(batch, "request_id", "left").select("request_id", "city", "horizon_hours", "model", "input_time", "forecast_for", "status",

@@ -72,8 +72,7 @@ class LatestReadings(StatefulProcessor):
             found = [tuple(_plain(v) for v in r) for r in batch[self.columns].itertuples(index=False)]
             if found:
                 self.readings.appendList(found)
-                for end in {self._end(r) for r in found}:
-                    self.handle.registerTimer(end)
+                self.handle.registerTimer(min(self._end(r) for r in found))
                 top = max(found, key=self._order)
                 best = top if best is None or self._order(top) > self._order(best) else best
         if best is not before:
@@ -81,10 +80,17 @@ class LatestReadings(StatefulProcessor):
             yield self._out(key[0], [best], "current")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        held = sorted(self.readings.get(), key=self._order)
+        # all that the watermark has passed is judged at once; one timer waits for the first of the others
+        now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        held = sorted(self.readings.get(), key=self._order) if self.readings.exists() else []
+        if not held or self._end(held[0]) > now:
+            return
         kept = [r for r in held if self._end(r) > now]
-        self.readings.put([tuple(r) for r in kept]) if kept else self.readings.clear()
+        if kept:
+            self.readings.put([tuple(r) for r in kept])
+            self.handle.registerTimer(self._end(kept[0]))
+        else:
+            self.readings.clear()
         # of equal times only the one of the largest tie has no successor
         over = [r for r, after in zip(held, [*held[1:], None]) if self._end(r) <= now
                 and (after is None or after[self.place[0]] > r[self.place[0]] + self.life)]
