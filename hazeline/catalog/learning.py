@@ -235,7 +235,7 @@ def knn_hashed(t):
     v = vectors(t)
     train, asked = v.where("vec_id % 4 <> 0"), v.where("vec_id % 4 = 0").drop("label")
     found = N.knn_hashed(train, asked, "vec", "label", "vec_id").withColumnRenamed("predicted", "hashed")
-    exact = C.knn(train, asked, "vec", "label", "vec_id")
+    exact = N.knn_exact(train, asked, "vec", "label", "vec_id")
     return asked.join(found, "vec_id", "left").join(exact, "vec_id").agg(
         F.count("hashed").alias("rows"), (F.avg((F.col("hashed") == F.col("predicted")).cast("double")) >= 0.9).alias("recall_reached"))
 

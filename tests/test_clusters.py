@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hazeline.operators import cluster as C
 from hazeline.operators import hierarchy as H
 from hazeline.operators import models as M
 from hazeline.operators import near as N
@@ -107,6 +108,27 @@ def test_hashed_neighbours_find_nine_in_ten(spark, monkeypatch):
     assert N.knn_hashed(df.limit(0), df, "vec", "label", "id").count() == 0
 
 
+def test_exact_neighbours_by_pieces_are_those_of_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(N, "EXACT_PIECE", 50)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 2)), 1)  # many equal distances and vectors
+    df = frame(spark, x, [int(v) for v in rng.integers(0, 4, 400)], names=["label long"])
+    train, asked = df.where("id % 4 <> 0"), df.where("id % 4 = 0").drop("label")
+    want = sorted(C.knn(train.selectExpr("id", "vec", "label"), asked, "vec", "label", "id").collect())
+    assert sorted(N.knn_exact(train, asked, "vec", "label", "id").collect()) == want and len(want) == 100
+    assert N.knn_exact(train.limit(0), asked, "vec", "label", "id").count() == 0
+
+
+def test_hashed_checks_run_beyond_the_limit_of_a_broadcast(spark, tmp_path, monkeypatch):
+    from hazeline.catalog import QUERIES
+
+    monkeypatch.setattr(C.knn, "__defaults__", (5, 100))
+    x = np.random.default_rng(6).normal(size=(400, 4))
+    df = frame(spark, x, [i % 3 for i in range(400)], names=["label int"])
+    df.select(F.col("id").alias("vec_id"), F.col("vec").alias("embedding"), "label").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [tuple(r) for r in QUERIES["m12_knn_hashed"](spark, str(tmp_path)).collect()] == [(100, True)]
+
+
 def test_too_few_rows_are_compared_with_all(spark):
     x = np.array([[0.0, 0], [1, 0], [1000, 0], [0, 5000]])
     df = frame(spark, x, [1, 1, 2, 3], names=["label long"])
