@@ -21,8 +21,6 @@ from hazeline.llm.spans import SPAN, spans
 from hazeline.session import materialise
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Labelled candidates that the trees see at most, those with the smallest hashes.
-SAMPLE = 20_000
 PRECISION = 0.98
 TREES, DEPTH = 12, 3
 
@@ -103,7 +101,7 @@ def features(options: DataFrame) -> tuple[DataFrame, list[str]]:
 
 def _threshold(scored: DataFrame, precision: float) -> float | None:
     """Smallest score, in hundredths, from which on held-out candidates are right often enough; None if there is none."""
-    bins = (scored.groupBy(F.floor(F.col("score") * 100).alias("bin")).agg(F.sum(F.col("good").cast("int")).alias("right"), F.count("*").alias("n"))
+    bins = (scored.groupBy(F.floor(F.col("score") * 100).alias("bin")).agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"))
             .orderBy(F.desc("bin")).collect())
     best, right, n = None, 0, 0
     for b in bins:
@@ -116,24 +114,24 @@ def _threshold(scored: DataFrame, precision: float) -> float | None:
 def added(rows: DataFrame) -> DataFrame:
     """(row, and for each kind the spans that the trees add): loose candidates over the threshold that touch no base span."""
     options, names = features(rows.select("row", F.explode("options").alias("o")).select("row", "o.*"))
-    labelled = (options.where("raw").withColumn("dice", F.xxhash64("value", "before", "after", "kind")).orderBy("dice", "row", "start").limit(SAMPLE)
-                .withColumn("label", F.col("good").cast("double")))
+    # candidates of equal features and labels are one weighted row, so that the trees see all of them
+    side = (F.pmod(F.xxhash64("value", "before", "after", "kind"), F.lit(4)) == 0).alias("held")
+    labelled = options.where("raw").groupBy(side, F.col("good").cast("double").alias("label"), *names).agg(F.count(F.lit(1)).cast("double").alias("n"))
     labelled = materialise(labelled, "labelled")
-    kinds = {r["good"] for r in labelled.groupBy("good").count().collect()}
+    kinds = {r["label"] for r in labelled.groupBy("label").count().collect()}
     empty = rows.sparkSession.range(0).select(F.col("id").alias("row"), *[F.array().cast("array<struct<start:int,stop:int>>").alias(f"more_{k}") for k in KINDS])
-    if kinds != {True, False}:
+    if len(kinds) < 2:
         return empty
     gather = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    held = F.pmod("dice", F.lit(4)) == 0
-    fitted = labelled.where(~held)
+    fitted = labelled.where("NOT held")
     if len(fitted.groupBy("label").count().take(2)) < 2:
         return empty
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxMemoryInMB=64).fit(gather.transform(fitted).select("features", "label"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxMemoryInMB=64, weightCol="n").fit(gather.transform(fitted).select("features", "label", "n"))
 
     def scored(part: DataFrame) -> DataFrame:
         return model.transform(gather.transform(part)).withColumn("score", vector_to_array("probability")[1])
 
-    least = _threshold(scored(labelled.where(held)), PRECISION)
+    least = _threshold(scored(labelled.where("held")), PRECISION)
     if least is None:
         return empty
     chosen = scored(options.where("NOT raw")).where(F.col("score") >= least).select("row", "kind", F.struct("start", "stop").alias("s"))

@@ -163,6 +163,24 @@ def test_pii_trees_add_loose_forms_and_leave_words_alone(spark):
         assert not any(got[i][f"{m}{k}"] for m in ("", "more_") for k in pii.KINDS)
 
 
+def test_pii_trees_see_every_labelled_candidate(spark, monkeypatch):
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def fit(self, data):
+        seen.append(data.agg(F.sum("n" if "n" in data.columns else F.lit(1))).first()[0])
+        raise Stop
+
+    monkeypatch.setattr(pii.GBTClassifier, "fit", fit)
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host 10.1."), F.col("id") % 400, F.lit("."), F.col("id")).alias("text"))
+    with pytest.raises(Stop):
+        pii.detected(docs)
+    # three of four candidates (the addresses and the numbers in them); the others set the threshold
+    assert 90_000 < seen[0] < 110_000
+
+
 SECRETS = ['password = "hunter22"', "TOKEN:abc", "api_key='A/b+c=d.e_f-' Api-Key: no apikey:xyz123", "AKIA" + "A1" * 8 + " AKIAAKIA" + "B" * 12 + "x", "deadbeef" * 3 + "g" + "0" * 23,
            "", None, "secret" * 500, "token=" * 300, "a" * 30000, "é😀 passwd:  ünicode secret =abcdef1", "ghp_" + "a" * 36, "xoxb-1234567890-abc", "Key apiKey=abcdefgh tokenſ=abcdef"]
 BASE_SECRETS = [("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
