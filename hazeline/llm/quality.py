@@ -13,15 +13,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm.base import query, table
+from hazeline.llm.base import numbered, query, table
 from hazeline.llm.words import texts
+from hazeline.operators.quantiles import quantiles
 from hazeline.session import materialise
 
-#: Labelled documents that the ranking is fitted on at most, those with the smallest hashes of doc_id.
-SAMPLE = 20_000
 PAIRS = 6
 CUT = 0.3
 FEATURES = ["upper", "digits", "marks", "symbols", "other", "lines", "word_length", "long_words", "distinct", "top_word", "marked_words", "upper_words",
@@ -81,24 +80,24 @@ def _strength(weights: np.ndarray, middle: float):
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pairs: int = PAIRS) -> tuple[np.ndarray, float]:
-    """Weights and the threshold strength.
+def fitted(docs: DataFrame, labels: DataFrame, pairs: int = PAIRS) -> tuple[np.ndarray, float]:
+    """Weights and the threshold strength, from all labelled documents.
 
-    ``labels`` has doc_id and quality. Each document of the smaller class (of at most ``sample`` labelled documents) meets
-    ``pairs`` of the other, spread evenly. With one class only all weights are 0, and everything is at the threshold if that
-    class is the good one or there are no labels, and below it if it is the poor one.
+    ``labels`` has doc_id and quality. Each document of the smaller class meets ``pairs`` of the other, spread evenly. With one
+    class only all weights are 0, and everything is at the threshold if that class is the good one or there are no labels, and
+    below it if it is the poor one.
     """
-    own = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    few = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumnRenamed("doc_id", "__id")
-    rows = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "quality")
-    kinds = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")) - 1
-    x = rows.select("doc_id", "text").mapInArrow(_measure, "doc_id long, x array<double>").dropDuplicates(["doc_id"])
-    rows = materialise(x.join(few, F.col("doc_id") == F.col("__id")).select("doc_id", "quality", "x", kinds.alias("n")), "measured")
+    own = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(F.max("quality").alias("quality"))
+    # measured before the join, so that no text is shuffled
+    x = docs.select("doc_id", "text").mapInArrow(_measure, "doc_id long, x array<double>")
+    rows = x.join(own, F.col("doc_id") == F.col("__id")).select("doc_id", "quality", "x").dropDuplicates(["doc_id"])
+    rows = materialise(rows, "measured")
     many = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
     good, poor = many.get(1, 0), many.get(0, 0)
     zero = np.zeros(len(FEATURES))
     if not good or not poor:
         return zero, 1e-9 if poor else 0.0
+    rows = numbered(rows, "quality", "doc_id", sum(many.values())).withColumnRenamed("number", "n")
     scale = rows.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.stddev_pop("v").alias("s")).orderBy("i").collect()
     spread = np.array([r["s"] or 1.0 for r in scale])
     less, more = (0, 1) if poor <= good else (1, 0)
@@ -117,7 +116,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, pairs: int
     weights = model.coefficients.toArray() / spread
     dot = F.aggregate(F.zip_with("x", F.array(*[F.lit(float(v)) for v in weights]), lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     share = poor / (good + poor)
-    return weights, float(rows.select(dot.alias("s")).agg(F.percentile("s", F.lit(share)).alias("q")).first()["q"])
+    return weights, float(quantiles(rows.select(dot.alias("s")), [], "s", [share]).first()["q0"])
 
 
 def scored(docs: DataFrame, labels: DataFrame, model: tuple[np.ndarray, float] | None = None) -> DataFrame:

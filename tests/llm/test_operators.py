@@ -285,6 +285,18 @@ def test_quality_held_out(spark):
     assert quality.scored(frame(spark, []), labels).count() == 0
 
 
+def test_quality_learns_from_every_labelled_document(spark):
+    docs = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit("a plain text").alias("text"))
+    labels = spark.range(21_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    # the documents of the smallest hashes come first; only the last one is poor, and it shouts
+    last = labels.orderBy(F.xxhash64("doc_id").desc()).first()["doc_id"]
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == last, "BUY NOW 100 !!!").otherwise(F.col("text")))
+    weights, middle = quality.fitted(docs, labels.withColumn("quality", F.when(F.col("doc_id") == last, 0).otherwise(1)))
+    assert np.abs(weights).max() > 0
+    good, poor = [r["score"] for r in quality.scored(frame(spark, [(1, "a plain text"), (2, "BUY NOW 100 !!!")]), labels, (weights, middle)).orderBy("doc_id").collect()]
+    assert good >= quality.CUT - 1e-9 and poor < quality.CUT
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(300)]
