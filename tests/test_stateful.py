@@ -70,6 +70,16 @@ def test_readings_expire_over_micro_batches(spark, tmp_path):
     assert kept < len(rows)
 
 
+def test_close_readings_are_one_run_in_the_state(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [("A", at(rng.randrange(3_000)), i, None if i % 5 == 0 else float(i)) for i in range(300)] + [("A", at(9_000 + 60 * i), 300 + i, 1.0) for i in range(100)]
+    between = [("A", at(1_500), 900, 1.0), ("A", at(30_000), 901, 1.0)]  # in a run that is known, and long after all
+    got, progress = streamed(spark, [rows, between], READING, tmp_path, lambda s: S.stream_expiring(s, 900, delay="20000 seconds"))
+    want = expired_by_hand(rows + between, 900, at(10_000))
+    assert {(r["city"], r["ts"], r["event_id"]) for r in got if r["status"] == "expired"} == want and len(want) == 1
+    assert max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in progress) < 20
+
+
 @pytest.fixture(scope="module")
 def history(spark):
     rng = random.Random(3)
