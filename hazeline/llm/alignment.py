@@ -1,8 +1,9 @@
 """Alignment of the tokens of two tokenizers by byte ranges.
 
-Both tokenizers cut the same bytes. In each batch, ``merge_asof`` keyed by document finds for each token of one side the token of
-the other that covers its first byte; the union of both directions is all pairs that overlap. Pairs whose ranges end together
-are links, and their ends cut the text into groups.
+Both tokenizers cut the same bytes. Texts are cut into units where no token of either side can cross, and each distinct unit of a
+task is aligned once: ``merge_asof`` keyed by unit finds for each token of one side the token of the other that covers its first
+byte; the union of both directions is all pairs that overlap. Pairs whose ranges end together are links, and their ends cut the
+unit into groups. A text has those of its units.
 
 How often an id pair is linked in all documents takes a second step. A batch asks once for each of its distinct pairs, so the
 pairs are summed, ranked and joined by Spark with at most one row a batch and pair; what it learns goes back to the batch,
@@ -11,7 +12,6 @@ where the links of each document are looked up. No table of pairs is held in one
 
 from __future__ import annotations
 
-import re
 import uuid
 from functools import lru_cache
 from itertools import chain
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.llm.base import query, table
-from hazeline.llm.bpe import BREAK, DIGIT, LETTER, OTHER, Kinds, Memory, byte_letters, contraction
+from hazeline.llm.bpe import BREAK, DIGIT, LETTER, OTHER, WORDS, Kinds, Places, byte_letters, contraction
 from hazeline.session import materialise
 
 #: Characters of text that are cut at once, and that share one question about their pairs; a longer text is handled alone.
@@ -33,13 +33,14 @@ SLICE = 400_000
 BATCH = 4_000_000
 #: A pair of ids is a * _SIDE + b.
 _SIDE = 1 << 32
-_WORDS = re.compile(" +[^ ]*")
+#: Characters of distinct units that a task remembers with their groups and links, some 40 bytes each.
+MEMORY = 2_500_000
 
 
 class ByteLevel:
     """A byte-level tokenizer file whose words are letters, digits or others, each with the blank before it.
 
-    Words are cut as arrays, and the library's model merges each distinct one once. The tokens of a word are its bytes, whatever they are.
+    Words are cut as arrays and merged by the library's model. The tokens of a word are its bytes, whatever they are.
     """
 
     def __init__(self, path: str):
@@ -47,10 +48,8 @@ class ByteLevel:
 
         self.library = Tokenizer.from_file(path)
         self.kinds = Kinds(self._kind)
-        letters = byte_letters()
-        cut = self.library.model.tokenize
-        self.memory = Memory(lambda new: [[t.id for t in cut(w.encode().decode("latin-1").translate(letters))] for w in new])
-        back = {c: b for b, c in letters.items()}
+        self.letters = byte_letters()
+        back = {c: b for b, c in self.letters.items()}
         size = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
         names = [self.library.id_to_token(i) or "" for i in range(size)]
         self.bytes = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in names]
@@ -60,11 +59,9 @@ class ByteLevel:
         probes = ((f"a{x}a", LETTER), (f"1{x}1", DIGIT), (f"!{x}!", OTHER))
         return next((k for text, k in probes if len(split(text)) == 1), BREAK)
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text, which they make up."""
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    def _starts(self, text: str, codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Whether a word starts at each character."""
         n = len(codes)
-        kind = self.kinds.of(codes)
         starts = np.ones(n, bool)
         starts[1:] = kind[1:] != kind[:-1]
         # the last blank before a word stands alone, and belongs to the word if it is a space
@@ -77,45 +74,77 @@ class ByteLevel:
                 starts[i + 1] = False
                 if i + length < n:
                     starts[i + length] = True
-        at = np.flatnonzero(starts).tolist()
-        return [text[a:b] for a, b in zip(at, [*at[1:], n])]
+        return starts
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts with a space before each, how many each has)."""
-        lists = [self.words(" " + t) for t in texts]
-        ids, n = self.memory.tokens(self.memory.places([w for x in lists for w in x]))
-        return ids.astype(np.int64), np.diff(np.append(0, np.cumsum(n))[np.cumsum([0, *map(len, lists)])])
+    def cuts(self, text: str, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Those of the places ``at`` where words end, and where a text that ends there has the same words."""
+        kind = self.kinds.of(codes)
+        free = self._starts(text, codes, kind)
+        # how blanks before a word are cut depends on the word
+        free[2:] &= (kind[2:] == BREAK) | (kind[1:-1] != BREAK) | (kind[:-2] != BREAK)
+        return at[free[at]]
+
+    def encode(self, units: list[str]) -> list[list[int]]:
+        whole, cut = "".join(units), self.library.model.tokenize
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        kind = self.kinds.of(codes)
+        n = np.fromiter(map(len, units), np.int64, len(units))
+        first, unit = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+        # characters of one kind, after a space or not, are one word
+        turn = np.zeros(len(codes), bool)
+        turn[1:] = kind[1:] != kind[:-1]
+        turn[first] = False
+        turn[first[(codes[first] == 32) & (n > 1)] + 1] = False
+        mixed = np.bincount(unit[turn], minlength=len(n)) > 0
+        size = np.append(0, np.cumsum(1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)))
+        written = whole.encode().decode("latin-1").translate(self.letters)
+        out = []
+        for u, s, e, m in zip(units, size[first].tolist(), size[first + n].tolist(), mixed.tolist()):
+            if not m:
+                out.append([t.id for t in cut(written[s:e])])
+                continue
+            codes = np.frombuffer(u.encode("utf-32-le"), np.uint32)
+            at = np.flatnonzero(self._starts(u, codes, self.kinds.of(codes))).tolist()
+            words = [u[i:j].encode().decode("latin-1").translate(self.letters) for i, j in zip(at, [*at[1:], len(u)])]
+            out.append([t.id for w in words for t in cut(w)])
+        return out
 
 
 class Pieces:
     """A sentencepiece file that adds a space before the text.
 
-    As long as no piece has a space after another character, no merge crosses from a word into the blanks after it, so each distinct
-    word is encoded once, with the blanks before it.
+    No merge crosses from a character to the next if no piece has these two next to each other, so texts may be cut there, unless
+    the file rewrites them.
     """
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
         self.library = SentencePieceProcessor(model_file=path)
-        names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
-        self.apart = not any("▁" in p.lstrip("▁") for p in names)
+        size = self.library.get_piece_size()
+        names = [self.library.id_to_piece(i) for i in range(size)]
         self.bytes = [bytes([int(p[3:5], 16)]) if self.library.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        self.memory = Memory(self._encode)
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        # a word's first blank is the one that the library adds; to an empty text it adds none
-        blank = [self.library.piece_to_id("▁")]
-        return [ids or blank for ids in self.library.encode([w[1:] for w in words], num_threads=1)]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.apart:
-            lists = [_WORDS.findall(" " + t) for t in texts]
-            ids, n = self.memory.tokens(self.memory.places([w for x in lists for w in x]))
-            return ids.astype(np.int64), np.diff(np.append(0, np.cumsum(n))[np.cumsum([0, *map(len, lists)])])
-        found = self.library.encode(texts, num_threads=1)
-        n = np.array([len(x) for x in found], np.int64)
-        return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
+        self.blank = [self.library.piece_to_id("▁")]
+        met = [p for i, p in enumerate(names) if not (self.library.is_byte(i) or self.library.is_control(i))]
+        # a character without a piece, put before what doesn't start with a space, keeps the added space away from it
+        self.mark = next((c for c in map(chr, range(1, 32)) if not any(c in p for p in met)), None)
+        probe = f" ﬁ e\u0301 \t  Ａ{self.mark}\n "
+        self.plain = self.mark is not None and self.library.normalize(probe) == "▁" + probe.replace(" ", "▁")
+        self.before = len(self.library.encode(self.mark)) if self.plain else 0
+        near = {(ord(x) << 21) | ord(y) for p in met for x, y in zip(p.replace("▁", " "), p.replace("▁", " ")[1:])}
+        self.pairs = np.array([*sorted(near), 1 << 42], np.int64)
+
+    def cuts(self, text: str, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Those of the places ``at`` that no token crosses."""
+        if not self.plain:
+            return at[:0]
+        near = (codes[at - 1].astype(np.int64) << 21) | codes[at]
+        return at[self.pairs[np.searchsorted(self.pairs, near)] != near]
+
+    def encode(self, units: list[str]) -> list[list[int]]:
+        # a unit's first blank is the one that the library adds; to an empty text it adds none
+        found = self.library.encode([u[1:] if u[0] == " " else self.mark + u for u in units], num_threads=1)
+        return [(ids or self.blank) if u[0] == " " else ids[self.before:] for u, ids in zip(units, found)]
 
 
 class Side:
@@ -128,15 +157,16 @@ class Side:
         self.comma, self.bar, self.semicolon, self.plain = (np.array([f"{i}{mark}" for i in range(len(self.bytes))], object)
                                                             for mark in (",", "|", ";", ""))
 
-    def cut(self, texts: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, how many of each text, whether a text's tokens make up its bytes)."""
-        ids, n = self.model.encode(texts)
-        whole, pieces, start, good = b"".join(self.bytes[ids].tolist()), self.length[ids], 0, []
-        ends = np.append(0, np.cumsum(pieces))[np.cumsum(n)].tolist()
-        for r, stop in zip(raw, ends):
-            good.append(whole[start:stop] == r)
-            start = stop
-        return ids, n, np.array(good, bool)
+    def cut(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, how many of each unit, whether a unit's tokens make up its bytes)."""
+        lists = self.model.encode(units)
+        n = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
+        whole, raw = b"".join(self.bytes[ids].tolist()), [u.encode() for u in units]
+        ends = np.append(0, np.cumsum(self.length[ids]))[np.cumsum(n)]
+        if whole == b"".join(raw) and (ends == np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))).all():
+            return ids, n, np.ones(len(units), bool)
+        return ids, n, np.array([whole[i:j] == r for i, j, r in zip([0, *ends.tolist()], ends.tolist(), raw)], bool)
 
 
 @lru_cache(maxsize=4)
@@ -159,17 +189,16 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([left, right])[["a", "b", "end_a", "end_b"]]
 
 
-def _cut(texts: list[str], first: Side, second: Side):
-    """For both sides: how many tokens a text has, all ids, and their ranges; only of texts that both give back."""
-    raw = [(" " + t).encode() for t in texts]
-    found = [s.cut(texts, raw) for s in (first, second)]
-    good = found[0][2] & found[1][2] & np.array([t != "" for t in texts], bool)
+def _cut(units: list[str], first: Side, second: Side):
+    """For both sides: how many tokens a unit has, all ids, and their ranges; only of units that both give back. Last, which these are."""
+    found = [s.cut(units) for s in (first, second)]
+    good = found[0][2] & found[1][2]
     out = []
     for s, (ids, n, _) in zip((first, second), found):
         ids, n = ids[np.repeat(good, n)], np.where(good, n, 0)
         end = np.cumsum(s.length[ids])
         out.append((n, ids, pd.DataFrame({"doc": np.repeat(np.arange(len(n)), n), "start": end - s.length[ids], "end": end})))
-    return out
+    return *out, good
 
 
 def _groups(flat_a, flat_b, last_a, last_b, doc_a, doc_b, first: Side, second: Side, texts: int) -> list[str]:
@@ -195,21 +224,99 @@ def _groups(flat_a, flat_b, last_a, last_b, doc_a, doc_b, first: Side, second: S
     return made
 
 
-def _linked(texts: list[str | None], first: Side, second: Side) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Columns for each text, and the links as text and id pair."""
-    (n_a, flat_a, a), (n_b, flat_b, b) = _cut([t or "" for t in texts], first, second)
+def _units_linked(units: list[str], first: Side, second: Side) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """For each unit: tokens of both sides, links, overlaps and whether both sides give it back; its groups; all links as id pairs."""
+    (n_a, flat_a, a), (n_b, flat_b, b), good = _cut(units, first, second)
     pairs = overlaps(a, b)
     doc_a, doc_b = a["doc"].to_numpy(), b["doc"].to_numpy()
-    shared = np.bincount(doc_a[pairs["a"].to_numpy(np.int64)], minlength=len(texts))
+    shared = np.bincount(doc_a[pairs["a"].to_numpy(np.int64)], minlength=len(units))
     # non-empty ranges that end together overlap, so no link is missed; a token ends with one token at most
     links = pairs[pairs["end_a"] == pairs["end_b"]].sort_values("a")
     last_a, last_b = links["a"].to_numpy(np.int64), links["b"].to_numpy(np.int64)
-    of = doc_a[last_a]
-    n = np.bincount(of, minlength=len(texts))
-    text = _groups(flat_a, flat_b, last_a, last_b, doc_a, doc_b, first, second, len(texts))
+    n = np.bincount(doc_a[last_a], minlength=len(units))
+    text = _groups(flat_a, flat_b, last_a, last_b, doc_a, doc_b, first, second, len(units))
+    return np.array([n_a, n_b, n, shared, good], np.int64), text, flat_a[last_a] * _SIDE + flat_b[last_b]
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, with room for so many columns."""
+    while array.shape[-1] < size:
+        array = np.concatenate([array, np.zeros_like(array)], axis=-1)
+    return array
+
+
+class Units:
+    """Cuts texts where no token of either side crosses, and aligns each distinct unit once, as texts repeat their words.
+
+    What units have is remembered up to ``MEMORY`` characters of units; then it starts anew.
+    """
+
+    def __init__(self, first: Side, second: Side):
+        self.sides = first, second
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.held = Places(), 0
+        self.numbers, self.text = np.zeros((5, 1 << 10), np.int32), np.zeros(1 << 10, object)
+        self.first, self.links = np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.int64)
+
+    def of(self, text: str) -> list[str]:
+        """The units of a text with a space before it, which they make up."""
+        text = " " + text
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        at = np.arange(1, len(codes))
+        for s in self.sides:
+            at = s.model.cuts(text, codes, at)
+        at = at.tolist()
+        return [text[i:j] for i, j in zip([0, *at], [*at, len(text)])]
+
+    def places(self, units: list[str]) -> np.ndarray:
+        """Where the units' numbers, groups and links are."""
+        if self.held > MEMORY:
+            self._forget()
+        at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        new, self.known.new = self.known.new, []
+        have = self.known.many - len(new)
+        for start in range(0, len(new), WORDS):
+            part = new[start:start + WORDS]
+            numbers, text, links = _units_linked(part, *self.sides)
+            stop, at_link = have + len(part), int(self.first[have])
+            self.numbers, self.text = _room(self.numbers, stop), _room(self.text, stop)
+            self.first, self.links = _room(self.first, stop + 1), _room(self.links, at_link + len(links))
+            self.numbers[:, have:stop], self.text[have:stop] = numbers, text
+            self.first[have + 1:stop + 1] = at_link + np.cumsum(numbers[2])
+            self.links[at_link:at_link + len(links)] = links
+            have = stop
+            self.held += sum(map(len, part))
+        return at
+
+
+@lru_cache(maxsize=2)
+def units(first: Side, second: Side) -> Units:
+    """What both sides make of units, once for each worker process."""
+    return Units(first, second)
+
+
+def _linked(texts: list[str | None], first: Side, second: Side) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Columns for each text, and the links as text and id pair."""
+    memory = units(first, second)
+    lists = [memory.of(t) if t else [] for t in texts]
+    at = memory.places([u for x in lists for u in x])
+    doc = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
+    # bytes that a side changes in one unit are not changed back by another, so a text is given back if all its units are
+    whole = np.bincount(doc[memory.numbers[4, at] == 0], minlength=len(texts)) == 0
+    at, doc = at[whole[doc]], doc[whole[doc]]
+    ends = np.cumsum(np.bincount(doc, minlength=len(texts)))
+    n_a, n_b, n, shared = (np.diff(np.append(0, np.cumsum(x, dtype=np.int64))[np.append(0, ends)]) for x in memory.numbers[:4, at])
+    many = memory.numbers[2, at]
+    start = np.cumsum(many, dtype=np.int64) - many
+    links = memory.links[np.arange(int(many.sum())) + np.repeat(memory.first[at] - start, many)]
+    cells, before, made = memory.text[at].tolist(), 0, []
+    for e in ends.tolist():
+        made.append(";".join(cells[before:e]))
+        before = e
     # each end that both sides share ends a group, and two tokens link where they end together: as many groups as links
-    return ({"n_a": n_a, "n_b": n_b, "n_groups": n, "n_links": n, "n_overlaps": shared, "groups": text},
-            of, flat_a[last_a] * _SIDE + flat_b[last_b])
+    return {"n_a": n_a, "n_b": n_b, "n_groups": n, "n_links": n, "n_overlaps": shared, "groups": made}, np.repeat(doc, many), links
 
 
 _DOC = [("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_overlaps", pa.int64()), ("groups", pa.string())]
@@ -223,14 +330,15 @@ def _flush(held: list) -> pa.RecordBatch:
     """Rows of documents, whose links are numbers of pairs of their batch, and last a row with these pairs."""
     batch = uuid.uuid4().hex
     links = [x[3] for x in held]
-    known, code, counts = np.unique(np.concatenate(links), return_inverse=True, return_counts=True)
+    code, known = pd.factorize(np.concatenate(links))
+    counts = np.bincount(code, minlength=len(known))
     columns = {c: [v for x in held for v in x[1][c]] + [None] for c, _ in _DOC}
     of, before = [], 0
     for ids, _, where, _ in held:
         of.append(where + before)
         before += len(ids)
     ends = np.append(0, np.cumsum(np.bincount(np.concatenate(of), minlength=before)))
-    codes = pa.ListArray.from_arrays(pa.array(np.append(ends, ends[-1]), pa.int32()), pa.array(code.reshape(-1), pa.int32()))
+    codes = pa.ListArray.from_arrays(pa.array(np.append(ends, ends[-1]), pa.int32()), pa.array(code, pa.int32()))
     empty = [[]] * before
     arrays = {"batch": [batch] * (before + 1), "doc_id": [i for x in held for i in x[0]] + [None], **columns, "codes": codes,
               "pairs": empty + [known], "counts": empty + [counts]}

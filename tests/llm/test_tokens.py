@@ -140,6 +140,23 @@ def test_batches_of_any_size_align_alike(texts):
     assert links.tolist() == [x for p in parts for x in p[2].tolist()]
 
 
+def test_each_distinct_unit_is_aligned_once(texts, monkeypatch):
+    asked = []
+    whole = alignment._units_linked
+    monkeypatch.setattr(alignment, "_units_linked", lambda units, *sides: asked.extend(units) or whole(units, *sides))
+    memory = alignment.Units(alignment.side(A), alignment.side(B))
+    monkeypatch.setattr(alignment, "units", lambda *sides: memory)
+    rng = random.Random(5)
+    odd = ["".join(rng.choice("ab'st.,\n\n\t\r   \u2028\u0301é1٣!▁日ﬁ\x01") for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    texts = ["the cat. the cat,\nthe cat"] * 3 + odd + [t for t in texts if t and len(t) < 1000]
+    got, of, links = alignment._linked(texts, *memory.sides)
+    assert len(asked) == len(set(asked)) and {" the", " cat", ".", ",", "\n", "the"} <= set(asked)
+    assert all("".join(memory.of(t)) == " " + t for t in texts)
+    cut = aligned_by_hand(texts)
+    assert [*zip(got["n_a"], got["n_b"], got["n_links"], got["groups"], got["n_overlaps"])] == [(a, b, len(x), g, s) for a, b, x, g, s in cut]
+    assert [*zip(of.tolist(), links.tolist())] == [(d, i * alignment._SIDE + j) for d, c in enumerate(cut) for i, j in c[2]]
+
+
 def trie_by_hand(rows, step=20, heads=4):
     own = defaultdict(list)
     for c, turn, role, text in rows:
