@@ -84,7 +84,8 @@ def _measured_sql():
 @query("x3_measured_stems", f"""WITH {_WORDS}, {_measured_sql()}
 SELECT doc_id, rtrim(w, '|') AS term, count(*) AS n FROM tokens JOIN s9 USING (term) WHERE {_STOP} GROUP BY ALL""")
 def measured_stems(t):
-    return X.measured_stems(_terms(t, X.drop_stopwords(X.tokens("text"))), ["doc_id"])
+    words = t("documents").select("doc_id", F.explode(X.drop_stopwords(X.tokens("text"))).alias("term"), F.lit(1).alias("n"))
+    return X.measured_stems(words, ["doc_id"])
 
 
 @query("x4_polarity", f"""WITH {_WORDS},

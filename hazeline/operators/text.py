@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,6 +92,11 @@ def _part(pattern: str, i: int) -> Column:
     return F.regexp_extract("w", pattern, i)
 
 
+def _ends(suffixes) -> Column:
+    """Whether ``w`` has one of the suffixes: most words have none, and need no pattern to tell."""
+    return reduce(or_, [F.col("w").endswith(x) for x in suffixes])
+
+
 def _doubled(w: Column) -> Column:
     return (F.length(w) > 1) & (F.right(w, F.lit(1)) == F.substring(w, -2, 1)) & letter_kinds(w).endswith("C")
 
@@ -104,7 +112,7 @@ def _stem_steps() -> list[Column]:
     vowel = lambda x: F.contains(letter_kinds(x), F.lit("V"))
     root, tail = _part("^(.*?)(eed|ed|ing)$", 1), _part("^(.*?)(eed|ed|ing)$", 2)
     # a suffix that went leaves a mark, as the next step only looks at such words
-    fallen = F.when((tail == "eed") & (measure(root) > 0), F.concat(root, F.lit("ee"))).when(
+    fallen = F.when(~_ends(["ed", "ing"]), w).when((tail == "eed") & (measure(root) > 0), F.concat(root, F.lit("ee"))).when(
         tail.isin("ed", "ing") & vowel(root), F.concat(root, F.lit("|"))).otherwise(w)
     bare = F.rtrim(w, F.lit("|"))
     mended = F.when(~w.endswith("|"), w).when(bare.rlike("(at|bl|iz)$"), F.concat(bare, F.lit("e"))).when(
@@ -115,7 +123,7 @@ def _stem_steps() -> list[Column]:
     def replaced(table: dict[str, str]) -> Column:
         root, tail = _part(_cut(table), 1), _part(_cut(table), 2)
         new = F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), tail)
-        return F.when((tail != "") & (measure(root) > 0), F.concat(root, new)).otherwise(w)
+        return F.when(~_ends(table), w).when((tail != "") & (measure(root) > 0), F.concat(root, new)).otherwise(w)
 
     last, gone = _part(_cut(LAST_SUFFIXES), 1), _part(_cut(LAST_SUFFIXES), 2)
     return [
@@ -124,7 +132,7 @@ def _stem_steps() -> list[Column]:
         fallen, mended,
         F.when(w.endswith("y") & vowel(less), F.concat(less, F.lit("i"))).otherwise(w),
         replaced(DOUBLE_SUFFIXES), replaced(ENDINGS),
-        F.when((gone != "") & (measure(last) > 1) & ((gone != "ion") | last.rlike("[st]$")), last).otherwise(w),
+        F.when(~_ends(LAST_SUFFIXES), w).when((gone != "") & (measure(last) > 1) & ((gone != "ion") | last.rlike("[st]$")), last).otherwise(w),
         F.when(w.endswith("e") & ((measure(less) > 1) | ((measure(less) == 1) & ~_short(less))), less).otherwise(w),
         F.when(w.endswith("l") & _doubled(w) & (measure(w) > 1), less).otherwise(w),
     ]
@@ -139,7 +147,11 @@ def stem_table(words: DataFrame, term: str = "term") -> DataFrame:
 
 
 def measured_stems(counts: DataFrame, keys: list[str], term: str = "term", n: str = "n") -> DataFrame:
-    """Counts by (keys, term) as counts by (keys, stem); each distinct term is stemmed once."""
-    stems = stem_table(counts, term).withColumnRenamed("term", "_term")
+    """Counts by (keys, term) as counts by (keys, stem); each distinct term is stemmed once.
+
+    Rows of ``counts`` needn't be summed before. They are moved to their term's stem and summed there, by hash: a term has one stem,
+    so neither side is sorted, and frequent terms are only met on the side that Spark splits.
+    """
+    stems = stem_table(counts, term).withColumnRenamed("term", "_term").hint("shuffle_hash")
     joined = counts.join(stems, F.col(term) == F.col("_term"))
     return joined.groupBy(*keys, F.col("stem").alias(term)).agg(F.sum(n).alias(n))

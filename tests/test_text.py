@@ -23,3 +23,11 @@ def test_published_stems(spark):
 def test_counts_of_one_stem_are_summed(spark):
     rows = spark.createDataFrame([(1, "cat", 2), (1, "Cats", 3), (2, "cats", 1)], "doc_id int, term string, n long")
     assert sorted(tuple(r) for r in X.measured_stems(rows, ["doc_id"]).collect()) == [(1, "cat", 5), (2, "cat", 1)]
+
+
+def test_terms_meet_their_stems_by_hash(spark):
+    words = spark.createDataFrame([(1, "running"), (1, "running"), (1, "runs"), (2, "generalizations"), (2, None)], "d long, term string").selectExpr("*", "1 AS n")
+    out = X.measured_stems(words, ["d"])
+    assert sorted(map(tuple, out.collect())) == [(1, "run", 3), (2, "gener", 1)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
