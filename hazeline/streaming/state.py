@@ -150,6 +150,14 @@ def stream_expiring(stream: DataFrame, ttl_seconds: int = 900, time: str = "ts",
         statefulProcessor=state, outputStructType=out, outputMode="append", timeMode="EventTime").drop("time_in_us")
 
 
+def _number(given, last: float) -> float:
+    """What a request brings, or else the last value."""
+    try:
+        return last if given is None else float(given)
+    except ValueError:
+        return last
+
+
 class LastRows(StatefulProcessor):
     """The last rows of a city, which requests are answered from; the history is read once, as initial state."""
 
@@ -196,41 +204,41 @@ class LastRows(StatefulProcessor):
             self._store(held)
 
     def _answer(self, city, part: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        n = len(held)
+        n, many = len(held), len(part)
         times = held["dt"].to_numpy("datetime64[ns]")
         values = {c: held[c].to_numpy(float) for c in [*self.cols, *self.carry]}
-        newest = held["dt"].iloc[-1] if n else pd.NaT
-        out = {f.name: [] for f in self.out.fields}
-        for r in part.itertuples(index=False):
-            at = newest if pd.isna(r.dt) else r.dt
-            # rows before the request; where there are none, the last rows
-            have = n if pd.isna(at) else int(np.searchsorted(times, np.datetime64(at), "left"))
-            have = have or n
-            given = dict(r.features) if r.features is not None else {}
-            now = {}
-            for c in [*self.cols, *self.carry]:
-                try:
-                    now[c] = float(given[c]) if given.get(c) is not None else None
-                except ValueError:
-                    now[c] = None
-                if now[c] is None and n and not np.isnan(values[c][-1]):
-                    now[c] = float(values[c][-1])
-            row = {"request_id": r.request_id, "city": city, "dt": at, "horizon_hours": r.horizon_hours, "model": r.model, "known": n > 0, **now}
-            for c in self.cols:
-                for k in self.steps:
-                    row[f"{c}_lag_{k}h"] = values[c][have - k] if have >= k else now[c]
-                for w in self.widths:
-                    own = values[c][max(0, have - w):have]
-                    own = own[~np.isnan(own)]
-                    row[f"{c}_roll_mean_{w}h"] = own.mean() if len(own) else None
-                    row[f"{c}_roll_max_{w}h"] = own.max() if len(own) else None
-            for f in self.out.fields:
-                v = None if isinstance(row[f.name], float) and np.isnan(row[f.name]) else row[f.name]
+        at = pd.to_datetime(part["dt"]).to_numpy("datetime64[ns]")
+        if n:
+            at = np.where(np.isnat(at), times[-1], at)
+        # rows before the request; where there are none, the last rows
+        have = np.where(np.isnat(at), n, np.searchsorted(times, at, "left"))
+        have = np.where(have == 0, n, have)
+        given = [dict(f) if f is not None else {} for f in part["features"]]
+        now = {}
+        for c in values:
+            last = values[c][-1] if n else np.nan
+            now[c] = np.array([_number(g.get(c), last) for g in given], float)
+        out = {"request_id": part["request_id"], "city": [city] * many, "dt": at, "horizon_hours": part["horizon_hours"],
+               "model": part["model"], "known": [n > 0] * many, **now}
+        # a roll depends on the request's place alone
+        places, place = np.unique(have, return_inverse=True)
+        for c in self.cols:
+            for k in self.steps:
+                out[f"{c}_lag_{k}h"] = np.where(have >= k, values[c][np.maximum(have - k, 0)], now[c]) if n else now[c]
+            for w in self.widths:
+                rows = [values[c][max(0, i - w):i] for i in places]
+                rows = [x[~np.isnan(x)] for x in rows]
+                out[f"{c}_roll_mean_{w}h"] = np.array([x.mean() if len(x) else np.nan for x in rows], float)[place]
+                out[f"{c}_roll_max_{w}h"] = np.array([x.max() if len(x) else np.nan for x in rows], float)[place]
+        frame = {}
+        for f in self.out.fields:
+            v = out[f.name]
+            if f.name != "dt" and not isinstance(f.dataType, T.DoubleType):
                 # whole numbers are floats where a batch holds readings, too
-                out[f.name].append(int(v) if v is not None and isinstance(f.dataType, T.IntegralType) else v)
-        frame = pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in out.items()})
-        doubles = [f.name for f in self.out.fields if isinstance(f.dataType, T.DoubleType)]
-        return frame.astype({c: float for c in doubles}).assign(dt=pd.to_datetime(frame["dt"]))
+                whole = isinstance(f.dataType, T.IntegralType)
+                v = pd.Series([None if x is None or x != x else int(x) if whole else x for x in v], dtype=object)
+            frame[f.name] = v
+        return pd.DataFrame(frame)
 
     def close(self) -> None:
         pass

@@ -120,3 +120,32 @@ def test_last_rows(spark, history):
     got = sorted(tuple(r)[:2] for r in S.last_rows(history, 5, ["co"]).collect())
     rows = [tuple(r)[:2] for r in history.collect()]
     assert got == sorted(x for c in "AB" for x in sorted(r for r in rows if r[0] == c)[-5:])
+
+
+def test_answering_costs_no_step_per_request():
+    """Twenty thousand requests of one city take little longer than their parsing."""
+    import time
+
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    cols, carry, steps, widths = ["co", "no2"], ["temp"], [1, 2, 24], [3, 24]
+    kinds = [("request_id", T.LongType()), ("city", T.StringType()), ("dt", T.TimestampType()), ("horizon_hours", T.IntegerType()), ("model", T.StringType()),
+             ("known", T.BooleanType()), *[(c, T.DoubleType()) for c in cols + carry], *[(f"{c}_lag_{k}h", T.DoubleType()) for c in cols for k in steps],
+             *[(f"{c}_roll_{m}_{w}h", T.DoubleType()) for c in cols for w in widths for m in ("mean", "max")]]
+    state = S.LastRows(cols, carry, steps, widths, T.StructType([T.StructField(*k) for k in kinds]))
+    held = pd.DataFrame({"dt": pd.date_range("2024-01-01", periods=30, freq="h"), "co": [float(i) for i in range(30)], "no2": [None, 1.0] * 15, "temp": 5.0})
+    n = 20_000
+    part = pd.DataFrame({"request_id": range(n), "dt": pd.to_datetime(pd.Series([None, "2024-01-01 03:00", "2023-01-01 00:00"] * n)[:n]), "horizon_hours": 1, "model": "m",
+                         "features": [{"co": str(i), "temp": "x"} if i % 2 else None for i in range(n)]})
+    started = time.process_time()
+    out = state._answer("A", part, held)
+    assert time.process_time() - started < 1.0
+    first, second = out.iloc[0], out.iloc[1]
+    # the newest hour, from which 29 rows are before it
+    assert (first["dt"], first["co"], first["co_lag_1h"], first["co_lag_24h"], first["co_roll_mean_3h"]) == (held["dt"].iloc[-1], 29.0, 28.0, 5.0, 27.0)
+    assert (first["no2"], first["no2_roll_max_3h"], first["temp"], first["known"]) == (1.0, 1.0, 5.0, True)
+    assert (second["co"], second["temp"], second["co_lag_2h"], second["co_lag_24h"], second["co_roll_max_24h"]) == (1.0, 5.0, 1.0, 1.0, 2.0)
+    # before all rows: the last ones
+    assert (out.iloc[2]["co_lag_1h"], out.iloc[2]["co_roll_mean_3h"]) == (29.0, 28.0)
+    assert out["request_id"].tolist() == list(range(n)) and out["horizon_hours"].tolist() == [1] * n
