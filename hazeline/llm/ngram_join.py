@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,8 @@ WORDS = 5
 PERCENT = 75
 #: Shingles that a map task holds at once before it sends them on.
 HELD = 3_000_000
+#: Shared shingles that a reduce task holds at once before it sends them on, or folds equal ones.
+MOST = 1_000_000
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -119,12 +122,15 @@ def _ask(k: int, buckets: int, held: int):
         size = np.array([len(s) for s in sets])
         owner = np.array(owners, np.int64)
         token = np.concatenate(sets)
-        of = np.repeat(np.arange(len(sets), dtype=np.uint32), size)
+        sets.clear()
+        of = np.repeat(np.arange(len(size), dtype=np.uint32), size)
         order = np.argsort(token, kind="stable")
         token, of = token[order], of[order]
+        del order
         new = np.append(True, token[1:] != token[:-1])
         many = np.diff(np.append(np.flatnonzero(new), len(token)))
         common = np.repeat(many > 1, many)
+        del many
         yield from _by_owner(owner[of[common]], size[of[common]], token[common], buckets)
         marked = token[common & new]
         token, of = token[~common], of[~common]
@@ -157,25 +163,25 @@ def _ask(k: int, buckets: int, held: int):
     return run
 
 
+def _values(batch: pa.RecordBatch, column: str, i: int) -> pa.Buffer:
+    """The packed array of a row, not copied."""
+    return batch.column(column)[i].as_buffer()
+
+
 def _answer(buckets: int):
-    """Reduce side: a shingle is shared if two sets have it; tells each set that asked."""
+    """Reduce side: a shingle is shared if two sets have it; tells each set that asked. Only one bucket at a time is unpacked."""
 
-    def run(batches):
+    def shared_of(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         owners, sizes, refs, tokens, marked, base = [], [], [], [], [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["kind"] == 1:
-                    yield _row(*[row[c] for c in ("bucket", "kind", "owners", "sizes", "lengths", "tokens", "marked")])
-                    continue
-                owners.append(np.frombuffer(row["owners"], np.int64))
-                sizes.append(np.frombuffer(row["sizes"], np.int32))
-                refs.append(np.frombuffer(row["lengths"], np.uint16 if len(owners[-1]) < 65536 else np.uint32).astype(np.int64) + base)
-                tokens.append(_unpack(row["tokens"]))
-                marked.append(np.frombuffer(row["marked"], np.uint64))
-                base += len(owners[-1])
-        if not owners:
-            return
+        for own, size, ref, token, mark in rows:
+            owners.append(np.frombuffer(own, np.int64))
+            sizes.append(np.frombuffer(size, np.int32))
+            refs.append(np.frombuffer(ref, np.uint16 if len(owners[-1]) < 65536 else np.uint32).astype(np.uint32) + np.uint32(base))
+            tokens.append(_unpack(token))
+            marked.append(np.frombuffer(mark, np.uint64))
+            base += len(owners[-1])
         owner, size, ref, token = map(np.concatenate, (owners, sizes, refs, tokens))
+        del refs, tokens
         order = np.argsort(token, kind="stable")
         token, ref = token[order], ref[order]
         mark = np.unique(np.concatenate(marked))
@@ -189,13 +195,30 @@ def _answer(buckets: int):
             at = np.minimum(np.searchsorted(mark, token[first]), len(mark) - 1)
             known = mark[at] == token[first]
         shared = np.repeat(differs | known, many)
-        yield from _by_owner(owner[ref[shared]], size[ref[shared]], token[shared], buckets)
+        return owner[ref[shared]], size[ref[shared]], token[shared]
+
+    def run(batches):
+        asked: dict[int, list[tuple]] = {}
+        for batch in batches:
+            known = pc.equal(batch.column("kind"), 1)
+            if pc.any(known).as_py():
+                yield batch.filter(known)
+            batch = batch.filter(pc.invert(known))
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                asked.setdefault(bucket, []).append(tuple(_values(batch, c, i) for c in ("owners", "sizes", "lengths", "tokens", "marked")))
+        found, total = [], 0
+        for bucket in sorted(asked):
+            found.append(shared_of(asked.pop(bucket)))
+            total += len(found[-1][0])
+            if total > MOST or not asked:
+                yield from _by_owner(*(np.concatenate([x[i] for x in found]) for i in range(3)), buckets)
+                found, total = [], 0
 
     return run
 
 
-def _gather(percent: int, most: int = 4_000_000):
-    """Shared shingles of each set, for sets that share enough of them."""
+def _gather(percent: int):
+    """Shared shingles of each set, for sets that share enough of them. A bucket has all that is told to its sets."""
 
     def fold(parts: list[tuple]) -> list[tuple]:
         owner, size, token = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -204,19 +227,7 @@ def _gather(percent: int, most: int = 4_000_000):
         keep = np.append(True, (owner[1:] != owner[:-1]) | (token[1:] != token[:-1]))[:len(owner)]
         return [(owner[keep], size[keep], token[keep])]
 
-    def run(batches):
-        parts, total = [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                length = np.frombuffer(row["lengths"], np.int32)
-                parts.append((np.repeat(np.frombuffer(row["owners"], np.int64), length),
-                              np.repeat(np.frombuffer(row["sizes"], np.int32), length), np.frombuffer(row["tokens"], np.uint64)))
-                total += len(parts[-1][0])
-                if total > most + 2 * len(parts[0][0]):
-                    parts = fold(parts)
-                    total = len(parts[0][0])
-        if not parts:
-            return
+    def sets(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
         owner, size, token = fold(parts)[0]
         new = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[:len(owner)])
         many = np.diff(np.append(new, len(owner)))
@@ -226,6 +237,24 @@ def _gather(percent: int, most: int = 4_000_000):
                 [pa.array([int(owner[new[i]])], pa.int64()), pa.array([int(n[i])], pa.int64()),
                  pa.array([token[new[i]:new[i] + many[i]].view(np.int64)], pa.list_(pa.int64()))], ["id", "n", "s"])
 
+    def run(batches):
+        parts: dict[int, list[tuple]] = {}
+        total, folded = 0, 0
+        for batch in batches:
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                length = np.frombuffer(_values(batch, "lengths", i), np.int32)
+                # copies: a part must not keep its batch alive
+                parts.setdefault(bucket, []).append((np.repeat(np.frombuffer(_values(batch, "owners", i), np.int64), length),
+                                                     np.repeat(np.frombuffer(_values(batch, "sizes", i), np.int32), length),
+                                                     np.frombuffer(_values(batch, "tokens", i), np.uint64).copy()))
+                total += len(parts[bucket][-1][0])
+                if total > MOST + 2 * folded:
+                    for b in parts:
+                        parts[b] = fold(parts[b])
+                    total = folded = sum(len(p[0][0]) for p in parts.values())
+        for bucket in sorted(parts):
+            yield from sets(parts.pop(bucket))
+
     def packed(batches):
         """Rows of many sets in one batch."""
         held = []
@@ -242,10 +271,12 @@ def _gather(percent: int, most: int = 4_000_000):
 
 def shared_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n, s): distinct sets that share at least ``percent`` of their n shingles with other sets, and which ones."""
-    buckets = 4 * partitions(docs.sparkSession)
+    parts = partitions(docs.sparkSession)
+    buckets = 4 * parts
+    # by number: each task gets four buckets, where by hash some would get ten or more
     asked = docs.select("text").mapInArrow(_ask(k, buckets, HELD), _PACKED)
-    told = asked.repartition(buckets // 4, "bucket").mapInArrow(_answer(buckets), _PACKED)
-    return told.repartition(buckets // 4, "bucket").mapInArrow(_gather(percent), "id long, n long, s array<long>")
+    told = asked.repartitionById(parts, F.expr(f"bucket % {parts}")).mapInArrow(_answer(buckets), _PACKED)
+    return told.repartitionById(parts, F.expr(f"bucket % {parts}")).mapInArrow(_gather(percent), "id long, n long, s array<long>")
 
 
 _COUNTS = "bucket int, scope long, tokens binary, counts binary"
@@ -310,7 +341,7 @@ def ranked(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = partitions(sets.sparkSession)
     held = sets.agg(F.coalesce(F.sum(F.size("s")), F.lit(0)).alias("n")).first()["n"]
     own = sets.withColumn("scope", F.pmod("id", F.lit(held // HELD * 2 + parts)))
-    told = (own.groupBy("scope").applyInArrow(_count(parts), _COUNTS).repartition(parts, "bucket")
+    told = (own.groupBy("scope").applyInArrow(_count(parts), _COUNTS).repartitionById(parts, "bucket")
             .mapInArrow(_total, "scope long, tokens binary, counts binary"))
     return own.groupBy("scope").cogroup(told.groupBy("scope")).applyInArrow(_rank(percent), "id long, n long, s array<long>")
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -124,6 +125,28 @@ def test_packed_hashes_round_trip():
     assert len(ngram_join._unpack(ngram_join._pack(np.zeros(0, np.uint64)))) == 0
 
 
+def test_ngram_join_answers_one_bucket_at_a_time():
+    rng = np.random.default_rng(2)
+
+    def asked(bucket):
+        token = np.sort(rng.integers(0, 1 << 62, 100_000, np.uint64))
+        return ngram_join._row(bucket, 0, np.arange(2, dtype=np.int64), np.full(2, 50_000, np.int32), rng.integers(0, 2, len(token)).astype(np.uint16),
+                               ngram_join._pack(token), token[:1].copy())
+
+    def peak(batches):
+        tracemalloc.start()
+        try:
+            told = list(ngram_join._answer(16)(iter(batches)))
+            return sum(b.num_rows for b in told), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    batches = [asked(b) for b in range(16)]
+    peak(batches[:1])
+    one, all_ = peak(batches[:1]), peak(batches)
+    assert one[0] and all_[0] and all_[1] < 2 * one[1]
+
+
 PII = ["mail a.b@c.d_e@f.gh x@y", "10.0.0.1 999.1.1.1 1.2.3.4.5 007.8.9.10", "card 4111 1111-1111 1111, 4111111111111112 5 5", "+49 (30) 1234-5678. +1 2 +12345678901234567890",
         "é😀 u@v.w +1-202-555-0147x", "", None, "1" * 3000, "@" * 50 + "a@b", "a" * 20000 + "@", "1." * 5000, "reach me: jane [at] site [dot] org", "9 " * 4000]
 BASE_PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
