@@ -3,7 +3,7 @@
 The text is cut into words as the file says. For each distinct word, greedy longest match proposes tokens. A proposal is the
 result of the merges exactly if no merge would cross any boundary between two of its tokens, and whether one crosses depends on the
 two tokens at the boundary alone. So all adjacent pairs of all proposals are checked together, as arrays; only words with a failing
-pair go through the merges one by one.
+pair go through the merges, side by side as rows of a matrix: each round does one merge of every word.
 
 Whether a merge crosses a boundary is read from the merge ranks. Merges run by rank, so a token on the right edge of the left side
 lives from its own rank to that of the token that absorbs it, and the same holds on the left edge of the right side. Both edges are
@@ -30,11 +30,16 @@ from pyspark.sql import types as T
 from hazeline.llm.base import fresh, query, table
 
 #: Characters of text handled at once; one longer text is handled alone.
-SLICE = 2_000_000
+SLICE = 1_000_000
 #: Characters of distinct words whose tokens a task remembers, some 30 bytes each, and words that are encoded at once.
-MEMORY = 1_500_000
+MEMORY = 2_500_000
 WORDS = 4_096
+#: Symbols of a word that is merged beside others, a longer one is merged alone; and rows of a matrix of such words.
+LONG = 64
+ROWS = 2_048
 _NEVER = np.int64(1) << 40
+#: The first character that others combine with.
+COMBINING = 0x300
 BREAK, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 _UNKNOWN = 255
 
@@ -61,7 +66,16 @@ class Merges:
         self.size = size
         code = left * size + right
         order = np.argsort(code)
-        self.codes, self.code_ranks = code[order], rank[order]
+        self.codes, self.code_ranks, self.made = code[order], rank[order], made
+        #: of each letter, its symbol's id inside a word and at its end (-1: none); the last entry stands for all later letters
+        top = max([ord(t[0]) for t in self.ids if t], default=0) + 1
+        self.inner, self.last = np.full(top + 1, -1, np.int64), np.full(top + 1, -1, np.int64)
+        for t, i in self.ids.items():
+            if len(t) == 1:
+                self.inner[ord(t)] = i
+            if len(t) == 1 + len(self.end) and t.endswith(self.end):
+                self.last[ord(t[0])] = i
+        self.distinct = bool((self.codes[1:] != self.codes[:-1]).all())
         #: the check needs that every token has one merge, and that parts are made before what they make
         self.regular = bool(len(np.unique(made)) == len(made) and (np.maximum(self.rank[left], self.rank[right]) < rank).all())
         self.sound = self._sound(made, left, right)
@@ -71,6 +85,31 @@ class Merges:
         self.reach: dict[str, int] = {}
         for t in self.known:
             self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
+        self._plant()
+
+    def _plant(self) -> None:
+        """Prefix tree of the tokens for proposals. A letter at a word's end is another symbol than the same letter inside."""
+        letters = sorted({x for t in self.known for x in t})
+        self.symbols_many = 2 * len(letters) + 1
+        self.symbol = np.full(max(map(ord, letters), default=0) + 2, self.symbols_many - 1, np.int64)
+        self.symbol[[ord(x) for x in letters]] = np.arange(len(letters))
+        self.at_end = len(letters) if self.end else 0
+        place, edges, of = {x: i for i, x in enumerate(letters)}, {}, {0: -1}
+        for t, i in self.known.items():
+            ended = self.end and t.endswith(self.end)
+            path = [place[x] for x in (t[:-len(self.end)] if ended else t)]
+            if not path:
+                continue
+            if ended:
+                path[-1] += self.at_end
+            node = 0
+            for x in path:
+                node = edges.setdefault(node * self.symbols_many + x, len(edges) + 1)
+            of[node] = i
+        self.edges = np.array(sorted(edges), np.int64)
+        self.children = np.array([edges[e] for e in self.edges.tolist()], np.int64)
+        self.of = np.full(len(edges) + 1, -1, np.int64)
+        self.of[list(of)] = list(of.values())
 
     def _sound(self, made, left, right) -> np.ndarray:
         alone = np.ones(self.size, bool)
@@ -136,6 +175,45 @@ class Merges:
             at = stop
         return out
 
+    def proposed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, how many for each word) by ``greedy``, none where no token fits; words of up to ``LONG`` letters side by side."""
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        letter = np.minimum(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), len(self.symbol) - 1)
+        ends, fits = np.cumsum(n), np.ones(len(words), bool)
+        symbol = self.symbol[letter]
+        plain = symbol[ends - 1] < self.symbols_many - 1
+        symbol[ends[plain] - 1] += self.at_end
+        alone = [(i, self.greedy(words[i]) or []) for i in np.flatnonzero(n > LONG).tolist()]
+        found = [(np.full(len(t), i, np.int64), np.array(t, np.int64)) for i, t in alone]
+        own = np.flatnonzero(n <= LONG)
+        at = (ends - n)[own]
+        while len(own) and len(self.edges):
+            token, stop = self._longest(symbol, at, ends[own])
+            go = token >= 0
+            fits[own[~go]] = False
+            found.append((own[go], token[go]))
+            go &= stop < ends[own]
+            own, at = own[go], stop[go]
+        word, token = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in (0, 1))
+        word, token = word[fits[word]], token[fits[word]]
+        return token[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
+
+    def _longest(self, symbol: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the longest token that starts at each place, or -1; where it ends)."""
+        token, stop = np.full(len(at), -1, np.int64), at.copy()
+        live, node, place = np.arange(len(at)), np.zeros(len(at), np.int64), at
+        while len(live):
+            edge = node * self.symbols_many + symbol[place]
+            child = np.minimum(np.searchsorted(self.edges, edge), len(self.edges) - 1)
+            go = self.edges[child] == edge
+            live, node, place = live[go], self.children[child[go]], place[go] + 1
+            made = self.of[node]
+            whole = made >= 0
+            token[live[whole]], stop[live[whole]] = made[whole], place[whole]
+            go = place < ends[live]
+            live, node, place = live[go], node[go], place[go]
+        return token, stop
+
     def merged(self, word: str) -> list[int]:
         """Exact merging: always the merge of the lowest rank, the leftmost of equal ones. Symbols without an id are left out."""
         token = [self.ids[s] for s in self.symbols(word) if s in self.ids]
@@ -158,18 +236,75 @@ class Merges:
                     heapq.heappush(heap, (p[0], x, p[1]))
         return [t for t in token if t is not None]
 
+    def merged_together(self, words: list[str]) -> list[list[int]]:
+        """What ``merged`` gives for each word; words of up to ``LONG`` letters are merged side by side."""
+        out: list = [None] * len(words)
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        alone = (n > LONG) | (not self.distinct)
+        for i in np.flatnonzero(alone).tolist():
+            out[i] = self.merged(words[i])
+        order = np.argsort(n, kind="stable")
+        order = order[~alone[order]]
+        for start in range(0, len(order), ROWS):
+            rows = order[start:start + ROWS]
+            for i, found in zip(rows.tolist(), self._merged_rows([words[i] for i in rows.tolist()], n[rows])):
+                out[i] = found
+        return out
+
+    def _merged_rows(self, words: list[str], n: np.ndarray) -> list[list[int]]:
+        letter = np.minimum(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), len(self.inner) - 1)
+        ends = np.cumsum(n)
+        symbol = self.inner[letter]
+        symbol[ends - 1] = self.last[letter[ends - 1]]
+        word = np.repeat(np.arange(len(words)), n)[symbol >= 0]
+        n = np.bincount(word, minlength=len(words))
+        # a column more than the longest word has, so that there is always a next one
+        token = np.full((len(words), int(n.max()) + 1), -1, np.int64)
+        token[word, np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)] = symbol[symbol >= 0]
+        rank = np.full(token.shape, _NEVER)
+        rank[:, :-1] = self._ranks(token[:, :-1], token[:, 1:])
+        column, own, out = np.arange(token.shape[1]), np.arange(len(words)), token.copy()
+        while len(own):
+            row = np.arange(len(own))
+            at = rank.argmin(axis=1)
+            least = rank[row, at]
+            go = least < _NEVER
+            if not go.all():
+                out[own[~go]] = token[~go]
+                token, rank, own, at, least, row = token[go], rank[go], own[go], at[go], least[go], row[:int(go.sum())]
+                if not len(own):
+                    break
+            token[row, at] = self.made[least]
+            later = column[:-1] > at[:, None]
+            for x, empty in ((token, -1), (rank, _NEVER)):
+                x[:, :-1] = np.where(later, x[:, 1:], x[:, :-1])
+                x[:, -1] = empty
+            rank[row, at] = self._ranks(token[row, at], token[row, at + 1])
+            inside = at > 0
+            row, at = row[inside], at[inside]
+            rank[row, at - 1] = self._ranks(token[row, at - 1], token[row, at])
+        return [t[:k] for t, k in zip(out.tolist(), (out >= 0).sum(axis=1).tolist())]
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, of which a token may be missing (-1)."""
+        out = np.full(a.shape, _NEVER)
+        there = (a >= 0) & (b >= 0)
+        out[there] = self._rank_of(a[there], b[there])
+        return out
+
     def encode(self, words: list[str]) -> list[list[int]]:
         """Tokens of words (of the model's alphabet): proposed, verified together, merged where the check fails."""
-        out = [self.greedy(w) for w in words]
-        n = np.array([len(t) if t else 0 for t in out], np.int64)
-        flat = np.array([i for t in out if t for i in t], np.int64)
+        flat, n = self.proposed(words)
         word = np.repeat(np.arange(len(words)), n)
         near = word[:-1] == word[1:]
         pair, back = np.unique(flat[:-1][near] * self.size + flat[1:][near], return_inverse=True)
         good = self.compatible(pair // self.size, pair % self.size)[back] if len(pair) else np.ones(0, bool)
         failed = np.bincount(word[:-1][near][~good], minlength=len(words)) > 0
-        for i in np.flatnonzero(failed | np.array([t is None for t in out], bool)).tolist():
-            out[i] = self.merged(words[i])
+        ids, ends = flat.tolist(), np.cumsum(n).tolist()
+        out = [ids[i:j] for i, j in zip([0, *ends], ends)]
+        again = np.flatnonzero(failed | (n == 0)).tolist()
+        for i, found in zip(again, self.merged_together([words[i] for i in again])):
+            out[i] = found
         return out
 
 
@@ -275,6 +410,11 @@ class Tokens:
         self.names = pa.array(names, pa.string())
         self.kinds = Kinds(self._kind)
         self.alphabet = byte_letters()
+        # characters below the first combining one don't compose, so they have one lower-case form wherever they are
+        one = self.library.normalizer.normalize_str
+        odd = [x for x in map(chr, range(128, COMBINING)) if len(x.lower()) != 1
+               or one(x) != x.lower() and (one(x).strip(" ") or self._kind(x) != BREAK)]
+        self.odd = re.compile(f"[{re.escape(chr(COMBINING))}-\U0010ffff{re.escape(''.join(odd))}]")
         self.memory = Memory(lambda new: self.model.encode([w.encode().decode("latin-1").translate(self.alphabet) for w in new]))
 
     @staticmethod
@@ -293,12 +433,13 @@ class Tokens:
             return BREAK
         return OTHER if len(split(f"!{x}!")) == 1 else DIGIT
 
-    def words(self, text: str) -> list[str]:
-        """Words of a normalised text."""
+    def words(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """Words of normalised texts, and how many each text has."""
+        text = "\n".join(texts)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         n = len(codes)
         if not n:
-            return []
+            return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
         kind = self.kinds.of(codes)
         starts = np.ones(n, bool)
         starts[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
@@ -310,30 +451,41 @@ class Tokens:
                 if i + length < n:
                     starts[i + length] = True
         at = np.flatnonzero(starts)
-        stop = np.append(at[1:], n)
         keep = kind[at] != BREAK
-        return [text[a:b] for a, b in zip(at[keep].tolist(), stop[keep].tolist())]
+        raw = text.encode()
+        width = (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000) + np.int8(1)
+        edges = np.append((np.cumsum(width, dtype=np.int64) - width)[at], len(raw))
+        runs = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edges), pa.py_buffer(raw))
+        first = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        of = np.searchsorted(first, at[keep], "right") - 1
+        return runs.filter(pa.array(keep)), np.bincount(of, minlength=len(texts))
 
     def normalise(self, text: str) -> str:
-        # ASCII needs no composing, and blanks are no part of words
-        return text.lower() if text.isascii() else self.library.normalizer.normalize_str(text)
+        # these need no composing, and blanks are no part of words
+        return text.lower() if text.isascii() or not self.odd.search(text) else self.library.normalizer.normalize_str(text)
 
-    def _pieces(self, text: str) -> list[str | int]:
+    def _parts(self, text: str) -> list[str | int]:
+        """Normalised parts of a text, and the ids of the added tokens between them."""
         if self.marks is None or not any(m in text for m in self.special):
-            return self.words(self.normalise(text))
-        out: list[str | int] = []
-        for part in self.marks.split(text):
-            if part in self.special:
-                out.append(self.special[part])
-            elif part:
-                out += self.words(self.normalise(part))
-        return out
+            return [self.normalise(text)]
+        return [self.special[p] if p in self.special else self.normalise(p) for p in self.marks.split(text) if p]
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
         """Token ids of each text; a null text has none."""
-        lists = [self._pieces(t) if t else [] for t in texts]
-        ids, n = self.memory.tokens(self.memory.places([w for p in lists for w in p]))
-        ends = np.append(0, np.cumsum(n))[np.cumsum([0, *map(len, lists)])]
+        parts = [self._parts(t) if t else [] for t in texts]
+        flat = [p for x in parts for p in x]
+        added = np.array([p if isinstance(p, int) else -1 for p in flat], np.int64)
+        many = np.ones(len(flat), np.int64)
+        words, many[added < 0] = self.words([p for p in flat if isinstance(p, str)])
+        words = words.dictionary_encode()
+        place = np.empty(int(many.sum()), np.int64)
+        inside = np.repeat(added < 0, many)
+        place[inside] = self.memory.places(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        # an added token has -1 - its id
+        place[~inside] = -1 - added[added >= 0]
+        ids, n = self.memory.tokens(place)
+        of = np.append(0, np.cumsum(many))[np.cumsum([0, *map(len, parts)])]
+        ends = np.append(0, np.cumsum(n))[of]
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
 
     def decode(self, ids: pa.ListArray) -> pa.Array:

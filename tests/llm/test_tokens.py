@@ -73,6 +73,27 @@ def test_unusual_merges_fall_back_to_exact_merging():
         assert model.encode([w]) == [model.merged(w)]
 
 
+def test_words_are_proposed_and_merged_side_by_side(monkeypatch):
+    model = bpe.tokens(WORDS).model
+    rng = random.Random(8)
+    parts = ["of", "er", "the", "tion", "nt", "in", "ed", "an", "sh", "o", "h", "e", "re", "Ã©", "Ã", "\u0120", "日"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(3000)] + ["日", "日a", "a日"]
+    longer = ["".join(rng.choice(parts) for _ in range(60)) for _ in range(5)] + ["a" * 500, "the" * 40]
+    want = [model.merged(w) for w in words + longer]
+    proposals = [model.greedy(w) for w in words]
+    assert sum(p != w for p, w in zip(proposals, want)) > 1000
+    flat, n = model.proposed(words)
+    assert flat.tolist() == [t for p in proposals for t in p or []] and n.tolist() == [len(p or []) for p in proposals]
+    assert model.encode(words + longer) == want
+
+    def one_by_one(self, word):
+        raise AssertionError(word)
+
+    monkeypatch.setattr(bpe.Merges, "merged", one_by_one)
+    monkeypatch.setattr(bpe.Merges, "greedy", one_by_one)
+    assert model.encode(words) == want[:len(words)]
+
+
 def aligned_by_hand(texts):
     one, two = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
     one.encode_special_tokens = True
