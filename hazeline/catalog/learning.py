@@ -368,9 +368,9 @@ def loss_check(t):
 
 
 def scoring_models(t):
-    """A logistic forecast of one hour with few lags and rolls."""
-    frame, features = forecast_rows(t, [1])
-    return {(1, "logistic_regression"): M.fit(M.logistic(weight=None, max_iter=20), materialise(frame, "forecast"), features, "city")}
+    """The published logistic forecast of one hour: all lags and rolls, labels balanced by weights, up to 1,000 iterations."""
+    frame = materialise(P.training_frame(complete(t), [1]), "forecast")
+    return {(1, "logistic_regression"): M.fit(M.logistic(), balanced_weights(frame, "target"), P.feature_names(), "city")}
 
 
 @query("m37_batch_forecast", f"""WITH {OBS_CTE} SELECT event_id AS request_id, city, 1 AS horizon_hours, 'logistic_regression' AS model, ts AS input_time,
@@ -378,7 +378,7 @@ def scoring_models(t):
 FROM obs WHERE event_type = 'purchase'""")
 def batch_forecast(t):
     req = requests(t).withColumns({"horizon_hours": F.lit(1), "model": F.lit("logistic_regression")})
-    out = P.batch_forecast(req, complete(t), scoring_models(t), **SHORT)
+    out = P.batch_forecast(req, complete(t), scoring_models(t))
     p = F.map_values("probabilities")
     return out.select("request_id", "city", "horizon_hours", "model", "input_time", "forecast_for", "model_label", "status",
                       F.col("prediction").isin(*LABELS).alias("is_label"),

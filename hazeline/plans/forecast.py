@@ -5,6 +5,8 @@ from __future__ import annotations
 import time as clock
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -49,7 +51,10 @@ def training_frame(df: DataFrame, horizons=HORIZONS, months: int | None = 18, st
         newest = df.agg(F.max("dt").alias("m")).scalar()
         out = out.filter(F.col("dt") >= newest - F.make_ym_interval(months=F.lit(months)))
     features = features or feature_names(steps=steps, widths=widths)
-    return out.na.drop(subset=[c for c in features if c in out.columns])
+    # a condition for each column: of one over all of them the optimizer derives a copy for each subset of the computed ones
+    known = [F.col(f.name).isNotNull() & ~F.isnan(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name).isNotNull()
+             for f in out.schema.fields if f.name in features]
+    return out.filter(reduce(and_, known, F.lit(True)))
 
 
 def metric_grid(frame: DataFrame, features: list[str], horizons: list[int],

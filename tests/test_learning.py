@@ -3,6 +3,8 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from hazeline.catalog.base import Tables
+from hazeline.catalog.learning import scoring_models
 from hazeline.functions.values import calendar, encode
 from hazeline.operators import cluster as C
 from hazeline.operators import models as M
@@ -137,6 +139,27 @@ def test_grid_and_batch_forecast(labelled):
     assert all((r.forecast_for - r.input_time).seconds == 3600 and r.metrics.accuracy == row.accuracy for r in out)
 
 
+def test_scoring_models_have_the_published_parameters(spark):
+    model = scoring_models(Tables(spark, "/root/testdata/sf0.001"))[1, "logistic_regression"]
+    assert model.stages[0].getInputCols() == P.feature_names()
+    fitted = model.stages[-1]
+    assert fitted.getMaxIter() == 1000 and fitted.getWeightCol() == "weight"
+    assert fitted.numFeatures == len(P.feature_names()) + 5 and 20 < fitted.summary.totalIterations
+
+
+def test_training_rows_know_all_features(spark):
+    t = Tables(spark, "/root/testdata/sf0.001")
+    # an hour without a value (NaN counts as none) is missing in its own row, a lag later and in the rolls of few values
+    rows = fill_city(t.readings, ["pm25", "pm10", "no2", "co", "so2", "o3"]).withColumn(
+        "pm25", F.when(F.hour("dt") == 5, float("nan")).when(F.hour("dt") != 9, F.col("pm25")))
+    features = ["pm25", "pm25_lag_1h", "pm25_roll_mean_3h", "pm25_roll_max_3h", "co_lag_3h", "hour"]
+    short = dict(steps=[1, 3], widths=[3])
+    every = P.training_frame(rows, [1], **short, features=["hour"])
+    frame = P.training_frame(rows, [1], **short, features=features)
+    want = every.na.drop(subset=features)
+    assert 0 < frame.count() == want.count() < every.count() and frame.exceptAll(want).isEmpty()
+
+
 def test_nowcast_drops_wrong_lengths(spark):
     df = spark.createDataFrame([(1, [float(i) for i in range(12)]), (2, [1.0, 2.0]), (3, None)], "id int, features array<double>")
     assert [r.id for r in P.nowcast_rows(df).collect()] == [1]
